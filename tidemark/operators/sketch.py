@@ -78,32 +78,35 @@ def sketch_distance(
 ) -> DataFrame:
     """Approximate KS distance of two slices from their sketches alone.
 
-    Ranks of both sketches are compared at the quantiles of both, so only two small binary
-    values per group leave the aggregation.
+    Each sketch is read at the same evenly spaced ranks, which gives an evenly weighted sample of
+    either slice; the distance is taken between these two samples. Only two small binary values
+    per group leave the aggregation.
     """
     number = finite_double(F.col(value))
     both = slices.groupBy(group).agg(
         F.kll_sketch_agg_double(F.when(F.col("slice") == HISTORICAL, number), F.lit(size)).alias("hist"),
         F.kll_sketch_agg_double(F.when(F.col("slice") == CURRENT, number), F.lit(size)).alias("curr"),
     )
-    ranks = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     sized = both.withColumns(
         {
             "n_hist": F.kll_sketch_get_n_double("hist"),
             "n_curr": F.kll_sketch_get_n_double("curr"),
         }
     ).filter((F.col("n_hist") > 0) & (F.col("n_curr") > 0))
-    points = F.array_distinct(
-        F.concat(
-            F.kll_sketch_get_quantile_double("hist", ranks),
-            F.kll_sketch_get_quantile_double("curr", ranks),
-        )
+    ranks = F.array(*[F.lit((i + 0.5) / GRID) for i in range(GRID)])
+    read = sized.select(
+        group,
+        "n_hist",
+        "n_curr",
+        F.kll_sketch_get_quantile_double("hist", ranks).alias("h"),
+        F.kll_sketch_get_quantile_double("curr", ranks).alias("c"),
     )
-    gaps = F.zip_with(
-        F.kll_sketch_get_rank_double("hist", F.col("points")),
-        F.kll_sketch_get_rank_double("curr", F.col("points")),
-        lambda h, c: F.abs(h - c),
-    )
-    return sized.withColumn("points", points).select(
-        group, "n_hist", "n_curr", F.array_max(gaps).alias("sketch_ks")
+
+    def at_most(sample: str, point: Column) -> Column:
+        return F.size(F.filter(sample, lambda q: q <= point)) / GRID
+
+    gaps = F.transform(
+        F.array_distinct(F.concat("h", "c")),
+        lambda point: F.abs(at_most("h", point) - at_most("c", point)),
     )
+    return read.select(group, "n_hist", "n_curr", F.array_max(gaps).alias("sketch_ks"))

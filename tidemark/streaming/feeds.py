@@ -152,7 +152,8 @@ def on_alerts(
     """Run the analysis once for each batch that holds an alert and keep its result."""
 
     def react(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        # A full count: every partition of the keyed state must be read to its end and committed.
+        if batch.count():
             replace_batch(analysis(), results, batch_id)
 
     writer = alerts.writeStream.foreachBatch(react).option("checkpointLocation", checkpoint)
