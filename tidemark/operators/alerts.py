@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import finite_double
-from tidemark.runtime import join_side
+from tidemark.runtime import join_side, settled, small
 
 # Alert threshold, pause after an alert.
 THRESHOLD = 100.0
 COOLDOWN_SECONDS = 600
+# Keys with more candidate times than this are cut into segments of time.
+FEW_CANDIDATES = 2_000
 
 
 def threshold_candidates(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -42,30 +44,66 @@ def three_sigma(log: DataFrame) -> DataFrame:
     return log.join(limits, "feature_name").filter(F.col("value") > F.col("upper_limit"))
 
 
+def _walked(moments: DataFrame, pause: int) -> DataFrame:
+    """Alerts of keys with few candidates: one ordered walk over each key's short array."""
+    start = F.struct(
+        F.lit(-(2**62)).cast("bigint").alias("ready"), F.array().cast("array<bigint>").alias("hits")
+    )
+    walk = F.aggregate(
+        F.array_sort(F.collect_list("t")),
+        start,
+        lambda state, t: F.when(
+            t > state["ready"],
+            F.struct((t + F.lit(pause)).alias("ready"), F.array_append(state["hits"], t).alias("hits")),
+        ).otherwise(state),
+        lambda state: state["hits"],
+    )
+    return moments.groupBy("k").agg(walk.alias("hits")).select("k", F.explode("hits").alias("t"))
+
+
 def cooldown_alerts(
     candidates: DataFrame,
     key: str = "entity_id",
     time: str = "event_timestamp",
     cooldown_seconds: int = COOLDOWN_SECONDS,
     pauses_per_segment: int = 16,
+    few: int = FEW_CANDIDATES,
 ) -> DataFrame:
     """Alert times per key: after an alert, candidates within the cooldown are passed over.
 
-    Which candidates alert depends on all earlier alerts of the key, yet a key need not be
-    walked through in one task. Its time axis is cut into segments. A segment needs to know only
-    the last alert before it, and its own last alert as a function of that is a short step
-    table. So: step tables of all segments in parallel, one pass per key over the step tables
-    (their number follows the length of time, not the number of candidates), then the alerts of
-    all segments in parallel.
+    Keys with at most ``few`` candidate times are walked through directly; the others, whatever
+    their size, go through :func:`_segmented`. Both give the same alerts.
     """
     pause = cooldown_seconds * 1_000_000
-    width = pause * pauses_per_segment
     moments = (
         candidates.select(F.col(key).alias("k"), F.unix_micros(time).alias("t"))
         .filter(F.col("k").isNotNull() & F.col("t").isNotNull())
         .distinct()
-        .withColumn("segment", F.floor(F.col("t") / F.lit(width)).cast("bigint"))
     )
+    busy, facts = settled(
+        moments.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > few).select("k")
+    )
+    if facts["rows"]:
+        side = small(busy, facts["rows"])
+        alerts = _walked(moments.join(side, "k", "left_anti"), pause).unionByName(
+            _segmented(moments.join(side, "k", "left_semi"), pause, pauses_per_segment)
+        )
+    else:
+        alerts = _walked(moments, pause)
+    return alerts.select(F.col("k").alias(key), F.timestamp_micros("t").alias("alert_time"))
+
+
+def _segmented(moments: DataFrame, pause: int, pauses_per_segment: int) -> DataFrame:
+    """Alerts of keys with many candidates, without walking through a key in one task.
+
+    Which candidates alert depends on all earlier alerts of the key. Its time axis is cut into
+    segments. A segment needs to know only the last alert before it, and its own last alert as
+    a function of that is a short step table. So: step tables of all segments in parallel, one
+    pass per key over the step tables (their number follows the length of time, not the number
+    of candidates), then the alerts of all segments in parallel.
+    """
+    width = pause * pauses_per_segment
+    moments = moments.withColumn("segment", F.floor(F.col("t") / F.lit(width)).cast("bigint"))
 
     def steps_of(group: pd.DataFrame) -> pd.DataFrame:
         """Rows (until, last): if the cooldown ends before ``until``, the last alert is ``last``."""
@@ -118,9 +156,8 @@ def cooldown_alerts(
             at = np.searchsorted(t, t[at] + pause, side="right")
         return pd.DataFrame({"k": group["k"].iloc[0], "t": np.array(hits, dtype="int64")})
 
-    alerts = (
+    return (
         moments.join(entering, ["k", "segment"])
         .groupBy("k", "segment")
         .applyInPandas(alerts_of, "k string, t bigint")
     )
-    return alerts.select(F.col("k").alias(key), F.timestamp_micros("t").alias("alert_time"))

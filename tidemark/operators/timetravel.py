@@ -10,18 +10,47 @@ from tidemark.functions.text import composite_key, online_value
 LOG_KEYS = ["entity_id", "feature_name"]
 
 
+# Both clocks in one number: event time in microseconds times _SCALE, plus knowledge time.
+_SCALE = "10000000000000000000BD"
+# Stands for a missing knowledge time: before every real one.
+_UNKNOWN = -(10**17)
+
+
+def _newest_per(log: DataFrame, keys: list[str]) -> DataFrame:
+    """Newest row per key by event time, then by knowledge time.
+
+    The maximum of a struct would need a sort before each aggregation step. A decimal can be
+    updated in place, so this aggregates by hash and combines map-side.
+    """
+    event = "cast(unix_micros(event_timestamp) as decimal(18,0))"
+    known = f"cast(coalesce(unix_micros(created_at), {_UNKNOWN}) as decimal(18,0))"
+    picked = (
+        log.select(
+            *keys, "value", "event_timestamp", F.expr(f"{event} * {_SCALE} + {known}").alias("order")
+        )
+        .groupBy(*keys)
+        .agg(
+            F.max_by("value", "order").alias("value"),
+            F.max("event_timestamp").alias("event_timestamp"),
+            F.max("order").alias("order"),
+        )
+    )
+    created = F.expr(f"cast(order - {event} * {_SCALE} as bigint)")
+    return picked.select(
+        *keys,
+        "value",
+        "event_timestamp",
+        F.when(created != _UNKNOWN, F.timestamp_micros(created)).alias("created_at"),
+    )
+
+
 def latest_values(log: DataFrame, keys: list[str] = LOG_KEYS) -> DataFrame:
     """Newest value per key by event time, then by knowledge time.
 
     A late arrival of an older event changes nothing. One aggregation with map-side combine, so
     a key with very many rows sends one row per task.
     """
-    newest = F.max(F.struct("event_timestamp", "created_at", "value"))
-    return (
-        log.groupBy(*keys)
-        .agg(newest.alias("newest"))
-        .select(*keys, "newest.value", "newest.event_timestamp", "newest.created_at")
-    )
+    return _newest_per(log.filter(F.col("event_timestamp").isNotNull()), keys)
 
 
 def online_entries(latest: DataFrame) -> DataFrame:
@@ -111,8 +140,11 @@ def pit_join(
     asked_rows = labels.withColumns(
         {"axis": F.col(label_time), "bucket": F.date_trunc(bucket, label_time)}
     )
+    per_bucket = _newest_per(
+        usable.withColumn("bucket", F.date_trunc(bucket, "visible")), [*keys, "bucket"]
+    )
     before = _known_before(
-        rows.groupBy(*keys, "bucket").agg(F.max("state").alias("state")),
+        per_bucket.select(*keys, "bucket", state.alias("state")),
         keys,
         asked_rows.select(*keys, "bucket").distinct(),
         ["state"],
@@ -185,8 +217,19 @@ def training_set(
     asked_rows = labels.withColumns(
         {"axis": F.col(label_time), "bucket": F.date_trunc(bucket, label_time)}
     )
+    per_bucket = _newest_per(
+        usable.withColumn("bucket", F.date_trunc(bucket, "visible")),
+        [key, "bucket", "feature_name"],
+    )
     before = _known_before(
-        rows.groupBy(key, "bucket").agg(*[F.max(s).alias(s) for s in slots]),
+        per_bucket.select(
+            key,
+            "bucket",
+            *[
+                F.when(F.col("feature_name") == name, state).alias(slot)
+                for name, slot in zip(features, slots)
+            ],
+        ),
         [key],
         asked_rows.select(key, "bucket").distinct(),
         slots,

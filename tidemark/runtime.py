@@ -92,3 +92,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(expression: Column) -> Column:
+    """Compute a costly column one time per row.
+
+    A filter on a plain column is pushed below the projection and computes it again, for every
+    place it is mentioned. Nothing is pushed below a generator; this one gives one row per row.
+    """
+    return F.explode(F.array(expression))

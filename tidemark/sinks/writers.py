@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import rfc3339
+from tidemark.runtime import once
 
 PARTITIONS = ["feature_name", "event_date"]
 
@@ -43,15 +44,21 @@ def replace_days(rows: DataFrame, path: str, files_per_partition: int = 8) -> No
     )
 
 
-def envelope_rows(envelopes: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-    """Rows of one table out of mixed write envelopes, with an ``error`` for unusable ones.
+def opened(envelopes: DataFrame) -> DataFrame:
+    """Envelopes with their parsed ``head``: the table's name and the fields as texts.
 
-    ``envelopes`` has a text column ``message``: ``{"table": ..., "data": {...}}``. Fields are
-    matched by name and cast to the target type; a missing field is null, an extra one is
-    dropped. A field whose text does not fit its type makes the row a dead letter.
+    ``envelopes`` has a text column ``message``: ``{"table": ..., "data": {...}}``.
     """
     head = F.from_json("message", "table string, data map<string,string>")
-    chosen = envelopes.select("message", head.alias("head")).filter(F.col("head.table") == table)
+    return envelopes.select("message", once(head).alias("head"))
+
+
+def envelope_rows(parsed: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    """Rows of one table out of opened envelopes, with an ``error`` for unusable ones.
+
+    Fields are matched by name and cast to the target type; a missing field is null, an extra
+    one is dropped. A field whose text does not fit its type makes the row a dead letter.
+    """
     data = F.col("head.data")
     columns, misfits = [], []
     for field in schema.fields:
@@ -66,27 +73,37 @@ def envelope_rows(envelopes: DataFrame, table: str, schema: T.StructType) -> Dat
             read = raw.try_cast(field.dataType)
         columns.append(read.alias(field.name))
         misfits.append(
-            F.when(raw.isNotNull() & read.isNull(), F.lit(f"bad {field.name}"))
+            F.when(
+                raw.isNotNull() & F.col(f"row.{field.name}").isNull(), F.lit(f"bad {field.name}")
+            )
         )
-    return chosen.select("message", *columns, F.coalesce(*misfits).alias("error"))
+    return (
+        parsed.filter(F.col("head.table") == table)
+        .select("message", "head", once(F.struct(*columns)).alias("row"))
+        .select("message", "row.*", F.coalesce(*misfits).alias("error"))
+    )
 
 
-def unreadable_envelopes(envelopes: DataFrame) -> DataFrame:
+def unreadable_envelopes(parsed: DataFrame) -> DataFrame:
     """Envelopes that are no JSON object or name no table."""
-    table = F.from_json("message", "table string, data map<string,string>")["table"]
-    return envelopes.filter(table.isNull()).select("message", F.lit("no table").alias("error"))
+    return parsed.filter(F.col("head.table").isNull()).select("message", F.lit("no table").alias("error"))
 
 
 def append_envelopes(envelopes: DataFrame, targets: dict[str, tuple[T.StructType, str]], dead: str) -> None:
-    """Append each table's rows to its parquet path; everything unusable goes to ``dead``."""
-    refused = unreadable_envelopes(envelopes)
+    """Append each table's rows to its parquet path; everything unusable goes to ``dead``.
+
+    The messages are parsed once and kept until all targets are written.
+    """
+    parsed = opened(envelopes).persist()
+    refused = unreadable_envelopes(parsed)
     for table, (schema, path) in targets.items():
-        rows = envelope_rows(envelopes, table, schema)
+        rows = envelope_rows(parsed, table, schema)
         rows.filter(F.col("error").isNull()).drop("message", "error").write.mode("append").parquet(path)
         refused = refused.unionByName(
             rows.filter(F.col("error").isNotNull()).select("message", "error")
         )
     refused.write.mode("append").parquet(dead)
+    parsed.unpersist()
 
 
 def publish(snapshot_rows: DataFrame, path: str) -> None:

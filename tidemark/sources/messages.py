@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import rfc3339
+from tidemark.runtime import once
 from tidemark.schemas import FEATURE_EVENT
 
 _TEXT_EVENT = T.StructType(
@@ -37,28 +38,34 @@ def parse_messages(messages: DataFrame, body: str = "value") -> DataFrame:
     A message is refused when it is no JSON object of the expected types or when a time is not
     RFC 3339. Nothing is raised: refused messages go to the dead letters.
     """
-    parsed = messages.withColumn(
-        "event",
-        F.from_json(
-            F.col(body),
-            _TEXT_EVENT,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"},
-        ),
+    event = F.from_json(
+        F.col(body),
+        _TEXT_EVENT,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"},
     )
-    event_time = rfc3339(F.col("event.validated_at"))
-    created = rfc3339(F.col("event.created_at"))
-    error = F.when(
-        F.col("event").isNull() | F.col("event.broken").isNotNull(), "not a JSON event"
-    ).when(event_time.isNull(), "bad event time").when(
-        F.col("event.created_at").isNotNull() & created.isNull(), "bad creation time"
+    parsed = messages.select("*", once(event).alias("event"))
+    timed = parsed.select(
+        "*",
+        once(
+            F.struct(
+                rfc3339(F.col("event.validated_at")).alias("event_timestamp"),
+                rfc3339(F.col("event.created_at")).alias("created_at"),
+            )
+        ).alias("times"),
     )
-    return parsed.select(
+    unread = F.col("event.created_at").isNotNull() & F.col("times.created_at").isNull()
+    error = (
+        F.when(F.col("event").isNull() | F.col("event.broken").isNotNull(), "not a JSON event")
+        .when(F.col("times.event_timestamp").isNull(), "bad event time")
+        .when(unread, "bad creation time")
+    )
+    return timed.select(
         *messages.columns,
-        F.col("event.entity_id").alias("entity_id"),
-        F.col("event.feature_name").alias("feature_name"),
+        "event.entity_id",
+        "event.feature_name",
         F.col("event.value").alias("event_value"),
-        event_time.alias("event_timestamp"),
-        created.alias("created_at"),
+        "times.event_timestamp",
+        "times.created_at",
         error.alias("error"),
     )
 

@@ -471,14 +471,17 @@ COOLDOWN_SQL = f"""WITH RECURSIVE {log_sql()},
 @query("cooldown_alerts", COOLDOWN_SQL)
 def _(spark, sf_dir):
     candidates = alerts.threshold_candidates(feature_log(spark, sf_dir))
-    fired = alerts.cooldown_alerts(candidates, cooldown_seconds=86_400, pauses_per_segment=4)
+    # The low bound sends the busier entities through the segmented form as well.
+    fired = alerts.cooldown_alerts(
+        candidates, cooldown_seconds=86_400, pauses_per_segment=4, few=14
+    )
     return fired.select("entity_id", clock("alert_time").alias("alert_time"))
 
 
 # --- windows and derived features --------------------------------------------------------
 
 HOURLY_SQL = f"""{LOG} SELECT {sql_clock("date_trunc('hour', event_timestamp)")} AS hour, feature_name, count(*) AS n,
-        round(avg(value), 6) AS mean, round(var_samp(value), 6) AS variance, min(value) AS low, max(value) AS high
+        round(avg(value), 9) AS mean, round(stddev_samp(value), 8) AS std, min(value) AS low, max(value) AS high
     FROM log GROUP BY date_trunc('hour', event_timestamp), feature_name"""
 
 
@@ -487,8 +490,8 @@ def flat_windows(windows):
         clock("window.start").alias("hour"),
         "feature_name",
         "n",
-        F.round("mean", 6).alias("mean"),
-        F.round("variance", 6).alias("variance"),
+        F.round("mean", 9).alias("mean"),
+        F.round("std", 8).alias("std"),
         "low",
         "high",
     )
