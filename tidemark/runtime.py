@@ -29,20 +29,24 @@ def local_session(cores: str = "8", app: str = "tidemark") -> SparkSession:
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of this machine; executors of a cluster
-    could not see it.
+    Only a local session that names none may fall back to a folder of this machine; executors
+    of a cluster could not see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    fresh = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _own_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
