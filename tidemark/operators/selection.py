@@ -15,7 +15,7 @@ from tidemark.runtime import settled, small
 
 ROUND_BINS = 1024
 # A box with at most this many rows is finished by counting its distinct keys.
-SMALL_BOX = 100_000
+SMALL_BOX = 10_000
 
 
 def fine_bin(key: Column, low: Column, high: Column, bins: int = ROUND_BINS) -> Column:
@@ -35,19 +35,40 @@ def _pick(counted: DataFrame, box: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def _inside(
-    rows: DataFrame, boxes: DataFrame, facts: Row, group: list[str], pinned: list[str], key: str
+def _counted(
+    rows: DataFrame,
+    boxes: DataFrame,
+    facts: Row,
+    group: list[str],
+    pinned: list[str],
+    key: str,
+    parts: list[Column],
+    measures: list[Column],
 ) -> DataFrame:
-    """Rows that fall into a box: same group, same pinned keys, key within the box."""
-    near = rows.filter(F.col(key).between(F.lit(facts["low"]), F.lit(facts["high"])))
-    side = boxes.select(
-        *group, "cut", "rank", "low", "high", *[F.col(k).alias(f"at_{k}") for k in pinned]
+    """Boxes with the counted parts of the rows inside them.
+
+    A row is inside when it has the box's group and pinned keys and its key lies in the box's
+    range. Several ranks may share a box: its rows are counted once and then given to each.
+    """
+    area = [*group, *pinned, "low", "high"]
+    areas = boxes.select(*area).distinct().withColumnsRenamed(
+        {"low": "area_low", "high": "area_high", **{k: f"at_{k}" for k in pinned}}
     )
-    held = near.join(small(side, facts["rows"]), group)
-    held = held.filter(F.col(key).between(F.col("low"), F.col("high")))
+    held = rows.filter(
+        F.col(key).between(F.lit(facts["low"]), F.lit(facts["high"]))
+    ).join(small(areas, facts["rows"]), group)
+    held = held.filter(F.col(key).between(F.col("area_low"), F.col("area_high")))
     for name in pinned:
-        held = held.filter(F.col(name) == F.col(f"at_{name}"))
-    return held
+        held = held.filter(F.col(name) == F.col(f"at_{name}")).drop(f"at_{name}")
+    counts = held.groupBy(*group, *pinned, "area_low", "area_high", *parts).agg(
+        F.count(F.lit(1)).alias("rows"), *measures
+    )
+    asked = boxes.select(
+        *group, *pinned, "cut", "rank", F.col("low").alias("area_low"), F.col("high").alias("area_high")
+    )
+    return counts.join(
+        small(asked, facts["rows"]), [*group, *pinned, "area_low", "area_high"]
+    ).drop("area_low", "area_high")
 
 
 def rank_cuts(
@@ -86,29 +107,22 @@ def rank_cuts(
     for position, key in enumerate(keys):
         boxes, facts = settle(boxes)
         while facts["wide"]:
-            counted = (
-                _inside(rows, boxes.filter(large & several), facts, group, pinned, key)
-                .groupBy(
-                    *group,
-                    "cut",
-                    "rank",
-                    *pinned,
-                    fine_bin(F.col(key), F.col("low"), F.col("high")).alias("bin"),
-                )
-                .agg(
-                    F.count(F.lit(1)).alias("rows"),
-                    F.min(key).alias("low"),
-                    F.max(key).alias("high"),
-                )
+            counted = _counted(
+                rows,
+                boxes.filter(large & several),
+                facts,
+                group,
+                pinned,
+                key,
+                [fine_bin(F.col(key), F.col("area_low"), F.col("area_high")).alias("bin")],
+                [F.min(key).alias("low"), F.max(key).alias("high")],
             )
             narrowed = _pick(counted, [*group, "cut"], ["bin"]).drop("bin")
             boxes, facts = settle(boxes.filter(~(large & several)).unionByName(narrowed))
         last = position == len(keys) - 1
-        distinct = (
-            _inside(rows, boxes if last else boxes.filter(~large), facts, group, pinned, key)
-            .groupBy(*group, "cut", "rank", *keys)
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
+        finished = boxes if last else boxes.filter(~large)
+        remaining = [F.col(name) for name in keys if name not in pinned]
+        distinct = _counted(rows, finished, facts, group, pinned, key, remaining, [])
         found = _pick(distinct, [*group, "cut"], keys).select(
             *group,
             "cut",
@@ -121,14 +135,15 @@ def rank_cuts(
             break
         # What is left has a single value of this key per box: pin it, go on with the next key.
         following = keys[position + 1]
-        boxes = (
-            _inside(rows, boxes.filter(large), facts, group, pinned, key)
-            .groupBy(*group, "cut", "rank", *pinned, key)
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.min(following).alias("low"),
-                F.max(following).alias("high"),
-            )
+        boxes = _counted(
+            rows,
+            boxes.filter(large),
+            facts,
+            group,
+            pinned,
+            key,
+            [F.col(key)],
+            [F.min(following).alias("low"), F.max(following).alias("high")],
         )
         pinned.append(key)
     return result
