@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import alerts, features, lineage, timetravel
+from tidemark.operators import alerts, buckets, features, lineage, slices, timetravel
 from tidemark.plans import upkeep
 from tidemark.runtime import scratch_path
 from tidemark.schemas import FEATURE_LOG
@@ -53,7 +53,7 @@ def brute_pit(labels, rows, bitemporal, max_age):
     return found
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "month"])
+@pytest.mark.parametrize("bucket", [None, "minute", "month"])
 @pytest.mark.parametrize("bitemporal", [False, True])
 def test_pit_join_equals_brute_force(spark, bucket, bitemporal):
     rng = random.Random(3)
@@ -175,6 +175,28 @@ def test_trailing_counts_equal_brute_force(spark):
         assert got[i] == wanted
 
 
+    finer = features.trailing_counts(frame, 2, bucket="minute")
+    assert {r.event_id: r.trailing_count for r in finer.collect()} == got
+
+
+def test_the_time_unit_follows_the_densest_key(spark):
+    rows = [("a", at(i / 100)) for i in range(200)] + [("b", at(i * 1440)) for i in range(5)]
+    frame = spark.createDataFrame(rows, "k string, t timestamp")
+    chosen = [buckets.fitting_unit(frame, ["k"], "t", limit) for limit in (1000, 199, 120, 3, 1)]
+    assert chosen == ["day", "minute", "minute", "second", "second"]
+
+
+def test_pages_in_time_order(spark):
+    rows = [("e", "f", float(i), at(i // 2), at(i)) for i in range(40)] + [("e", "g", 1.0, at(0), at(0))]
+    log = log_of(spark, rows)
+    for box in (2, 1000):
+        page = slices.events_in_order(log, "f", 11, 6, small_box=box)
+        assert [r.value for r in page.collect()] == [11.0, 12.0, 13.0, 14.0, 15.0, 16.0]
+        tail = slices.events_in_order(log, "f", 38, 10, small_box=box)
+        assert [r.value for r in tail.collect()] == [38.0, 39.0]
+        assert slices.events_in_order(log, "f", 50, 10, small_box=box).count() == 0
+
+
 def test_lineage_ends_on_cycles(spark):
     edges = spark.createDataFrame(
         [("c", "b"), ("b", "a"), ("a", "c"), ("d", "c")], "output string, input string"

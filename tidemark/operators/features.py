@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import finite_double
+from tidemark.operators.buckets import fitting_unit
 from tidemark.runtime import join_side
 
 
@@ -55,13 +56,6 @@ def trailing_interval(
     return log.filter((F.col(time) > moment - interval) & (F.col(time) <= moment))
 
 
-def events_in_order(
-    log: DataFrame, feature: str, offset: int, limit: int, time: str = "event_timestamp"
-) -> DataFrame:
-    """One page of one feature's rows in time order; for all features use the slices."""
-    return of_feature(log, feature).orderBy(time, "created_at", "entity_id").offset(offset).limit(limit)
-
-
 def validate(events: DataFrame, known_features: DataFrame) -> DataFrame:
     """Events with a ``reason``: null for a valid one, else the first rule it breaks.
 
@@ -113,36 +107,39 @@ def entity_vector(online: DataFrame, features: list[tuple[int, str]]) -> DataFra
 
 
 def trailing_counts(
-    log: DataFrame, days: int, keys: tuple[str, ...] = ("entity_id", "feature_name")
+    log: DataFrame,
+    days: int,
+    keys: tuple[str, ...] = ("entity_id", "feature_name"),
+    bucket: str | None = None,
 ) -> DataFrame:
     """For every row how many rows of its key fall in the ``days`` up to it, itself included.
 
-    ``count(<= t) - count(< t - days)``, each as rows before the hour plus rows within the hour.
-    A window over a whole key would sort it in one task; here a task holds one hour of a key,
-    and the sums before the hour come from a small table of hourly counts. The log must carry a
-    unique ``event_id``.
+    ``count(<= t) - count(< t - days)``, each as rows before the bucket plus rows within it. A
+    window over a whole key would sort it in one task; here a task holds one bucket of a key
+    (a day, or less where a key is too dense), and the sums before it come from a small table
+    of counts per bucket. The log must carry a unique ``event_id``.
     """
     keys = list(keys)
     time = F.col("event_timestamp")
     back = F.make_dt_interval(F.lit(days))
+    unit = bucket or fitting_unit(log, keys, "event_timestamp")
     arrivals = log.select(*keys, "event_id", time.alias("at"), F.lit(1).alias("is_row"))
     probes = log.select(*keys, "event_id", (time - back).alias("at"), F.lit(0).alias("is_row"))
-    points = arrivals.unionByName(probes).withColumn("hour", F.date_trunc("hour", "at"))
+    points = arrivals.unionByName(probes).withColumn("bucket", F.date_trunc(unit, "at"))
     # A probe sorts before the rows of its instant, since the window includes its lower end.
-    within = Window.partitionBy(*keys, "hour").orderBy(F.struct("at", "is_row"))
+    within = Window.partitionBy(*keys, "bucket").orderBy(F.struct("at", "is_row"))
     counted = points.withColumn("seen", F.sum("is_row").over(within))
-    hours = points.groupBy(*keys, "hour").agg(F.sum("is_row").alias("arrived"))
-    earlier = Window.partitionBy(*keys).orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    base = hours.select(
-        *keys, "hour", F.coalesce(F.sum("arrived").over(earlier), F.lit(0)).alias("base")
+    filled = points.groupBy(*keys, "bucket").agg(F.sum("is_row").alias("arrived"))
+    earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = filled.select(
+        *keys, "bucket", F.coalesce(F.sum("arrived").over(earlier), F.lit(0)).alias("base")
     )
     total = F.col("base") + F.col("seen")
-    per_event = (
-        counted.join(base, [*keys, "hour"])
+    return (
+        counted.join(base, [*keys, "bucket"])
         .groupBy("event_id", *keys)
         .agg(
             F.sum(F.when(F.col("is_row") == 1, total).otherwise(-total)).alias("trailing_count"),
             F.max(F.when(F.col("is_row") == 1, F.col("at"))).alias("event_timestamp"),
         )
     )
-    return per_event

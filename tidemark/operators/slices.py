@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,67 +27,45 @@ def _offset(rows: Column, fraction: float) -> Column:
     return F.floor(rows * F.lit(float(fraction)))
 
 
-def positional_slices(
-    log: DataFrame,
-    group: str = "feature_name",
-    time: str = "event_timestamp",
-    known: str = "created_at",
-    sample_cap: int | None = None,
-    small_box: int = SMALL_BOX,
-) -> DataFrame:
-    """Rows of both slices by position in event-time order, with a ``slice`` column.
-
-    Historical is the part from 50 % to 70 % of a feature's rows, current the last 5 %. Rows of
-    one event time are ordered by knowledge time, then by a hash of the row. With
-    ``sample_cap`` each slice keeps its oldest rows up to that many; without it the slices are
-    whole. Which rows belong to a slice is decided by comparing each row with the slice ends
-    found by :func:`rank_cuts`; the log itself is neither sorted nor shuffled.
-    """
-    columns = log.columns
-    far_past = F.lit(-(2**62))
-    marked = log.filter(F.col(group).isNotNull() & F.col(time).isNotNull()).withColumns(
+def _marked(log: DataFrame, group: str, time: str, known: str) -> DataFrame:
+    """The log with its three order keys; rows of no group or time have no place."""
+    return log.filter(F.col(group).isNotNull() & F.col(time).isNotNull()).withColumns(
         {
             "time_key": F.unix_micros(time),
-            "known_key": F.coalesce(F.unix_micros(known), far_past),
-            "row_key": F.shiftrightunsigned(F.xxhash64(*columns), 1),
+            "known_key": F.coalesce(F.unix_micros(known), F.lit(-(2**62))),
+            "row_key": F.shiftrightunsigned(F.xxhash64(*log.columns), 1),
         }
     )
+
+
+def _placed(
+    marked: DataFrame, group: str, time: str, ranks: dict[str, Column], small_box: int
+) -> tuple[DataFrame, Callable[[str], Column]]:
+    """Rows from the first of the ranks on, and a test whether a row comes before a rank.
+
+    ``ranks`` are zero-based positions in the group's order, as expressions over ``rows``, its
+    size. Each row is compared with the keys found at these positions by :func:`rank_cuts`; the
+    log itself is neither sorted nor shuffled.
+    """
     sizes = marked.groupBy(group).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("time_key").alias("low"),
         F.max("time_key").alias("high"),
     )
-    rows = F.col("rows")
-    first, end = _offset(rows, HISTORICAL_SPAN[0]), _offset(rows, HISTORICAL_SPAN[1])
-    start, stop = _offset(rows, CURRENT_FROM), rows
-    if sample_cap is not None:
-        end = F.least(end, first + sample_cap)
-        stop = F.least(stop, start + sample_cap)
-    labels = {"h_from": first, "h_to": end, "c_from": start, "c_to": stop}
-    wanted = sizes.select(
-        group,
-        "rows",
-        "low",
-        "high",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(label).alias("cut"), rank.cast("bigint").alias("rank"))
-                    for label, rank in labels.items()
-                ]
-            )
-        ),
-    )
+    positions = [
+        F.struct(F.lit(label).alias("cut"), rank.cast("bigint").alias("rank"))
+        for label, rank in ranks.items()
+    ]
+    wanted = sizes.select(group, "rows", "low", "high", F.inline(F.array(*positions)))
     cuts, facts = settled(
         rank_cuts(marked, [group], _KEYS, wanted, small_box),
         oldest=F.min("at.time_key"),
         copies=F.max("copies"),
     )
-    # The first cut lies inside every group, so each group has a row here.
     ends = cuts.groupBy(group).agg(
         *[
             F.max(F.when(F.col("cut") == label, F.struct("at", "skip", "copies"))).alias(label)
-            for label in labels
+            for label in ranks
         ]
     )
     if facts["oldest"] is not None:
@@ -94,12 +74,12 @@ def positional_slices(
     place = F.struct(*_KEYS)
     copy = F.lit(1)
     if (facts["copies"] or 1) > 1:
-        # A slice ends inside a run of identical rows: number these copies, and only these.
+        # A rank falls inside a run of identical rows: number these copies, and only these.
         repeated = F.lit(False)
-        for label in labels:
-            end_of = F.col(label)
+        for label in ranks:
+            cut = F.col(label)
             repeated = repeated | F.coalesce(
-                (place == end_of["at"]) & (end_of["copies"] > 1), F.lit(False)
+                (place == cut["at"]) & (cut["copies"] > 1), F.lit(False)
             )
         numbered = Window.partitionBy(group, *_KEYS).orderBy(*_KEYS)
         held = held.filter(repeated).withColumn("copy", F.row_number().over(numbered)).unionByName(
@@ -113,10 +93,58 @@ def positional_slices(
             (place < cut["at"]) | ((place == cut["at"]) & (copy <= cut["skip"])), F.lit(True)
         )
 
+    return held, before
+
+
+def positional_slices(
+    log: DataFrame,
+    group: str = "feature_name",
+    time: str = "event_timestamp",
+    known: str = "created_at",
+    sample_cap: int | None = None,
+    small_box: int = SMALL_BOX,
+) -> DataFrame:
+    """Rows of both slices by position in event-time order, with a ``slice`` column.
+
+    Historical is the part from 50 % to 70 % of a feature's rows, current the last 5 %. Rows of
+    one event time are ordered by knowledge time, then by a hash of the row. With
+    ``sample_cap`` each slice keeps its oldest rows up to that many; without it the slices are
+    whole.
+    """
+    rows = F.col("rows")
+    first, end = _offset(rows, HISTORICAL_SPAN[0]), _offset(rows, HISTORICAL_SPAN[1])
+    start, stop = _offset(rows, CURRENT_FROM), rows
+    if sample_cap is not None:
+        end = F.least(end, first + sample_cap)
+        stop = F.least(stop, start + sample_cap)
+    ranks = {"h_from": first, "h_to": end, "c_from": start, "c_to": stop}
+    held, before = _placed(_marked(log, group, time, known), group, time, ranks, small_box)
     name = F.when(~before("h_from") & before("h_to"), HISTORICAL).when(
         ~before("c_from") & before("c_to"), CURRENT
     )
-    return held.withColumn("slice", name).filter(F.col("slice").isNotNull()).select(*columns, "slice")
+    sliced = held.withColumn("slice", name).filter(F.col("slice").isNotNull())
+    return sliced.select(*log.columns, "slice")
+
+
+def events_in_order(
+    log: DataFrame,
+    feature: str,
+    offset: int,
+    limit: int,
+    time: str = "event_timestamp",
+    known: str = "created_at",
+    small_box: int = SMALL_BOX,
+) -> DataFrame:
+    """One page of a feature's rows in time order.
+
+    Only the page is sorted; what lies before the offset is counted, not carried along.
+    """
+    own = log.filter(F.col("feature_name") == feature)
+    ranks = {"from": F.lit(offset), "to": F.lit(offset + limit)}
+    marked = _marked(own, "feature_name", time, known)
+    held, before = _placed(marked, "feature_name", time, ranks, small_box)
+    page = held.filter(F.col("from").isNotNull() & ~before("from") & before("to"))
+    return page.orderBy(*_KEYS).select(*log.columns)
 
 
 def period_slices(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import composite_key, online_value
+from tidemark.operators.buckets import fitting_unit
 
 LOG_KEYS = ["entity_id", "feature_name"]
 
@@ -106,6 +107,13 @@ def _known_before(
     return carried.filter(F.col("asked") == 1).drop("asked")
 
 
+def _unit_for(usable: DataFrame, labels: DataFrame, keys: list[str], label_time: str) -> str:
+    both = usable.select(*keys, F.col("visible").alias("axis")).unionByName(
+        labels.select(*keys, F.col(label_time).alias("axis"))
+    )
+    return fitting_unit(both, keys, "axis")
+
+
 def pit_join(
     labels: DataFrame,
     log: DataFrame,
@@ -113,7 +121,7 @@ def pit_join(
     label_time: str = "label_time",
     bitemporal: bool = False,
     max_age: Column | None = None,
-    bucket: str = "day",
+    bucket: str | None = None,
 ) -> DataFrame:
     """For each label row the newest feature row that was visible at its time; never a later one.
 
@@ -122,8 +130,9 @@ def pit_join(
 
     Feature rows and label rows are laid on one time axis and a running maximum of
     (event time, knowledge time, value) is read off at the labels. The axis is divided into
-    buckets of ``bucket`` length, so a key of any size spreads over many tasks; what a bucket
-    must know about the past is one state row, taken from a per-bucket aggregate.
+    buckets of one ``bucket`` (a day, or less where a key is too dense), so a key of any size
+    spreads over many tasks; what a bucket must know about the past is one state row, taken from
+    a per-bucket aggregate.
     """
     carried_columns = labels.columns
     state = F.struct("event_timestamp", "created_at", "value")
@@ -131,6 +140,8 @@ def pit_join(
     usable = log.withColumn("visible", _visible_from(bitemporal)).filter(
         (F.col("event_timestamp") <= newest_label) & (F.col("visible") <= newest_label)
     )
+    if bucket is None:
+        bucket = _unit_for(usable, labels, keys, label_time)
     rows = usable.select(
         *keys,
         F.col("visible").alias("axis"),
@@ -189,7 +200,7 @@ def training_set(
     key: str = "entity_id",
     label_time: str = "label_time",
     bitemporal: bool = False,
-    bucket: str = "day",
+    bucket: str | None = None,
 ) -> DataFrame:
     """Label rows with one point-in-time column per feature.
 
@@ -204,6 +215,8 @@ def training_set(
         .withColumn("visible", _visible_from(bitemporal))
         .filter((F.col("event_timestamp") <= newest_label) & (F.col("visible") <= newest_label))
     )
+    if bucket is None:
+        bucket = _unit_for(usable, labels, [key], label_time)
     state = F.struct("event_timestamp", "created_at", "value")
     rows = usable.select(
         key,

@@ -12,31 +12,28 @@ from tidemark.runtime import once
 PARTITIONS = ["feature_name", "event_date"]
 
 
-def append_offline(rows: DataFrame, path: str, files_per_partition: int = 8) -> None:
-    """Append log rows to parquet partitioned by feature and date.
+def _laid_out(rows: DataFrame) -> DataFrame:
+    """Rows gathered by feature and date for writing.
 
-    Rows are spread over ``files_per_partition`` writers per feature and date by entity, so one
-    large feature is not written by a single task and small ones do not leave many files.
+    Rebalancing divides a feature and date with very many rows over several writers at run time
+    and joins small ones, so files come out at an even size.
     """
     dated = rows.withColumn("event_date", F.to_date("event_timestamp"))
-    spread = F.pmod(F.xxhash64("entity_id"), F.lit(files_per_partition))
-    (
-        dated.repartition(*PARTITIONS, spread)
-        .write.mode("append")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    return dated.hint("rebalance", *[F.col(name) for name in PARTITIONS])
 
 
-def replace_days(rows: DataFrame, path: str, files_per_partition: int = 8) -> None:
+def append_offline(rows: DataFrame, path: str) -> None:
+    """Append log rows to parquet partitioned by feature and date."""
+    _laid_out(rows).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+
+
+def replace_days(rows: DataFrame, path: str) -> None:
     """Replace exactly the feature and date partitions that ``rows`` contains.
 
     Writing the same rows again leaves the table as it is.
     """
-    dated = rows.withColumn("event_date", F.to_date("event_timestamp"))
-    spread = F.pmod(F.xxhash64("entity_id"), F.lit(files_per_partition))
     (
-        dated.repartition(*PARTITIONS, spread)
+        _laid_out(rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import composite_key
-from tidemark.operators import alerts, features, lineage, registry, timetravel
+from tidemark.operators import alerts, features, lineage, registry, slices, timetravel
 from tidemark.plans import upkeep
 from tidemark.runtime import scratch_path
 from tidemark.schemas import FEATURE_LOG, MODEL_LOG
@@ -419,7 +419,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     # Offset and limit are the operator here: one page of a feature in time order.
-    return features.events_in_order(feature_log(spark, sf_dir), "click", 50, 100).select(
+    return slices.events_in_order(feature_log(spark, sf_dir), "click", 50, 100).select(
         "event_id", "value"
     )
 
