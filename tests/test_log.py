@@ -116,15 +116,16 @@ def brute_cooldown(moments, pause):
     return fired
 
 
-@pytest.mark.parametrize("few", [0, 40, 10_000])
-@pytest.mark.parametrize("segment", [1, 3, 16])
-def test_cooldown_equals_one_walk(spark, few, segment):
+@pytest.mark.parametrize(
+    "few, segment, at_once", [(0, 1, 1), (0, 1, 30), (0, 3, 1), (0, 16, 10_000), (40, 2, 5), (10_000, 3, 1)]
+)
+def test_cooldown_equals_one_walk(spark, few, segment, at_once):
     rng = random.Random(few + segment)
     moments = [("dense", at(i)) for i in range(0, 400)]
     moments += [("sparse", at(rng.randrange(20_000))) for _ in range(60)]
     moments += [("bursts", at(rng.choice([0, 300, 305, 1000]) + rng.random() * 20)) for _ in range(200)]
     frame = spark.createDataFrame(moments, "entity_id string, event_timestamp timestamp")
-    got = alerts.cooldown_alerts(frame, pauses_per_segment=segment, few=few)
+    got = alerts.cooldown_alerts(frame, pauses_per_segment=segment, few=few, steps_at_once=at_once)
     assert sorted(tuple(r) for r in got.collect()) == brute_cooldown(moments, timedelta(minutes=10))
 
 
