@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import alerts, buckets, features, lineage, slices, timetravel
+from tidemark.operators import alerts, buckets, drift, features, lineage, slices, timetravel
 from tidemark.plans import upkeep
 from tidemark.runtime import scratch_path
 from tidemark.schemas import FEATURE_LOG
@@ -308,6 +308,29 @@ def test_trailing_scan_takes_any_format(spark):
     assert options["numPartitions"] == "64" and options["partitionColumn"] == "event_timestamp"
 
 
+def test_a_parquet_file_is_inserted_by_column_name(spark):
+    upload, place = scratch_path(spark, "upload"), scratch_path(spark, "table")
+    rows = log_of(spark, [("e", "f", 1.0, at(1), at(2))])
+    rows.select(*reversed(rows.columns)).write.parquet(upload)
+    spark.sql("DROP TABLE IF EXISTS inserted_log")
+    spark.sql(f"CREATE TABLE inserted_log ({SCHEMA}) USING parquet LOCATION '{place}'")
+    files.insert_from_file(spark, "inserted_log", upload)
+    assert tuple(spark.table("inserted_log").first()) == ("e", "f", 1.0, at(1), at(2))
+    spark.sql("DROP TABLE inserted_log")
+
+
+def test_published_files_are_replaced(spark):
+    path = scratch_path(spark, "published")
+    for value in ("old", "new"):
+        writers.publish(spark.createDataFrame([("k", value)], "key string, value string"), path)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("k", "new")]
+    saved = scratch_path(spark, "baseline")
+    log = log_of(spark, [("e", "f", float(v), at(v), at(v)) for v in range(11)])
+    writers.save_baseline(drift.baseline_statistics(log), saved)
+    read = spark.read.schema("feature_name string, n bigint, bins array<bigint>").json(saved).first()
+    assert (read.feature_name, read.n, read.bins) == ("f", 11, [1] * 9 + [2])
+
+
 def test_validation_reasons(spark):
     rows = [("e", "f", "1"), ("", "f", "1"), ("e", None, "1"), ("e", "x", "1"), ("e", "f", "NaN")]
     events = spark.createDataFrame(rows, "entity_id string, feature_name string, value string")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import finite_double
-from tidemark.runtime import cut_lineage, join_side, settled, small
+from tidemark.runtime import cut_lineage, join_side, settled, small, stored
 
 # Alert threshold, pause after an alert.
 THRESHOLD = 100.0
@@ -78,10 +78,11 @@ def cooldown_alerts(
     their size, go through :func:`_segmented`. Both give the same alerts.
     """
     pause = cooldown_seconds * 1_000_000
-    moments = (
+    moments = stored(
         candidates.select(F.col(key).alias("k"), F.unix_micros(time).alias("t"))
         .filter(F.col("k").isNotNull() & F.col("t").isNotNull())
-        .distinct()
+        .distinct(),
+        "moments",
     )
     busy, facts = settled(
         moments.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > few).select("k")

@@ -52,8 +52,9 @@ def trailing_interval(
     The default ``as_of`` is the newest event, as a scalar subquery, so that a second run over
     the same log gives the same rows and the bound still reaches the scan.
     """
-    moment = as_of if as_of is not None else log.select(F.max(time)).scalar()
-    return log.filter((F.col(time) > moment - interval) & (F.col(time) <= moment))
+    if as_of is None:
+        return log.filter(F.col(time) > log.select(F.max(time)).scalar() - interval)
+    return log.filter((F.col(time) > as_of - interval) & (F.col(time) <= as_of))
 
 
 def validate(events: DataFrame, known_features: DataFrame) -> DataFrame:

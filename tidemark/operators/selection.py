@@ -51,7 +51,7 @@ def _counted(
     range. Several ranks may share a box: its rows are counted once and then given to each.
     """
     area = [*group, *pinned, "low", "high"]
-    areas = boxes.select(*area).distinct().withColumnsRenamed(
+    areas = boxes.filter("leads").select(*area).withColumnsRenamed(
         {"low": "area_low", "high": "area_high", **{k: f"at_{k}" for k in pinned}}
     )
     held = rows.filter(
@@ -91,8 +91,9 @@ def rank_cuts(
     several = F.col("low") < F.col("high")
 
     def settle(boxes: DataFrame) -> tuple[DataFrame, Row]:
+        same_box = Window.partitionBy(*group, *pinned, "low", "high").orderBy("cut")
         return settled(
-            boxes,
+            boxes.withColumn("leads", F.row_number().over(same_box) == 1),
             low=F.min("low"),
             high=F.max("high"),
             wide=F.count_if(large & several),
@@ -118,7 +119,7 @@ def rank_cuts(
                 [F.min(key).alias("low"), F.max(key).alias("high")],
             )
             narrowed = _pick(counted, [*group, "cut"], ["bin"]).drop("bin")
-            boxes, facts = settle(boxes.filter(~(large & several)).unionByName(narrowed))
+            boxes, facts = settle(boxes.filter(~(large & several)).drop("leads").unionByName(narrowed))
         last = position == len(keys) - 1
         finished = boxes if last else boxes.filter(~large)
         remaining = [F.col(name) for name in keys if name not in pinned]

@@ -57,16 +57,17 @@ def _placed(
         for label, rank in ranks.items()
     ]
     wanted = sizes.select(group, "rows", "low", "high", F.inline(F.array(*positions)))
-    cuts, facts = settled(
-        rank_cuts(marked, [group], _KEYS, wanted, small_box),
-        oldest=F.min("at.time_key"),
-        copies=F.max("copies"),
-    )
-    ends = cuts.groupBy(group).agg(
-        *[
-            F.max(F.when(F.col("cut") == label, F.struct("at", "skip", "copies"))).alias(label)
-            for label in ranks
-        ]
+    cuts = rank_cuts(marked, [group], _KEYS, wanted, small_box)
+    labels = [F.col(label) for label in ranks]
+    ends, facts = settled(
+        cuts.groupBy(group).agg(
+            *[
+                F.max(F.when(F.col("cut") == label, F.struct("at", "skip", "copies"))).alias(label)
+                for label in ranks
+            ]
+        ),
+        oldest=F.min(F.least(*[label["at"]["time_key"] for label in labels])),
+        copies=F.max(F.greatest(*[label["copies"] for label in labels])),
     )
     if facts["oldest"] is not None:
         marked = marked.filter(F.col(time) >= F.timestamp_micros(F.lit(facts["oldest"])))

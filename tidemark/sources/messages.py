@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import rfc3339
 from tidemark.runtime import once
-from tidemark.schemas import FEATURE_EVENT
 
 _TEXT_EVENT = T.StructType(
     [
@@ -94,6 +93,3 @@ def to_log(events: DataFrame) -> DataFrame:
         F.col("validated_at").alias("event_timestamp"),
         "created_at",
     )
-
-
-EVENT_COLUMNS = [field.name for field in FEATURE_EVENT]

@@ -8,7 +8,7 @@ from tidemark.functions.text import composite_key
 from tidemark.operators import alerts, features, lineage, registry, slices, timetravel
 from tidemark.plans import upkeep
 from tidemark.runtime import scratch_path
-from tidemark.schemas import FEATURE_LOG, MODEL_LOG
+from tidemark.schemas import FEATURE_EVENT, FEATURE_LOG, MODEL_LOG
 from tidemark.sinks import writers
 from tidemark.sources import files, messages, tables
 from tidemark.streaming.feeds import hourly_statistics, window_histogram
@@ -125,7 +125,7 @@ def _(spark, sf_dir):
     )
     arrays.write.text(f"{folder}/json")
     upload.filter(~even).write.parquet(f"{folder}/parquet")
-    from_json = spark.read.schema(messages.FEATURE_EVENT).json(f"{folder}/json")
+    from_json = spark.read.schema(FEATURE_EVENT).json(f"{folder}/json")
     from_parquet = files.read_parquet_events(spark, f"{folder}/parquet")
     uploaded = messages.to_log(from_json.unionByName(from_parquet))
     streamed = messages.good_events(_parsed(spark, sf_dir))
