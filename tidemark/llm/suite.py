@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, packing, pivots, secret_scan
+from tidemark.llm import fingerprints, neardup, packing, pivots, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,24 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @query("op10_exact_topk", TOP_SQL)
 def op10_exact_topk(spark, sf_dir):
     return pivots.largest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# --- op4 -----------------------------------------------------------------------------------
+
+
+@query("op4_fingerprints")
+def op4_fingerprints(spark, sf_dir):
+    def text(column: str):
+        return F.lpad(F.lower(F.hex(column)), 16, "0")
+
+    prints = fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+    return prints.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        text("fp").alias("fingerprint"),
+        text("edited_fp").alias("edited_fingerprint"),
+        fingerprints.likeness("fp", "edited_fp").alias("near_edited"),
+        fingerprints.likeness("fp", "next_fp").alias("near_next"),
+        F.col("near").alias("n_near"),
+    )
