@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, neardup, packing, pivots, secret_scan
+from tidemark.llm import fingerprints, neardup, packing, pivots, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,18 @@ def op4_fingerprints(spark, sf_dir):
         fingerprints.likeness("fp", "next_fp").alias("near_next"),
         F.col("near").alias("n_near"),
     )
+
+
+# --- op1 -----------------------------------------------------------------------------------
+
+
+@query("op1_quality")
+def op1_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.scored(docs, table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"),
+    )
