@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, neardup, packing, pivots, quality, secret_scan
+from tidemark.llm import fingerprints, lines, neardup, packing, pivots, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +119,12 @@ def op1_quality(spark, sf_dir):
         "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"),
     )
+
+
+# --- op5 -----------------------------------------------------------------------------------
+
+
+@query("op5_line_dedup")
+def op5_line_dedup(spark, sf_dir):
+    found = lines.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line_no", "class_doc_id", "class_line_no", "kept")
