@@ -22,6 +22,8 @@ from tidemark.runtime import scratch_path, stored
 ROWS = 4
 BANDS = 8
 LOW_HALF = 0xFFFF_FFFF
+# Stands for a null id in joins.
+LEAST = -(1 << 63)
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -140,13 +142,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gone = (
         classes(docs, id_col, text_col, least)
         .where("not kept")
-        .groupBy(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
-        .agg(F.collect_set("line_no").alias("gone_lines"))
+        .groupBy(F.coalesce("doc_id", F.lit(LEAST)).alias("__gone_id"), F.col("text_key").alias("__gone_text"))
+        .agg(F.collect_set("line_no").alias("__gone"))
+    )
+    keyed = docs.withColumns(
+        {
+            "__gone_id": F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)),
+            "__gone_text": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
+        }
     )
-    key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key")), "left")
     numbered = F.transform(F.split(text_col, "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
-    stay = F.filter(numbered, lambda row: ~F.array_contains("gone_lines", row["i"]))
-    text = F.when(F.col("gone_lines").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda row: row["line"]), "\n"))
-    columns = [text.alias(c) if c == text_col else F.char_length(text).cast("long").alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
-    return joined.select(*columns)
+    stay = F.filter(numbered, lambda row: ~F.array_contains("__gone", row["i"]))
+    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda row: row["line"]), "\n"))
+    cleaned = keyed.join(gone, ["__gone_id", "__gone_text"], "left").withColumn(text_col, text)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.char_length(text_col).cast("long"))
+    return cleaned.select(*docs.columns)

@@ -15,6 +15,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -194,3 +195,40 @@ def near_duplicates(
     return prints.join(member, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_per_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4
+) -> DataFrame:
+    """``docs`` with its columns, one row for each group of near duplicates: the one with the smallest id.
+
+    Links are those of ``near_duplicates``. Null ids are taken only where a group has no other, equal ids
+    go by the hash of the text, and of repeated rows one is kept. Null and empty texts are one group.
+    An empty table gives no rows.
+    """
+
+    @F.pandas_udf("long")
+    def print_of(texts: pd.Series) -> pd.Series:
+        found = np.array([fingerprint(text, words) for text in texts], dtype=np.uint64)
+        return pd.Series(found.view(np.int64))
+
+    keys = ["__print", "__id", "__text"]
+    least = -(1 << 63)
+    marked = docs.withColumns(
+        {
+            "__print": print_of(F.col(text_col).cast("string")),
+            "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(least)),
+            "__text": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
+        }
+    )
+    order = F.struct(F.col("__id") == least, "__id", "__text")
+    classes = stored(marked.groupBy("__print").agg(F.min(order).alias("least")), "classes")
+    linked = components(close_pairs(classes.select(F.col("__print").alias("fp")), radius), "one", "two")
+    rooted = classes.join(linked.withColumnRenamed("node", "__print"), "__print", "left").withColumn(
+        "component", F.coalesce("component", "__print")
+    )
+    first = rooted.groupBy("component").agg(F.min(F.struct("least", "__print")).alias("first"))
+    chosen = first.select(
+        F.col("first.__print").alias("__print"), F.col("first.least.__id").alias("__id"), F.col("first.least.__text").alias("__text")
+    )
+    return marked.dropDuplicates(keys).join(chosen, keys, "left_semi").select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, lines, neardup, packing, pivots, quality, secret_scan
+from tidemark.llm import fingerprints, licenses, lines, mixing, neardup, packing, pivots, quality, secret_scan, separators
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,36 @@ def op1_quality(spark, sf_dir):
 def op5_line_dedup(spark, sf_dir):
     found = lines.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "line_no", "class_doc_id", "class_line_no", "kept")
+
+
+# --- op2 -----------------------------------------------------------------------------------
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark, sf_dir):
+    return licenses.license_hits(table(spark, sf_dir, "documents"))
+
+
+# --- op6 -----------------------------------------------------------------------------------
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    return separators.document_token_counts(table(spark, sf_dir, "documents"))
+
+
+# --- op8 -----------------------------------------------------------------------------------
+
+
+@query("op8_mixing")
+def op8_mixing(spark, sf_dir):
+    found = mixing.mixed(table(spark, sf_dir, "documents"), mixing.corpus_margins(), mixing.SHARE)
+    return found.select(
+        "doc_id",
+        F.col("mix_source").alias("source"),
+        F.col("mix_lang").alias("lang"),
+        F.col("mix_topic").alias("topic"),
+        F.col("mix_tokens").alias("tokens"),
+        F.col("mix_probability").alias("probability"),
+        F.col("mix_kept").alias("kept"),
+    )
