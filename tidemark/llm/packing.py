@@ -93,8 +93,8 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)
         for whole in batches:
-            for begin in range(0, whole.num_rows, 256):
-                batch = whole.slice(begin, 256)
+            for begin in range(0, whole.num_rows, 1_024):
+                batch = whole.slice(begin, 1_024)
                 keys, rows = batch.column(0).to_pylist(), []
                 for key, ids in zip(keys, encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")

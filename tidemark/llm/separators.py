@@ -63,8 +63,8 @@ def flat_streams(
             )
 
         for whole in batches:
-            for begin in range(0, whole.num_rows, 256):
-                batch = whole.slice(begin, 256)
+            for begin in range(0, whole.num_rows, 1_024):
+                batch = whole.slice(begin, 1_024)
                 file = batch.column(2)[0].as_py()
                 keys = batch.column(0).to_pylist()
                 for key, ids in zip(keys, encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
