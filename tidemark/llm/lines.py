@@ -41,7 +41,8 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     name = f"lines_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", scratch_path(spark, name)).format("parquet").saveAsTable(name)
+    writer = df.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd")
+    writer.option("path", scratch_path(spark, name)).saveAsTable(name)
     return spark.table(name)
 
 
@@ -66,9 +67,16 @@ def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, lines: DataFrame, least: float) -> DataFrame:
-    """Of (one, two), those whose lines have exact Jaccard similarity ``least`` or more."""
-    left = lines.select(F.col("line_key").alias("one"), F.col("line").alias("line_one"))
-    right = lines.select(F.col("line_key").alias("two"), F.col("line").alias("line_two"))
+    """Of (one, two), those whose lines have exact Jaccard similarity ``least`` or more.
+
+    The distinct lines are read where they lie: the keys asked for, by far fewer, come to them and are
+    hashed, so that the lines need not be sorted.
+    """
+    pairs = stored(pairs, "pairs")
+    keys = pairs.select(F.explode(F.array("one", "two")).alias("line_key")).distinct()
+    asked = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
+    left = asked.select(F.col("line_key").alias("one"), F.col("line").alias("line_one"))
+    right = asked.select(F.col("line_key").alias("two"), F.col("line").alias("line_two"))
     sets = pairs.join(left, "one").select("one", "two", shingle_hashes("line_one").alias("set_one"))
     sets = sets.join(right, "two").select("one", "two", "set_one", shingle_hashes("line_two").alias("set_two"))
     common = F.size(F.array_intersect("set_one", "set_two"))
@@ -80,7 +88,7 @@ def linked_lines(lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
     prints = stored(signatures(lines, bands, rows), "bands")
     members = prints.select("line_key", F.explode(F.array(*[f"band{b}" for b in range(bands)])).alias("band"))
     groups = members.groupBy("band").agg(F.min("line_key").alias("leader"), F.count(F.lit(1)).alias("size"))
-    shared = stored(members.join(groups.where("size > 1"), "band"), "groups")
+    shared = stored(members.join(groups.where("size > 1").hint("shuffle_hash"), "band"), "groups")
     star = shared.where("line_key <> leader").select(F.col("leader").alias("one"), F.col("line_key").alias("two")).distinct()
     links = stored(verified(star, lines, least), "links")
     known = components(links, "one", "two")
@@ -91,11 +99,23 @@ def linked_lines(lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
         .select("band", "line_key", F.coalesce("component", "line_key").alias("component"))
     )
     mixed = rest.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_members = rest.join(mixed.select("band"), "band")
-    one = open_members.select("band", F.col("line_key").alias("one"), F.col("component").alias("component_one"))
-    two = open_members.select("band", F.col("line_key").alias("two"), F.col("component").alias("component_two"))
-    met = one.join(two, "band").where("one < two and component_one <> component_two").select("one", "two").distinct()
-    more = stored(verified(met, lines, least), "links")
+    open_members = stored(rest.join(mixed.select("band"), "band"), "open")
+    keys = open_members.select("line_key").distinct()
+    sets = lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi").select("line_key", shingle_hashes("line").alias("set"))
+    held = stored(open_members.join(sets, "line_key"), "open")
+    one = held.select("band", *[F.col(c).alias(f"{c}_one") for c in ("line_key", "component", "set")])
+    two = held.select("band", *[F.col(c).alias(f"{c}_two") for c in ("line_key", "component", "set")])
+    size_one, size_two, common = F.size("set_one"), F.size("set_two"), F.size(F.array_intersect("set_one", "set_two"))
+    # Compared where they meet: only verified links leave the join.
+    alike = (size_one >= least * size_two) & (size_two >= least * size_one) & (common >= least * (size_one + size_two - common))
+    met = one.join(
+        two.withColumnRenamed("band", "band_two"),
+        (F.col("band") == F.col("band_two"))
+        & (F.col("line_key_one") < F.col("line_key_two"))
+        & (F.col("component_one") != F.col("component_two"))
+        & alike,
+    )
+    more = stored(met.select(F.col("line_key_one").alias("one"), F.col("line_key_two").alias("two")).distinct(), "links")
     # Components and the few links between them.
     return components(known.select(F.col("node").alias("one"), F.col("component").alias("two")).unionByName(more), "one", "two")
 
@@ -114,10 +134,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "line_no")
     lines = bucketed(found.groupBy("line_key").agg(F.first("line").alias("line"), F.min(place).alias("place")), "line_key")
     linked = linked_lines(lines.select("line_key", "line"), least)
-    named = linked.select(F.col("node").alias("line_key"), "component").join(lines.select("line_key", "place"), "line_key")
+    linked = linked.select(F.col("node").alias("line_key"), "component")
+    named = stored(lines.select("line_key", "place").join(linked.hint("shuffle_hash"), "line_key"), "named")
     first = named.groupBy("component").agg(F.min("place").alias("first"))
     moved = named.join(first, "component").select("line_key", "first")
-    homes = lines.select("line_key", "place").join(moved, "line_key", "left").select("line_key", F.coalesce("first", "place").alias("home"))
+    homes = lines.select("line_key", "place").join(moved.hint("shuffle_hash"), "line_key", "left")
+    homes = homes.select("line_key", F.coalesce("first", "place").alias("home"))
     kept = (F.col("doc_id").eqNullSafe(F.col("home.doc_id"))) & (F.col("text_key") == F.col("home.text_key")) & (F.col("line_no") == F.col("home.line_no"))
     return (
         found.select("doc_id", "text_key", "line_no", "line_key")
