@@ -138,11 +138,11 @@ def aligned(document: np.ndarray, template: np.ndarray, shift: int, band: int) -
     return matched, first, last
 
 
-def candidates(seeds: list[tuple[int, int, int]], band: int) -> list[tuple[int, int]]:
-    """(template, diagonal) of the seeds, one for all seeds within half a band."""
+def candidates(seeds: list[tuple[int, int, int]], bands: list[int]) -> list[tuple[int, int]]:
+    """(template, diagonal) of the seeds, one for all seeds within half the template's band."""
     found: list[tuple[int, int]] = []
     for template, shift in sorted({(t, place - at) for t, place, at in seeds}):
-        if not found or found[-1][0] != template or shift - found[-1][1] > band // 2:
+        if not found or found[-1][0] != template or shift - found[-1][1] > bands[template] // 2:
             found.append((template, shift))
     return found
 
@@ -157,9 +157,11 @@ def hits_of(text: str, index: Templates, band: int, coverage: float) -> list[tup
         return []
     spans = [m.span() for m in re.finditer(rb"[^ ]+", flat)]
     found = []
-    for template, shift in candidates(seeds, band):
+    # Narrow enough that a repeat of the template right behind it lies outside.
+    bands = [min(band, (len(pattern) - 1) // 2) for pattern in index.words]
+    for template, shift in candidates(seeds, bands):
         pattern = index.words[template]
-        matched, first, last = aligned(words, pattern, shift, band)
+        matched, first, last = aligned(words, pattern, shift, bands[template])
         if matched >= coverage * len(pattern):
             found.append((template, matched, first, last))
     kept: dict[tuple[int, int], tuple[int, int, int, int]] = {}

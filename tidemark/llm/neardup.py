@@ -27,6 +27,8 @@ from tidemark.runtime import stored
 BITS = 64
 # The thresholds are fitted on at most this many distinct fingerprints.
 FIT_SAMPLE = 2_000
+# A partition is probed with at most this many values for each fingerprint.
+PROBES = 1_024
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -92,6 +94,7 @@ def allotted(sample: np.ndarray, groups: list[list[int]], radius: int, rows: int
     """
     pairs = max(1, len(sample) * (len(sample) - 1) // 2)
     budget = radius - len(groups) + 1
+    never = (float("inf"), [])
     best = {0: (0.0, [])}
     for group in groups:
         mask = np.uint64(sum(1 << bit for bit in group))
@@ -103,13 +106,15 @@ def allotted(sample: np.ndarray, groups: list[list[int]], radius: int, rows: int
         for spent, (cost, chosen) in best.items():
             for t in range(-1, radius + 1):
                 probes = sum(comb(len(group), k) for k in range(t + 1))
+                if probes > PROBES:
+                    continue
                 # Unseen closeness is floored by what uniform bits would give.
                 share = max((near[t + 1] - len(sample)) / 2 / pairs, probes / 2.0 ** len(group)) if t >= 0 else 0.0
                 total = cost + (probes + (t >= 0)) * rows + share * rows * (rows - 1) / 2 * 0.1
                 if spent + t not in ahead or total < ahead[spent + t][0]:
                     ahead[spent + t] = (total, [*chosen, t])
         best = ahead
-    return best[budget]
+    return best.get(budget, never)
 
 
 def plan(sample: np.ndarray, radius: int, rows: int) -> tuple[list[list[int]], list[int]]:
