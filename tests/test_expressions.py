@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import coercion, stats, text, traffic, versions
@@ -30,7 +32,7 @@ def test_bins_close_left_and_last_bin_holds_the_maximum(spark):
 def test_p_value_matches_the_series(spark):
     got = values(
         spark,
-        [(0.0, 10, 10), (1.0, 50, 50), (0.2, 40, 60)],
+        [(0.0, 10, 10), (1.0, 50, 50), (0.2, 40, 60), (1e-3, 2, 2), (0.005, 20000, 20000), (0.008276, 20000, 20000)],
         "d double, n bigint, m bigint",
         stats.ks_pvalue(F.col("d"), F.col("n"), F.col("m")),
     )
@@ -39,6 +41,10 @@ def test_p_value_matches_the_series(spark):
     assert got[0][0] == 1.0
     assert got[1][0] < 1e-20
     assert abs(got[2][0] - wanted) < 1e-12
+    # Tabulated: K(0.5) = 0.036055, K(0.8276) = 0.4999
+    assert got[3][0] == 1.0
+    assert got[4][0] == pytest.approx(1 - 0.036055, abs=1e-5)
+    assert got[5][0] == pytest.approx(0.5, abs=1e-3)
 
 
 def test_status_rules_are_strict(spark):

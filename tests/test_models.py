@@ -20,9 +20,9 @@ def model(model_id, version, status="production", names=("f", "g")):
 def models(spark):
     return spark.createDataFrame(
         [
-            model("House_Price", "0.1.9", "deprecated"),
-            model("House_Price", "0.1.10"),
-            model("Loan_Approve", "1.0", names=("g", "g", "h")),
+            model("rent", "0.1.9", "deprecated"),
+            model("rent", "0.1.10"),
+            model("refund", "1.0", names=("g", "g", "h")),
             model("Empty", "0.1.0", names=()),
             model("Lab", "0.1.0", "staging"),
         ],
@@ -40,54 +40,54 @@ def metrics(spark):
 
 def test_versions_compare_as_numbers(models):
     got = {r.model_id: r.version for r in registry.current_versions(models).collect()}
-    assert got["House_Price"] == "0.1.10"
+    assert got["rent"] == "0.1.10"
 
 
 def test_missing_models(spark, models):
-    required = spark.createDataFrame([("House_Price",), ("Coffee_Recommender",)], "model_id string")
-    assert [r.model_id for r in registry.missing_models(required, models).collect()] == ["Coffee_Recommender"]
+    required = spark.createDataFrame([("rent",), ("parcel",)], "model_id string")
+    assert [r.model_id for r in registry.missing_models(required, models).collect()] == ["parcel"]
 
 
 def test_retrained_rows_and_deprecation(spark, models):
-    trained = models.filter("model_id in ('House_Price', 'Loan_Approve') and status = 'production'").select(
+    trained = models.filter("model_id in ('rent', 'refund') and status = 'production'").select(
         "model_id", "expected_features"
     ).unionByName(
         models.filter("model_id = 'Lab'").select(F.lit("Brand_New").alias("model_id"), "expected_features")
     )
     rows = {r.model_id: r for r in registry.retrained_rows(models, trained, F.lit("2024-05-01")).collect()}
-    assert rows["House_Price"].version == "0.1.11" and rows["House_Price"].error is None
-    assert rows["House_Price"].trained_date == date(2024, 5, 1)
-    assert [f.drift_score for f in rows["House_Price"].expected_features] == [0.0, 0.0]
+    assert rows["rent"].version == "0.1.11" and rows["rent"].error is None
+    assert rows["rent"].trained_date == date(2024, 5, 1)
+    assert [f.drift_score for f in rows["rent"].expected_features] == [0.0, 0.0]
     assert rows["Brand_New"].version == "0.1.0" and rows["Brand_New"].azure_location == "Model_Brand_New/"
-    assert rows["Loan_Approve"].version is None and rows["Loan_Approve"].error == "bad version 1.0"
+    assert rows["refund"].version is None and rows["refund"].error == "bad version 1.0"
     added = registry.retrained_rows(models, trained, F.lit("2024-05-01")).filter("error is null")
     after = {(r.model_id, r.version): r.status for r in registry.with_new_versions(models, added).collect()}
-    assert after["House_Price", "0.1.10"] == "deprecated" and after["House_Price", "0.1.11"] == "production"
+    assert after["rent", "0.1.10"] == "deprecated" and after["rent", "0.1.11"] == "production"
     assert after["Lab", "0.1.0"] == "staging" and len(after) == 7
 
 
 def test_roll_up_lists_each_feature_once(models, metrics):
     got = {r.model_id: r for r in registry.model_drift(models, metrics).collect()}
-    assert set(got) == {"House_Price", "Loan_Approve"}
-    assert [m.feature_name for m in got["House_Price"].feature_metrics] == ["f", "g"]
-    assert [m.feature_name for m in got["Loan_Approve"].feature_metrics] == ["g"]
-    assert got["House_Price"].drift_detected and got["Loan_Approve"].drift_detected
+    assert set(got) == {"rent", "refund"}
+    assert [m.feature_name for m in got["rent"].feature_metrics] == ["f", "g"]
+    assert [m.feature_name for m in got["refund"].feature_metrics] == ["g"]
+    assert got["rent"].drift_detected and got["refund"].drift_detected
     calm = registry.model_drift(models, metrics.filter("feature_name = 'nothing'")).collect()
     assert all(not r.drift_detected and r.feature_metrics == [] for r in calm) and len(calm) == 2
 
 
 def test_retrain_selection(models, metrics):
     got = {r.model_id for r in registry.retrain_models(models, metrics).collect()}
-    assert got == {"House_Price", "Loan_Approve"}
+    assert got == {"rent", "refund"}
     assert registry.retrain_models(models, metrics, ("WARNING",)).count() == 0
 
 
 def test_scores_are_written_back_in_place(models, metrics):
     got = {(r.model_id, r.version): r for r in registry.write_back_scores(models, metrics).collect()}
-    fresh = got["House_Price", "0.1.10"].expected_features
+    fresh = got["rent", "0.1.10"].expected_features
     assert [(f["index"], f.name, f.drift_score) for f in fresh] == [(0, "f", 0.01), (1, "g", 0.9)]
-    assert [f.drift_score for f in got["Loan_Approve", "1.0"].expected_features] == [0.9, 0.9, 0.5]
-    assert [f.drift_score for f in got["House_Price", "0.1.9"].expected_features] == [0.5, 0.5]
+    assert [f.drift_score for f in got["refund", "1.0"].expected_features] == [0.9, 0.9, 0.5]
+    assert [f.drift_score for f in got["rent", "0.1.9"].expected_features] == [0.5, 0.5]
     assert len(got) == 5
 
 
@@ -108,10 +108,10 @@ def test_unreadable_feature_json_gives_null(spark):
 
 def test_artifacts_from_files(spark, models, tmp_path):
     for name in (
-        "Model_House_Price/Model_House_Price_Production.pkl",
-        "Model_House_Price/Model_House_Price_12.pkl",
-        "Model_House_Price/deep/x_Production.json",
-        "Model_House_Price_2/Model_House_Price_2_Production.pkl",
+        "Model_rent/Model_rent_Production.pkl",
+        "Model_rent/Model_rent_12.pkl",
+        "Model_rent/deep/x_Production.json",
+        "Model_rent_2/Model_rent_2_Production.pkl",
         "Model_Lab/Model_Lab_Production.pkl",
     ):
         target = tmp_path / name
@@ -119,10 +119,10 @@ def test_artifacts_from_files(spark, models, tmp_path):
         target.write_bytes(name.encode())
     found = artifacts.production_artifacts(spark, str(tmp_path), models)
     got = {r.key: bytes(r.content).decode() for r in found.collect()}
-    assert set(got) == {"model:House_Price:pkl", "model:House_Price:json"}
-    assert got["model:House_Price:pkl"].endswith("_Production.pkl")
+    assert set(got) == {"model:rent:pkl", "model:rent:json"}
+    assert got["model:rent:pkl"].endswith("_Production.pkl")
     lost = {r.model_id for r in registry.models_without_artifact(models, found).collect()}
-    assert lost == {"Loan_Approve", "Empty"}
+    assert lost == {"refund", "Empty"}
 
 
 def test_label_metrics_and_lag(spark):
@@ -143,52 +143,55 @@ def test_label_metrics_and_lag(spark):
 
 # --- learning ------------------------------------------------------------------------------
 
-HOUSE = learning.ModelSpec("House_Price", "linear", ("size", "rooms"), "price")
-LOAN = learning.ModelSpec("Loan_Approve", "logistic", ("score", "income"), "approved", 2)
-COFFEE = learning.ModelSpec("Coffee_Recommender", "tree", ("temperature", "sweetness"), "drink", 3)
+RENT = learning.ModelSpec("rent", "linear", ("size", "rooms"), "price")
+REFUND = learning.ModelSpec("refund", "logistic", ("score", "income"), "approved", 2)
+PARCEL = learning.ModelSpec("parcel", "tree", ("temperature", "sweetness"), "drink", 3)
 
 
 @pytest.fixture(scope="module")
-def house_rows(spark):
-    rows = [(500, 1, 150000), (1500, 3, 400000), (2500, 4, 600000), (800, 2, 220000), (3000, 5, 750000)]
+def rent_rows(spark):
+    # price = 12 * size + 90 * rooms + 40, on a small grid
+    rows = [(size, rooms, 12 * size + 90 * rooms + 40) for size in (20, 35, 50, 80) for rooms in (1, 2, 4)]
     return spark.createDataFrame([tuple(map(float, r)) for r in rows], "size double, rooms double, price double")
 
 
-def test_linear_regression(house_rows):
-    fitted = learning.fit(HOUSE, house_rows).stages[-1]
-    assert fitted.coefficients.toArray() == pytest.approx([188.6179, 31626.0163], abs=1e-3)
-    assert fitted.intercept == pytest.approx(16016.2602, abs=1e-3)
+def test_linear_regression(rent_rows):
+    fitted = learning.fit(RENT, rent_rows).stages[-1]
+    assert fitted.coefficients.toArray() == pytest.approx([12, 90], abs=1e-6)
+    assert fitted.intercept == pytest.approx(40, abs=1e-6)
 
 
 def test_classifiers_learn_their_rows(spark):
-    loans = [(400, 20000, 0), (800, 100000, 1), (500, 50000, 0), (750, 80000, 1), (600, 30000, 0)]
+    # approved from 50 on, whatever the income
+    loans = [(score, income, int(score >= 50)) for score in (10, 30, 60, 90) for income in (1, 5)]
     frame = spark.createDataFrame([tuple(map(float, r)) for r in loans], "score double, income double, approved double")
-    assert learning.evaluate(LOAN, learning.fit(LOAN, frame).transform(frame)).first().score == 1.0
-    cups = [(5, 8, 0), (90, 1, 1), (65, 5, 2), (4, 9, 0), (85, 2, 1), (70, 6, 2)]
+    assert learning.evaluate(REFUND, learning.fit(REFUND, frame).transform(frame)).first().score == 1.0
+    # two cuts of the first input make three classes
+    cups = [(heat, heat % 7, (heat >= 30) + (heat >= 60)) for heat in range(0, 90, 6)]
     frame = spark.createDataFrame([tuple(map(float, r)) for r in cups], "temperature double, sweetness double, drink double")
-    assert learning.evaluate(COFFEE, learning.fit(COFFEE, frame).transform(frame)).first().score == 1.0
+    assert learning.evaluate(PARCEL, learning.fit(PARCEL, frame).transform(frame)).first().score == 1.0
 
 
 def test_descriptors():
-    assert learning.output_descriptor(HOUSE) == {"type": "Float", "is_classification": False, "classes": []}
-    assert learning.output_descriptor(COFFEE)["classes"] == [0, 1, 2]
-    assert [f["name"] for f in learning.feature_list(LOAN)] == ["score", "income"]
+    assert learning.output_descriptor(RENT) == {"type": "Float", "is_classification": False, "classes": []}
+    assert learning.output_descriptor(PARCEL)["classes"] == [0, 1, 2]
+    assert [f["name"] for f in learning.feature_list(REFUND)] == ["score", "income"]
 
 
-def test_inference_never_fails_the_batch(spark, house_rows):
-    fitted = learning.fit(HOUSE, house_rows)
+def test_inference_never_fails_the_batch(spark, rent_rows):
+    fitted = learning.fit(RENT, rent_rows)
     requests = spark.createDataFrame(
         [
-            (1, "House_Price", {"size": "1000", "rooms": "2"}),
-            (2, "House_Price", {"size": "big", "rooms": "2"}),
-            (3, "House_Price", {"size": "1000"}),
+            (1, "rent", {"size": "1000", "rooms": "2"}),
+            (2, "rent", {"size": "big", "rooms": "2"}),
+            (3, "rent", {"size": "1000"}),
             (4, "Other", {}),
             (5, None, {}),
         ],
         "request_id int, model_id string, features map<string,string>",
     )
-    got = {r.request_id: r for r in learning.batch_inference(requests, {"House_Price": (HOUSE, fitted)}).collect()}
-    assert got[1].prediction == pytest.approx(16016.2602 + 188617.9 + 2 * 31626.0163, rel=1e-5) and got[1].error == ""
+    got = {r.request_id: r for r in learning.batch_inference(requests, {"rent": (RENT, fitted)}).collect()}
+    assert got[1].prediction == pytest.approx(12 * 1000 + 90 * 2 + 40, rel=1e-9) and got[1].error == ""
     assert all(got[i].prediction == -1.0 and got[i].error for i in (2, 3, 4, 5)) and len(got) == 5
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,9 +17,9 @@ KS_D_WARNING = 0.1
 
 
 def finite_double(raw: Column) -> Column:
-    """Numeric reading of a value; text that is no number, and NaN, give null."""
+    """Numeric reading of a value; text that is no number, NaN and infinities give null."""
     number = raw.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def equal_width_bin(value: Column, low: Column, high: Column, bins: int = BINS) -> Column:
@@ -38,19 +40,26 @@ def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     """Two-sided asymptotic p-value of the two-sample KS statistic.
 
     Kolmogorov's series 2 * sum (-1)^(k-1) exp(-2 k^2 t^2), t = D * sqrt(nm / (n + m)), cut at
-    100 terms. For small samples an exact method can give a different number.
+    100 terms; below t = 1, where it converges slowly, the complement of
+    sqrt(2 pi) / t * sum exp(-(2k-1)^2 pi^2 / (8 t^2)). For small samples an exact method can give a
+    different number.
     """
     n, m = n.cast("double"), m.cast("double")
     t = d * F.sqrt(n * m / (n + m))
+    near = F.aggregate(
+        F.sequence(F.lit(1), F.lit(20)),
+        F.lit(0.0),
+        lambda acc, k: acc + F.exp(F.lit(-math.pi**2 / 8) * (2 * k - 1) * (2 * k - 1) / (t * t)),
+    )
+    small = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / t * near
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)),
         F.lit(0.0),
         lambda acc, k: acc
         + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.exp(F.lit(-2.0) * k * k * t * t),
     )
-    return F.when(d == 0, F.lit(1.0)).otherwise(
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(2.0) * series))
-    )
+    value = F.when(t < 1, small).otherwise(F.lit(2.0) * series)
+    return F.when(t * t == 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
 
 
 def share(count: Column, total: Column) -> Column:

@@ -189,6 +189,8 @@ def write_back_scores(registry: DataFrame, metrics: DataFrame) -> DataFrame:
     maps = (
         model_features(current)
         .join(scores, "feature_name")
+        .select("model_id", "version", "feature_name", "psi")
+        .distinct()
         .groupBy("model_id", "version")
         .agg(F.map_from_entries(F.collect_list(F.struct("feature_name", "psi"))).alias("scores"))
     )

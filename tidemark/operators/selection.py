@@ -156,9 +156,9 @@ def exact_percentile(
     """Percentile with linear interpolation, from the two neighbouring order statistics.
 
     The built-in exact percentile keeps the distinct values of a group in memory; this form
-    keeps bin counts only.
+    keeps bin counts only. Nulls, NaN and infinities are left out.
     """
-    rows = df.select(group, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    rows = df.select(group, F.col(value).cast("double").alias("v")).filter(F.abs("v") < float("inf"))
     sizes = rows.groupBy(group).agg(
         F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
     )

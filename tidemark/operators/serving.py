@@ -80,18 +80,20 @@ def canary_split(entities: DataFrame, percent: int, entity: str = "entity_id") -
 
 
 def with_labels(predictions: DataFrame, labels: DataFrame, key: str, max_lag: Column) -> DataFrame:
-    """Predictions with the label that arrived within the lag; null when none has.
+    """Predictions with the first label that arrived within the lag; null when none has.
 
-    ``predictions`` has ``predicted_at``, ``labels`` has ``labeled_at`` and ``label``.
+    Every prediction is one row, however many labels its key has. ``predictions`` has ``predicted_at``, ``labels`` has ``labeled_at`` and ``label``.
     """
-    arrived = labels.select(key, "label", "labeled_at")
-    joined = predictions.join(arrived, key, "left")
+    arrived = labels.select(F.col(key).alias("label_key"), "label", "labeled_at")
     in_time = (F.col("labeled_at") >= F.col("predicted_at")) & (
         F.col("labeled_at") <= F.col("predicted_at") + max_lag
     )
-    return joined.withColumns(
-        {"label": F.when(in_time, F.col("label")), "labeled_at": F.when(in_time, F.col("labeled_at"))}
+    numbered = predictions.withColumn("prediction_row", F.monotonically_increasing_id())
+    joined = numbered.join(arrived, (F.col(key) == F.col("label_key")) & in_time, "left")
+    first = joined.groupBy("prediction_row", *predictions.columns).agg(
+        F.min(F.when(F.col("labeled_at").isNotNull(), F.struct("labeled_at", "label"))).alias("first")
     )
+    return first.select(*predictions.columns, F.col("first.label").alias("label"), F.col("first.labeled_at").alias("labeled_at"))
 
 
 def label_metrics(labeled: DataFrame, by: str = "model_id") -> DataFrame:

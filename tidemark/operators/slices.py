@@ -13,11 +13,9 @@ from tidemark.runtime import settled, small
 
 HISTORICAL = "historical"
 CURRENT = "current"
-# Position of both slices in the time-ordered rows of a feature, and the rows a
-# slice may have when a sample cap is asked for.
+# Position of both slices in the time-ordered rows of a feature.
 HISTORICAL_SPAN = (0.50, 0.70)
 CURRENT_FROM = 0.95
-SAMPLE_CAP = 20_000
 
 _KEYS = ["time_key", "known_key", "row_key"]
 
@@ -102,22 +100,16 @@ def positional_slices(
     group: str = "feature_name",
     time: str = "event_timestamp",
     known: str = "created_at",
-    sample_cap: int | None = None,
     small_box: int = SMALL_BOX,
 ) -> DataFrame:
     """Rows of both slices by position in event-time order, with a ``slice`` column.
 
     Historical is the part from 50 % to 70 % of a feature's rows, current the last 5 %. Rows of
-    one event time are ordered by knowledge time, then by a hash of the row. With
-    ``sample_cap`` each slice keeps its oldest rows up to that many; without it the slices are
-    whole.
+    one event time are ordered by knowledge time, then by a hash of the row. The slices are whole.
     """
     rows = F.col("rows")
     first, end = _offset(rows, HISTORICAL_SPAN[0]), _offset(rows, HISTORICAL_SPAN[1])
     start, stop = _offset(rows, CURRENT_FROM), rows
-    if sample_cap is not None:
-        end = F.least(end, first + sample_cap)
-        stop = F.least(stop, start + sample_cap)
     ranks = {"h_from": first, "h_to": end, "c_from": start, "c_to": stop}
     held, before = _placed(_marked(log, group, time, known), group, time, ranks, small_box)
     name = F.when(~before("h_from") & before("h_to"), HISTORICAL).when(

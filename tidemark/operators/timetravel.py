@@ -82,7 +82,8 @@ def _visible_from(bitemporal: bool) -> Column:
     ``greatest(...) <= t``, which turns the two-sided condition into one ordered axis.
     """
     if bitemporal:
-        return F.greatest("event_timestamp", "created_at")
+        known = F.col("created_at").isNotNull() & F.col("event_timestamp").isNotNull()
+        return F.when(known, F.greatest("event_timestamp", "created_at"))
     return F.col("event_timestamp")
 
 
@@ -137,8 +138,10 @@ def pit_join(
     carried_columns = labels.columns
     state = F.struct("event_timestamp", "created_at", "value")
     newest_label = labels.select(F.max(label_time)).scalar()
-    usable = log.withColumn("visible", _visible_from(bitemporal)).filter(
-        (F.col("event_timestamp") <= newest_label) & (F.col("visible") <= newest_label)
+    usable = (
+        log.dropna(subset=keys)  # a null key matches nothing
+        .withColumn("visible", _visible_from(bitemporal))
+        .filter((F.col("event_timestamp") <= newest_label) & (F.col("visible") <= newest_label))
     )
     if bucket is None:
         bucket = _unit_for(usable, labels, keys, label_time)

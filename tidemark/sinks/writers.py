@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,9 +83,11 @@ def envelope_rows(parsed: DataFrame, table: str, schema: T.StructType) -> DataFr
     )
 
 
-def unreadable_envelopes(parsed: DataFrame) -> DataFrame:
-    """Envelopes that are no JSON object or name no table."""
-    return parsed.filter(F.col("head.table").isNull()).select("message", F.lit("no table").alias("error"))
+def unreadable_envelopes(parsed: DataFrame, known: Iterable[str] = ()) -> DataFrame:
+    """Envelopes that are no JSON object, name no table, or name one that is not among ``known``."""
+    table = F.col("head.table")
+    error = F.when(table.isNull(), "no table").when(~table.isin(*known), F.concat(F.lit("unknown table "), table))
+    return parsed.select("message", error.alias("error")).filter(F.col("error").isNotNull())
 
 
 def append_envelopes(envelopes: DataFrame, targets: dict[str, tuple[T.StructType, str]], dead: str) -> None:
@@ -92,7 +96,7 @@ def append_envelopes(envelopes: DataFrame, targets: dict[str, tuple[T.StructType
     The messages are parsed once and kept until all targets are written.
     """
     parsed = opened(envelopes).persist()
-    refused = unreadable_envelopes(parsed)
+    refused = unreadable_envelopes(parsed, targets)
     for table, (schema, path) in targets.items():
         rows = envelope_rows(parsed, table, schema)
         rows.filter(F.col("error").isNull()).drop("message", "error").write.mode("append").parquet(path)

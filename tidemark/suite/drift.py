@@ -102,7 +102,9 @@ def metrics_sql(group: str) -> str:
     distance AS (
       SELECT g, max(abs(h / n_hist - c / n_curr)) AS ks_stat FROM cdf JOIN totals USING (g) GROUP BY g),
     tests AS (
-      SELECT *, CASE WHEN ks_stat = 0 THEN 1 ELSE greatest(0, least(1, 2 * list_sum(
+      SELECT *, CASE WHEN ks_stat = 0 THEN 1 WHEN t < 1 THEN greatest(0, least(1, 1 - sqrt(2 * pi()) / t * list_sum(
+             [exp(-(2 * k - 1) * (2 * k - 1) * pi() * pi() / (8 * t * t)) FOR k IN range(1, 21)])))
+             ELSE greatest(0, least(1, 2 * list_sum(
              [(CASE WHEN k % 2 = 1 THEN CAST(1 AS DOUBLE) ELSE CAST(-1 AS DOUBLE) END)
               * exp(CAST(-2 AS DOUBLE) * k * k * t * t) FOR k IN range(1, 101)]))) END AS ks_p_value
       FROM (SELECT g, n_hist, n_curr, low, high, ks_stat,
@@ -167,17 +169,6 @@ def _(spark, sf_dir):
     return slices_of(spark, sf_dir).select("event_id", "feature_name", "slice", "value")
 
 
-@query(
-    "capped_slices",
-    f"""WITH {log_sql()}, {ranked_sql('log', 'feature_name', cap=150)}
-    SELECT event_id, feature_name, slice FROM sliced""",
-)
-def _(spark, sf_dir):
-    # The cap is the operator here: the oldest rows of each slice up to a sample size.
-    capped = positional_slices(feature_log(spark, sf_dir), sample_cap=150)
-    return capped.select("event_id", "feature_name", "slice")
-
-
 @query(
     "slice_stats",
     f"""{SLICES} SELECT feature_name, slice, count(*) AS n, round(avg(value), 6) AS mean,
