@@ -278,6 +278,8 @@ def test_envelopes_with_missing_extra_and_bad_fields(spark):
     assert tuple(rows[0])[1:] == ("e", None, 2.0, START, None, None)
     assert rows[1].error == "bad value"
     assert [r.message for r in writers.unreadable_envelopes(parsed).collect()] == ["nothing"]
+    refused = writers.unreadable_envelopes(parsed, ["features_table"]).collect()
+    assert [r.error for r in refused] == ["unknown table unknown", "no table"]
 
 
 def test_offline_log_prunes_partitions(spark):

@@ -29,7 +29,7 @@ def rows_of(frame):
     return sorted((tuple("" if pd.isna(v) else v for v in row) for row in plain), key=str)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", registered.QUERIES)
 def test_query(spark, duck, name):
     ours = QUERIES[name](spark, SF).toPandas()
     if name not in ORACLES:

@@ -83,10 +83,12 @@ def envelope_rows(parsed: DataFrame, table: str, schema: T.StructType) -> DataFr
     )
 
 
-def unreadable_envelopes(parsed: DataFrame, known: Iterable[str] = ()) -> DataFrame:
-    """Envelopes that are no JSON object, name no table, or name one that is not among ``known``."""
+def unreadable_envelopes(parsed: DataFrame, known: Iterable[str] | None = None) -> DataFrame:
+    """Envelopes that are no JSON object, name no table, or name one that is not among ``known`` (if given)."""
     table = F.col("head.table")
-    error = F.when(table.isNull(), "no table").when(~table.isin(*known), F.concat(F.lit("unknown table "), table))
+    error = F.when(table.isNull(), "no table")
+    if known is not None:
+        error = error.when(~table.isin(*known), F.concat(F.lit("unknown table "), table))
     return parsed.select("message", error.alias("error")).filter(F.col("error").isNotNull())
 
 
