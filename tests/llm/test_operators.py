@@ -210,6 +210,23 @@ def test_line_classes_and_cleaned_texts(spark, empty):
     assert lines.classes(empty).count() == 0 and lines.without_repeats(empty).count() == 0
 
 
+def test_bitmaps_lose_no_link(spark):
+    rng = np.random.default_rng(11)
+    sets = {}
+    for key in range(90):
+        base = np.random.default_rng(key % 3).integers(-(1 << 62), 1 << 62, (5, 60, 900)[key % 3])
+        changed = rng.random(len(base)) < 0.12
+        sets[key] = {int(x) for x in np.where(changed, rng.integers(-(1 << 62), 1 << 62, len(base)), base)}
+    rows = [(1, key, key, sorted(found)) for key, found in sets.items()]
+    members = spark.createDataFrame(rows, "band long, line_key long, component long, set array<long>")
+    held = members.select("*", *lines.bitmap("set"))
+    met = lines._meeting(held, held, F.col("line_key_one") < F.col("line_key_two"), 0.8)
+    expected = {
+        (a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    }
+    assert expected and {tuple(row) for row in met.collect()} == expected
+
+
 def test_similar_lines_by_brute_force(spark):
     rng = np.random.default_rng(4)
     words = [f"v{i}" for i in range(500)]

@@ -5,8 +5,9 @@ the start of a word to the end of the next one. MinHash signatures of the shingl
 share a band are verified by exact Jaccard similarity, and union-find over the verified links leaves
 one line per component, its first occurrence.
 
-A band's group is never paired with itself: every member is compared with the group's first line,
-and only what is still in different components afterwards meets within the group.
+A band's group is never paired with itself: every member is compared with the group's first line, and
+only what is still in different components afterwards meets within the group. There, bitmaps of the
+shingles bound what two lines can have in common, and exact similarity is computed where the bound allows a link.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tidemark.runtime import scratch_path, stored
 
 ROWS = 4
 BANDS = 8
+# Longs of a line's bitmap.
+MAP_LONGS = 4
 LOW_HALF = 0xFFFF_FFFF
 # Stands for a null id in joins.
 LEAST = -(1 << 63)
@@ -93,31 +96,60 @@ def linked_lines(lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
     links = stored(verified(star, lines, least), "links")
     known = components(links, "one", "two")
     # What the first line of a group did not catch: members of different components, the first line aside.
-    rest = (
-        shared.where("size > 2 and line_key <> leader")
-        .join(known.select(F.col("node").alias("line_key"), "component"), "line_key", "left")
-        .select("band", "line_key", F.coalesce("component", "line_key").alias("component"))
-    )
-    mixed = rest.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_members = stored(rest.join(mixed.select("band"), "band"), "open")
-    keys = open_members.select("line_key").distinct()
+    rest = shared.where("size > 2 and line_key <> leader").select("band", "line_key")
+    asked = stored(_open(rest, known), "open")
+    keys = asked.select("line_key").distinct()
     sets = lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi").select("line_key", shingle_hashes("line").alias("set"))
-    held = stored(open_members.join(sets, "line_key"), "open")
-    one = held.select("band", *[F.col(c).alias(f"{c}_one") for c in ("line_key", "component", "set")])
-    two = held.select("band", *[F.col(c).alias(f"{c}_two") for c in ("line_key", "component", "set")])
-    size_one, size_two, common = F.size("set_one"), F.size("set_two"), F.size(F.array_intersect("set_one", "set_two"))
-    # Compared where they meet: only verified links leave the join.
-    alike = (size_one >= least * size_two) & (size_two >= least * size_one) & (common >= least * (size_one + size_two - common))
-    met = one.join(
-        two.withColumnRenamed("band", "band_two"),
-        (F.col("band") == F.col("band_two"))
-        & (F.col("line_key_one") < F.col("line_key_two"))
-        & (F.col("component_one") != F.col("component_two"))
-        & alike,
-    )
-    more = stored(met.select(F.col("line_key_one").alias("one"), F.col("line_key_two").alias("two")).distinct(), "links")
+    sets = sets.select("line_key", "set", *bitmap("set"))
+    held = stored(asked.join(sets, "line_key"), "open")
+    more = stored(_meeting(held, held, F.col("line_key_one") < F.col("line_key_two"), least), "links")
     # Components and the few links between them.
-    return components(known.select(F.col("node").alias("one"), F.col("component").alias("two")).unionByName(more), "one", "two")
+    return components(_as_links(known).unionByName(more), "one", "two")
+
+
+def bitmap(shingles: str) -> list[Column]:
+    """Columns map0, map1, ...: one of their bits is set for each shingle."""
+
+    def long(k: int) -> Column:
+        def add(bits: Column, h: Column) -> Column:
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+            return F.when(F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)) == k, bits.bitwiseOR(bit)).otherwise(bits)
+
+        return F.aggregate(shingles, F.lit(0).cast("long"), add).alias(f"map{k}")
+
+    return [long(k) for k in range(MAP_LONGS)]
+
+
+def _as_links(known: DataFrame) -> DataFrame:
+    return known.select(F.col("node").alias("one"), F.col("component").alias("two"))
+
+
+def _open(members: DataFrame, known: DataFrame) -> DataFrame:
+    """The members, with their components, of the bands that hold more than one component."""
+    placed = members.join(known.withColumnRenamed("node", "line_key"), "line_key", "left").withColumn(
+        "component", F.coalesce("component", "line_key")
+    )
+    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return placed.join(mixed.select("band"), "band")
+
+
+def _meeting(one: DataFrame, two: DataFrame, pairs: Column, least: float) -> DataFrame:
+    """Links (one, two) between members of one band and different components; compared where they meet, so only links leave the join."""
+    maps = [f"map{k}" for k in range(MAP_LONGS)]
+    columns = ("band", "line_key", "component", "set", *maps)
+    one = one.select(*[F.col(c).alias(f"{c}_one") for c in columns])
+    two = two.select(*[F.col(c).alias(f"{c}_two") for c in columns])
+    size_one, size_two, common = F.size("set_one"), F.size("set_two"), F.size(F.array_intersect("set_one", "set_two"))
+
+    def missing(side: str, other: str) -> Column:
+        """At least so many shingles of one side are not in the other."""
+        return sum((F.bit_count(F.col(f"{m}_{side}").bitwiseAND(F.bitwise_not(f"{m}_{other}"))) for m in maps), F.lit(0))
+
+    enough = least / (1 + least) * (size_one + size_two) - 1e-9
+    possible = (size_one - missing("one", "two") >= enough) & (size_two - missing("two", "one") >= enough)
+    alike = possible & (common >= least * (size_one + size_two - common))
+    met = one.join(two, (F.col("band_one") == F.col("band_two")) & pairs & (F.col("component_one") != F.col("component_two")) & alike)
+    return met.select(F.col("line_key_one").alias("one"), F.col("line_key_two").alias("two")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
@@ -132,26 +164,35 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     """
     found = occurrences(docs, id_col, text_col)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "line_no")
-    lines = bucketed(found.groupBy("line_key").agg(F.first("line").alias("line"), F.min(place).alias("place")), "line_key")
+    grouped = found.groupBy("line_key").agg(F.first("line").alias("line"), F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
+    lines = bucketed(grouped, "line_key")
     linked = linked_lines(lines.select("line_key", "line"), least)
     linked = linked.select(F.col("node").alias("line_key"), "component")
     named = stored(lines.select("line_key", "place").join(linked.hint("shuffle_hash"), "line_key"), "named")
     first = named.groupBy("component").agg(F.min("place").alias("first"))
     moved = named.join(first, "component").select("line_key", "first")
-    homes = lines.select("line_key", "place").join(moved.hint("shuffle_hash"), "line_key", "left")
-    homes = homes.select("line_key", F.coalesce("first", "place").alias("home"))
-    kept = (F.col("doc_id").eqNullSafe(F.col("home.doc_id"))) & (F.col("text_key") == F.col("home.text_key")) & (F.col("line_no") == F.col("home.line_no"))
+    homes = lines.select("line_key", "place", "times").join(moved.hint("shuffle_hash"), "line_key", "left")
+    # Lines that occur once and have no links are their own class. The others, being written, are shuffled as the
+    # occurrences are, so that a line of very many documents can be split.
+    homes = homes.where("times > 1 or first is not null").select("line_key", F.coalesce("first", "place").alias("home"))
+    homes = stored(homes, "homes")
+    alone = F.col("home").isNull()
+
+    def home(column: str) -> Column:
+        return F.when(alone, F.col(column)).otherwise(F.col(f"home.{column}"))
+
+    own = (F.col("doc_id").eqNullSafe(F.col("home.doc_id"))) & (F.col("text_key") == F.col("home.text_key")) & (F.col("line_no") == F.col("home.line_no"))
     return (
         found.select("doc_id", "text_key", "line_no", "line_key")
-        .join(homes, "line_key")
+        .join(homes.hint("shuffle_hash"), "line_key", "left")
         .select(
             "doc_id",
             "text_key",
             "line_no",
-            F.col("home.doc_id").alias("class_doc_id"),
-            F.col("home.text_key").alias("class_text_key"),
-            F.col("home.line_no").alias("class_line_no"),
-            kept.alias("kept"),
+            home("doc_id").alias("class_doc_id"),
+            home("text_key").alias("class_text_key"),
+            home("line_no").alias("class_line_no"),
+            (alone | own).alias("kept"),
         )
     )
 
