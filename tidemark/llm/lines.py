@@ -5,8 +5,9 @@ the start of a word to the end of the next one. MinHash signatures of the shingl
 share a band are verified by exact Jaccard similarity, and union-find over the verified links leaves
 one line per component, its first occurrence.
 
-A band's group is never paired with itself: every member is compared with the group's first line, and
-only what is still in different components afterwards meets within the group. There, bitmaps of the
+A band's group is never paired with itself: every member is compared with the group's first line, then
+asks whether it is linked to any line of the group's largest component, and only what is still in
+different components afterwards meets within the group. There, bitmaps of the
 shingles bound what two lines can have in common, and exact similarity is computed where the bound allows a link.
 """
 
@@ -101,8 +102,15 @@ def linked_lines(lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
     keys = asked.select("line_key").distinct()
     sets = lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi").select("line_key", shingle_hashes("line").alias("set"))
     sets = sets.select("line_key", "set", *bitmap("set"))
-    held = stored(asked.join(sets, "line_key"), "open")
-    more = stored(_meeting(held, held, F.col("line_key_one") < F.col("line_key_two"), least), "links")
+    largest = asked.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"))
+    centred = asked.join(sets, "line_key").join(largest.select("band", F.col("top.component").alias("centre")), "band")
+    held = stored(centred, "open")
+    # Each other member asks whether any line of its group's largest component links it: one row each, not one per link.
+    near = stored(_joining(held.where("component <> centre"), held.where("component = centre"), least), "links")
+    known = stored(components(_as_links(known).unionByName(near), "one", "two"), "known")
+    # Lines of the largest components have now met all others, which are left to meet each other.
+    left = stored(_open(held.where("component <> centre").drop("component", "centre"), known), "open")
+    more = stored(_meeting(left, left, F.col("line_key_one") < F.col("line_key_two"), least), "links")
     # Components and the few links between them.
     return components(_as_links(known).unionByName(more), "one", "two")
 
@@ -133,22 +141,38 @@ def _open(members: DataFrame, known: DataFrame) -> DataFrame:
     return placed.join(mixed.select("band"), "band")
 
 
-def _meeting(one: DataFrame, two: DataFrame, pairs: Column, least: float) -> DataFrame:
-    """Links (one, two) between members of one band and different components; compared where they meet, so only links leave the join."""
-    maps = [f"map{k}" for k in range(MAP_LONGS)]
-    columns = ("band", "line_key", "component", "set", *maps)
-    one = one.select(*[F.col(c).alias(f"{c}_one") for c in columns])
-    two = two.select(*[F.col(c).alias(f"{c}_two") for c in columns])
+MAPS = [f"map{k}" for k in range(MAP_LONGS)]
+
+
+def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
+    columns = ("band", "line_key", "component", "set", *MAPS)
+    return members.select(*[F.col(c).alias(f"{c}_{side}") for c in columns], *more)
+
+
+def _alike(least: float) -> Column:
+    """Whether the lines of both sides are linked; bitmaps rule out most pairs before their sets are compared."""
     size_one, size_two, common = F.size("set_one"), F.size("set_two"), F.size(F.array_intersect("set_one", "set_two"))
 
     def missing(side: str, other: str) -> Column:
         """At least so many shingles of one side are not in the other."""
-        return sum((F.bit_count(F.col(f"{m}_{side}").bitwiseAND(F.bitwise_not(f"{m}_{other}"))) for m in maps), F.lit(0))
+        return sum((F.bit_count(F.col(f"{m}_{side}").bitwiseAND(F.bitwise_not(f"{m}_{other}"))) for m in MAPS), F.lit(0))
 
     enough = least / (1 + least) * (size_one + size_two) - 1e-9
     possible = (size_one - missing("one", "two") >= enough) & (size_two - missing("two", "one") >= enough)
-    alike = possible & (common >= least * (size_one + size_two - common))
-    met = one.join(two, (F.col("band_one") == F.col("band_two")) & pairs & (F.col("component_one") != F.col("component_two")) & alike)
+    return possible & (common >= least * (size_one + size_two - common))
+
+
+def _joining(others: DataFrame, centre: DataFrame, least: float) -> DataFrame:
+    """Links (one, two) of each line to its group's largest component, if any line of that links it."""
+    one = _side(others, "one", "centre")
+    met = one.join(_side(centre, "two"), (F.col("band_one") == F.col("band_two")) & _alike(least), "left_semi")
+    return met.select(F.col("line_key_one").alias("one"), F.col("centre").alias("two")).distinct()
+
+
+def _meeting(one: DataFrame, two: DataFrame, pairs: Column, least: float) -> DataFrame:
+    """Links (one, two) between members of one band and different components; compared where they meet, so only links leave the join."""
+    apart = pairs & (F.col("component_one") != F.col("component_two"))
+    met = _side(one, "one").join(_side(two, "two"), (F.col("band_one") == F.col("band_two")) & apart & _alike(least))
     return met.select(F.col("line_key_one").alias("one"), F.col("line_key_two").alias("two")).distinct()
 
 
