@@ -25,8 +25,9 @@ def threshold_candidates(log: DataFrame, threshold: float = THRESHOLD) -> DataFr
 
 
 def first_alert(batch: DataFrame, by: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """First event above the threshold of each batch."""
-    first = F.min(F.struct("event_timestamp", "event_id", "entity_id", "feature_name", "value"))
+    """First event above the threshold of each batch: by time, then by its id where events have one, then by its values."""
+    known = [c for c in ("event_timestamp", "event_id", "entity_id", "feature_name", "value") if c in batch.columns]
+    first = F.min(F.struct(*known))
     return (
         threshold_candidates(batch, threshold)
         .groupBy(*by)

@@ -113,34 +113,37 @@ def trailing_counts(
     keys: tuple[str, ...] = ("entity_id", "feature_name"),
     bucket: str | None = None,
 ) -> DataFrame:
-    """For every row how many rows of its key fall in the ``days`` up to it, itself included.
+    """The rows of the log with ``trailing_count``: how many rows of the key fall in the ``days`` up to it, itself included.
 
     ``count(<= t) - count(< t - days)``, each as rows before the bucket plus rows within it. A
     window over a whole key would sort it in one task; here a task holds one bucket of a key
     (a day, or less where a key is too dense), and the sums before it come from a small table
-    of counts per bucket. The log must carry a unique ``event_id``.
+    of counts per bucket. Rows of a key at the same instant share their count, so they are counted
+    once, map-side: an instant with very many rows is one row of the window. Repeated rows count
+    each; rows without a key or a time have no count (null).
     """
     keys = list(keys)
     time = F.col("event_timestamp")
     back = F.make_dt_interval(F.lit(days))
     unit = bucket or fitting_unit(log, keys, "event_timestamp")
-    arrivals = log.select(*keys, "event_id", time.alias("at"), F.lit(1).alias("is_row"))
-    probes = log.select(*keys, "event_id", (time - back).alias("at"), F.lit(0).alias("is_row"))
-    points = arrivals.unionByName(probes).withColumn("bucket", F.date_trunc(unit, "at"))
+    known = log.dropna(subset=[*keys, "event_timestamp"])
+    instants = known.groupBy(*keys, time.alias("instant")).agg(F.count(F.lit(1)).alias("rows"))
+    marks = F.array(
+        F.struct(F.col("instant").alias("at"), F.col("rows").alias("rows"), F.lit(1).alias("sign")),
+        F.struct((F.col("instant") - back).alias("at"), F.lit(0).cast("bigint").alias("rows"), F.lit(-1).alias("sign")),
+    )
+    points = instants.select(*keys, "instant", F.inline(marks)).withColumn("bucket", F.date_trunc(unit, "at"))
     # A probe sorts before the rows of its instant, since the window includes its lower end.
-    within = Window.partitionBy(*keys, "bucket").orderBy(F.struct("at", "is_row"))
-    counted = points.withColumn("seen", F.sum("is_row").over(within))
-    filled = points.groupBy(*keys, "bucket").agg(F.sum("is_row").alias("arrived"))
+    within = Window.partitionBy(*keys, "bucket").orderBy(F.struct("at", "sign"))
+    counted = points.withColumn("seen", F.sum("rows").over(within))
+    filled = points.groupBy(*keys, "bucket").agg(F.sum("rows").alias("arrived"))
     earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = filled.select(
         *keys, "bucket", F.coalesce(F.sum("arrived").over(earlier), F.lit(0)).alias("base")
     )
-    total = F.col("base") + F.col("seen")
-    return (
+    counts = (
         counted.join(base, [*keys, "bucket"])
-        .groupBy("event_id", *keys)
-        .agg(
-            F.sum(F.when(F.col("is_row") == 1, total).otherwise(-total)).alias("trailing_count"),
-            F.max(F.when(F.col("is_row") == 1, F.col("at"))).alias("event_timestamp"),
-        )
+        .groupBy(*keys, F.col("instant").alias("event_timestamp"))
+        .agg(F.sum(F.col("sign") * (F.col("base") + F.col("seen"))).alias("trailing_count"))
     )
+    return log.join(counts, [*keys, "event_timestamp"], "left").select(*log.columns, "trailing_count")

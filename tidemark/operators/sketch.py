@@ -65,12 +65,18 @@ def analyze_interval(
 
 
 def analyze_table(spark, interval_sql: str, table: str, column: str) -> DataFrame:
-    """The same for a table and column given by name; both names are bound as identifiers."""
+    """The same for a table and column given by name; both names are bound as identifiers.
+
+    The interval is a value too (``"36 HOURS"``), never a piece of SQL; a text that is none raises.
+    """
+    width = F.lit(interval_sql).cast("interval")
+    if spark.range(1).select(width.isNull()).first()[0]:
+        raise ValueError(f"not an interval: {interval_sql}")
     named = spark.sql(
         "SELECT event_timestamp, IDENTIFIER(:column) AS analyzed FROM IDENTIFIER(:table)",
         args={"column": column, "table": table},
     )
-    return analyze_interval(named, "analyzed", F.expr(f"INTERVAL {interval_sql}"))
+    return analyze_interval(named, "analyzed", width)
 
 
 def sketch_distance(

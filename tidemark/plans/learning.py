@@ -59,7 +59,7 @@ def fit(spec: ModelSpec, rows: DataFrame) -> PipelineModel:
     if spec.kind == "linear":
         learner = LinearRegression(solver="normal", regParam=0.0, **shared)
     elif spec.kind == "logistic":
-        penalty = 1.0 / max(rows.count(), 1)
+        penalty = 1.0 / max(inputs.transform(rows).count(), 1)
         learner = LogisticRegression(regParam=penalty, standardization=False, **shared)
     elif spec.kind == "tree":
         learner = DecisionTreeClassifier(maxDepth=5, seed=1, **shared)

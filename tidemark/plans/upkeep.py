@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import trailing_counts
-from tidemark.sinks.writers import replace_days
+from tidemark.runtime import stored
+from tidemark.sinks.writers import replace_range
 
 LOG_COLUMNS = ["entity_id", "feature_name", "value", "event_timestamp", "created_at"]
 
@@ -35,15 +36,14 @@ def transformed_in_batches(
 
 def trailing_feature(log: DataFrame, days: int) -> DataFrame:
     """``<feature>_<days>d``: how often the feature occurred in the days up to each event."""
-    counted = trailing_counts(log, days)
-    return counted.select(
-        "event_id",
-        "entity_id",
-        F.concat(F.col("feature_name"), F.lit(f"_{days}d")).alias("feature_name"),
-        F.col("trailing_count").cast("double").alias("value"),
-        "event_timestamp",
-        F.col("event_timestamp").alias("created_at"),
+    counted = trailing_counts(log, days).withColumns(
+        {
+            "feature_name": F.concat(F.col("feature_name"), F.lit(f"_{days}d")),
+            "value": F.col("trailing_count").cast("double"),
+            "created_at": F.col("event_timestamp"),
+        }
     )
+    return counted.drop("trailing_count")
 
 
 def lineage_rows(edges: DataFrame, transform_version: str) -> DataFrame:
@@ -59,14 +59,17 @@ def backfill(
     end: Column,
     derive: Callable[[DataFrame], DataFrame],
     path: str,
+    look_back: Column | None = None,
 ) -> None:
-    """Derive features for whole days in ``[start, end)`` and replace just these days.
+    """Derive features for the whole days in ``[start, end)`` and replace these days of the table at ``path``.
 
-    ``derive`` sees the full log up to ``end``, since a trailing feature looks back before the
-    range; only rows inside the range are written. A second run writes the same rows.
+    ``derive`` sees the log up to ``end``, from ``look_back`` (an interval) before ``start`` if it
+    is given: a trailing feature needs that much of the past. Only rows inside the range are
+    written; a feature and day of the table for which nothing was derived loses its rows. ``path``
+    holds what ``derive`` makes and nothing else. A second run leaves the same rows.
     """
-    derived = derive(log.filter(F.col("event_timestamp") < end))
-    inside = derived.filter(
-        (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < end)
-    )
-    replace_days(inside, path)
+    read = log.filter(F.col("event_timestamp") < end)
+    if look_back is not None:
+        read = read.filter(F.col("event_timestamp") >= start - look_back)
+    within = (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < end)
+    replace_range(stored(derive(read).filter(within), "backfill"), start, end, path)

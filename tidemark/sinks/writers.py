@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,28 @@ def replace_days(rows: DataFrame, path: str) -> None:
     )
 
 
+def replace_range(rows: DataFrame, start: Column, end: Column, path: str) -> None:
+    """Replace all partitions of the days in ``[start, end)`` by ``rows``, which are read twice.
+
+    Partitions with new rows are overwritten; then those of the range that have none are removed.
+    Only names of partitions, at most features times days, come to the driver. Each step can be
+    repeated, so a run that was broken off is mended by the next one.
+    """
+    spark = rows.sparkSession
+    replace_days(rows, path)
+    fresh = rows.select("feature_name", F.to_date("event_timestamp").alias("event_date")).distinct()
+    day = F.col("event_date").cast("date")
+    held = spark.read.parquet(path).select("feature_name", day.alias("event_date"))
+    held = held.filter((F.col("event_date") >= start.cast("date")) & (F.col("event_date").cast("timestamp") < end)).distinct()
+    stale = held.join(fresh, held.feature_name.eqNullSafe(fresh.feature_name) & (held.event_date == fresh.event_date), "left_anti")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for row in stale.collect():
+        inner = f"{escape('feature_name', row.feature_name)}/event_date={row.event_date}"
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, inner), True)
+
+
 def opened(envelopes: DataFrame) -> DataFrame:
     """Envelopes with their parsed ``head``: the table's name and the fields as texts.
 
@@ -92,21 +114,26 @@ def unreadable_envelopes(parsed: DataFrame, known: Iterable[str] | None = None)
     return parsed.select("message", error.alias("error")).filter(F.col("error").isNotNull())
 
 
-def append_envelopes(envelopes: DataFrame, targets: dict[str, tuple[T.StructType, str]], dead: str) -> None:
-    """Append each table's rows to its parquet path; everything unusable goes to ``dead``.
+def append_envelopes(
+    envelopes: DataFrame, targets: dict[str, tuple[T.StructType, str]], dead: str, mode: str = "append"
+) -> None:
+    """Write each table's rows to its parquet path; everything unusable goes to ``dead``.
 
-    The messages are parsed once and kept until all targets are written.
+    The messages are parsed once and kept until all targets are written. ``mode="overwrite"`` is
+    for paths that belong to this batch alone, which a retry writes anew.
     """
     parsed = opened(envelopes).persist()
-    refused = unreadable_envelopes(parsed, targets)
-    for table, (schema, path) in targets.items():
-        rows = envelope_rows(parsed, table, schema)
-        rows.filter(F.col("error").isNull()).drop("message", "error").write.mode("append").parquet(path)
-        refused = refused.unionByName(
-            rows.filter(F.col("error").isNotNull()).select("message", "error")
-        )
-    refused.write.mode("append").parquet(dead)
-    parsed.unpersist()
+    try:
+        refused = unreadable_envelopes(parsed, targets)
+        for table, (schema, path) in targets.items():
+            rows = envelope_rows(parsed, table, schema)
+            rows.filter(F.col("error").isNull()).drop("message", "error").write.mode(mode).parquet(path)
+            refused = refused.unionByName(
+                rows.filter(F.col("error").isNotNull()).select("message", "error")
+            )
+        refused.write.mode(mode).parquet(dead)
+    finally:
+        parsed.unpersist()
 
 
 def publish(snapshot_rows: DataFrame, path: str) -> None:
