@@ -207,6 +207,25 @@ def test_lineage_ends_on_cycles(spark):
     assert got["a", "a"] == 3 and len(got) == 12
 
 
+def test_backfill_clears_days_without_derived_rows(spark):
+    rows = [(i, "e", "f", float(i), START + timedelta(days=i), START) for i in (0, 1, 3)]
+    log = spark.createDataFrame(rows, "event_id int, " + SCHEMA)
+    path = scratch_path(spark, "derived")
+    faulty = [(9, "e", name, -1.0, START + timedelta(days=day), START) for name in ("f_3d", "old one") for day in (0, 1, 2, 3)]
+    writers.append_offline(spark.createDataFrame(faulty, "event_id int, " + SCHEMA), path)
+    start, end = F.lit(START + timedelta(days=1)), F.lit(START + timedelta(days=3))
+    for _ in range(2):
+        upkeep.backfill(log, start, end, lambda part: upkeep.trailing_feature(part, 3), path, F.expr("INTERVAL 3 DAYS"))
+        got = sorted((r.feature_name, r.event_timestamp.day, r.value) for r in spark.read.parquet(path).collect())
+        assert got == [("f_3d", 1, -1.0), ("f_3d", 2, 2.0), ("f_3d", 4, -1.0), ("old one", 1, -1.0), ("old one", 4, -1.0)]
+
+
+def test_trailing_counts_on_plain_log_columns(spark):
+    rows = [("e", "f", 1.0, at(0), at(0))] * 3 + [("e", "f", 2.0, at(5), at(5)), (None, "f", 1.0, at(0), at(0)), ("e", "f", 1.0, None, at(0))]
+    got = features.trailing_counts(log_of(spark, rows), 1).collect()
+    assert sorted((r.value, r.trailing_count or 0) for r in got) == [(1.0, 0), (1.0, 0), (1.0, 3), (1.0, 3), (1.0, 3), (2.0, 4)]
+
+
 def test_backfill_replaces_only_its_days_and_can_be_repeated(spark):
     rows = [(i, "e", "f", float(i), START + timedelta(days=i), START) for i in range(10)]
     log = spark.createDataFrame(rows, "event_id int, " + SCHEMA)

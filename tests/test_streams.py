@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, timetravel
@@ -86,9 +87,65 @@ def test_append_windows_close_behind_the_watermark(spark):
     assert sorted(r.low for r in got.collect()) == [0.0, 1.0, 2.0, 3.0]
 
 
-def test_rate_limits():
-    assert feeds.rate_limit("kafka", feeds.INGEST_BATCH) == {"maxOffsetsPerTrigger": "5"}
-    assert feeds.rate_limit("parquet", 3) == {"maxFilesPerTrigger": "3"}
+def test_batches_are_bounded_in_the_unit_of_the_source():
+    assert feeds.batch_bound("kafka", rows=5) == {"maxOffsetsPerTrigger": "5"}
+    assert feeds.batch_bound("parquet", files=3) == {"maxFilesPerTrigger": "3"}
+    assert feeds.batch_bound("json", size="64m") == {"maxBytesPerTrigger": "64m"}
+    with pytest.raises(ValueError):
+        feeds.batch_bound("parquet", rows=5)
+
+
+def test_state_of_alerts_ends_and_changes_nothing(spark):
+    source, target, check = (scratch_path(spark, n) for n in ("events", "alerts", "check"))
+    parts = [[("e", 200.0, START + timedelta(minutes=m)), ("x", 1.0, START + timedelta(minutes=m))] for m in (0, 5, 10.5, 60, 65, 300)]
+    write_parts(spark, source, parts, EVENT)
+    running = finish(feeds.to_files(feeds.alert_stream(stream(spark, source, EVENT), delay="1 minute"), target, check))
+    batch = alerts.cooldown_alerts(alerts.threshold_candidates(spark.read.parquet(source)))
+    assert sorted(r.alert_time for r in spark.read.parquet(target).collect()) == sorted(r.alert_time for r in batch.collect())
+    removed = sum(p["stateOperators"][0]["numRowsRemoved"] for p in running.recentProgress if p["stateOperators"])
+    assert removed >= 1
+
+
+def test_updates_leave_the_last_state_of_every_window(spark):
+    source, target, check = (scratch_path(spark, n) for n in ("events", "windows", "check"))
+    schema = "feature_name string, value double, event_timestamp timestamp"
+    parts = [[("f", float(m), START + timedelta(minutes=m))] for m in (0, 20, 70, 50)]
+    write_parts(spark, source, parts, schema)
+    windows = feeds.hourly_statistics(stream(spark, source, schema), delay="1 hour")
+    finish(feeds.updates(windows, target, check))
+    batch = feeds.hourly_statistics(spark.read.parquet(source))
+    got = feeds.newest_update(spark.read.parquet(target), ["window", "feature_name"])
+    assert sorted(got.select("n", "low", "high").collect()) == sorted(batch.select("n", "low", "high").collect())
+
+
+def test_a_demux_that_failed_halfway_is_tried_again(spark):
+    source, features, logs, dead, check = (scratch_path(spark, n) for n in ("source", "features", "logs", "dead", "check"))
+    event = '{"table":"features_table","data":{"entity_id":"e%d","feature_name":"f","value":"1.5","event_timestamp":"2024-01-01T00:00:00Z"}}'
+    parts = [[(event % i,), ('{"table":"nowhere","data":{}}',)] for i in range(3)]
+    write_parts(spark, source, parts, "message string")
+    targets = {"features_table": (FEATURE_LOG, features)}
+    # The dead letters cannot be written: the first batch ends after its rows are out.
+    broken = feeds.demux(stream(spark, source, "message string"), targets, "nofs://" + dead, check, trigger=None)
+    with pytest.raises(Exception):
+        broken.awaitTermination()
+    assert spark.read.schema(FEATURE_LOG).parquet(features).count() == 1
+    finish(feeds.demux(stream(spark, source, "message string"), targets, dead, check, trigger=None))
+    assert sorted(r.entity_id for r in spark.read.schema(FEATURE_LOG).parquet(features).collect()) == ["e0", "e1", "e2"]
+    assert spark.read.schema("message string, error string").parquet(dead).count() == 3
+
+
+def test_predictions_without_a_label_come_when_their_lag_is_over(spark):
+    said, labels, target, check = (scratch_path(spark, n) for n in ("said", "labels", "joined", "check"))
+    write_parts(spark, said, [[(1, START), (2, START)], [(3, START + timedelta(days=30))], [(4, START + timedelta(days=31))]], "event_id int, predicted_at timestamp")
+    write_parts(spark, labels, [[(1, 1, START + timedelta(days=1))], [(9, 0, START + timedelta(days=30))], [(9, 0, START + timedelta(days=31))]], "event_id int, label int, labeled_at timestamp")
+    joined = feeds.predictions_with_labels(
+        stream(spark, said, "event_id int, predicted_at timestamp"),
+        stream(spark, labels, "event_id int, label int, labeled_at timestamp"),
+        "event_id", "1 hour", F.expr("INTERVAL 3 DAYS"), unlabelled=True,
+    )
+    finish(feeds.to_files(joined, target, check))
+    got = {r.event_id: r.label for r in spark.read.parquet(target).collect()}
+    assert got[1] == 1 and got[2] is None and 2 in got
 
 
 def test_alerts_trigger_the_analysis_only_when_there_are_any(spark):

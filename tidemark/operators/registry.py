@@ -63,11 +63,6 @@ def reset_scores(features: Column) -> Column:
     return F.transform(features, lambda f: f.withField("drift_score", F.lit(0.0)))
 
 
-def ordered_features(features: Column) -> Column:
-    """Feature list in the order of ``index``, its first field."""
-    return F.array_sort(features)
-
-
 def retrained_rows(registry: DataFrame, trained: DataFrame, as_of: Column) -> DataFrame:
     """Registry rows for freshly trained models, with an ``error`` column.
 

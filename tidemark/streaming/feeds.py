@@ -7,18 +7,17 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators.alerts import COOLDOWN_SECONDS, THRESHOLD
 from tidemark.operators.timetravel import latest_values
+from tidemark.sinks.writers import append_envelopes
 from tidemark.sources.messages import dead_letters, good_events, parse_messages
 
-# Pace of the writers, and bounds of one ingest batch and one write batch.
-WRITE_TRIGGER = "4 seconds"
+# Fixed value: pace of ingest.
 INGEST_TRIGGER = "2 seconds"
-INGEST_BATCH = 5
-WRITE_BATCH = 1000
 
 
 def paced(writer, trigger: str | None):
@@ -26,11 +25,18 @@ def paced(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
 
 
-def rate_limit(format: str, rows: int) -> dict[str, str]:
-    """Option that bounds a micro-batch; file sources count files."""
+def batch_bound(format: str, rows: int | None = None, files: int | None = None, size: str | None = None) -> dict[str, str]:
+    """Source options that bound a micro-batch, in a unit that the source counts in.
+
+    Message sources count rows, file sources files or bytes (``"64m"``); a bound in another unit raises.
+    """
     if format == "kafka":
+        if rows is None or files is not None or size is not None:
+            raise ValueError("a message source is bounded by rows")
         return {"maxOffsetsPerTrigger": str(rows)}
-    return {"maxFilesPerTrigger": str(max(1, rows))}
+    if rows is not None or (files is None) == (size is None):
+        raise ValueError("a file source is bounded either by files or by size")
+    return {"maxFilesPerTrigger": str(files)} if size is None else {"maxBytesPerTrigger": size}
 
 
 def replace_batch(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -51,16 +57,34 @@ def dual_write(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        good = good_events(batch)
-        replace_batch(latest_values(good), online, batch_id)
-        replace_batch(good, offline, batch_id)
-        replace_batch(dead_letters(batch), dead, batch_id)
-        batch.unpersist()
+        try:
+            good = good_events(batch)
+            replace_batch(latest_values(good), online, batch_id)
+            replace_batch(good, offline, batch_id)
+            replace_batch(dead_letters(batch), dead, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return paced(writer, trigger).start()
 
 
+def demux(
+    envelopes: DataFrame, targets: dict[str, tuple[T.StructType, str]], dead: str, checkpoint: str, trigger: str | None = INGEST_TRIGGER
+) -> StreamingQuery:
+    """Write the rows of each table, and what is unusable, under the number of their batch.
+
+    A batch that is tried again overwrites its own folders, so nothing is doubled.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = {table: (schema, f"{path.rstrip('/')}/batch={batch_id}") for table, (schema, path) in targets.items()}
+        append_envelopes(batch, own, f"{dead.rstrip('/')}/batch={batch_id}", mode="overwrite")
+
+    writer = envelopes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return paced(writer, trigger).start()
+
+
 def online_view(online_rows: DataFrame) -> DataFrame:
     """Newest value per key over all batches."""
     return latest_values(online_rows)
@@ -108,20 +132,28 @@ def alert_stream(
     cooldown_seconds: int = COOLDOWN_SECONDS,
     key: str = "entity_id",
     time: str = "event_timestamp",
+    delay: str | None = None,
 ) -> DataFrame:
     """Stateful alerts: per key an alert, then silence for the cooldown, in event time.
 
     Only candidates reach the keyed state, and the state is one timestamp. Order between
-    micro-batches is the order of arrival; inside one, rows are taken by event time.
+    micro-batches is the order of arrival; inside one, rows are taken by event time. With
+    ``delay``, how late an event may be, a key's state ends once the watermark is past its
+    cooldown: every later event of the key raises an alert anyway. Without it, keys are kept.
     """
     pause = cooldown_seconds * 1_000_000
+    if delay is not None:
+        events = events.withWatermark(time, delay)
     candidates = events.filter(F.col("value") > F.lit(float(threshold))).select(
-        F.col(key).alias("k"), F.unix_micros(time).alias("t")
+        F.col(key).alias("k"), F.unix_micros(time).alias("t"), F.col(time).alias("moment")
     )
 
     def decide(
         name: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         times = sorted(t for chunk in chunks for t in chunk["t"].tolist())
         hits = []
@@ -131,6 +163,8 @@ def alert_stream(
                 last = t
         if last is not None:
             state.update((last,))
+            if delay is not None:
+                state.setTimeoutTimestamp(max((last + pause) // 1000, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame({"k": [name[0]] * len(hits), "t": hits})
 
     fired = candidates.groupBy("k").applyInPandasWithState(
@@ -138,7 +172,7 @@ def alert_stream(
         outputStructType="k string, t bigint",
         stateStructType="last bigint",
         outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+        timeoutConf=GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout,
     )
     return fired.select(F.col("k").alias(key), F.timestamp_micros("t").alias("alert_time"))
 
@@ -172,9 +206,13 @@ def with_registry(requests: DataFrame, read_registry: Callable[[], DataFrame], p
 
 
 def predictions_with_labels(
-    predictions: DataFrame, labels: DataFrame, key: str, delay: str, max_lag: Column
+    predictions: DataFrame, labels: DataFrame, key: str, delay: str, max_lag: Column, unlabelled: bool = False
 ) -> DataFrame:
-    """Stream-stream join: a prediction and the label that arrives within the lag."""
+    """Stream-stream join: a prediction and the label that arrives within the lag.
+
+    With ``unlabelled``, a prediction whose lag has passed without a label comes too, with nulls,
+    once the watermark of the labels is behind it.
+    """
     left = predictions.withWatermark("predicted_at", delay).alias("p")
     right = labels.withWatermark("labeled_at", delay).alias("l")
     return left.join(
@@ -182,6 +220,7 @@ def predictions_with_labels(
         (F.col(f"p.{key}") == F.col(f"l.{key}"))
         & (F.col("l.labeled_at") >= F.col("p.predicted_at"))
         & (F.col("l.labeled_at") <= F.col("p.predicted_at") + max_lag),
+        "left" if unlabelled else "inner",
     ).select("p.*", "l.label", "l.labeled_at")
 
 
@@ -191,11 +230,20 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, trigger: str | None
     return paced(writer.option("checkpointLocation", checkpoint), trigger).start()
 
 
-def whole_table(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
-    """Replace the target with the complete aggregate after each batch."""
+def updates(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Write the groups that each micro-batch changed under its number; :func:`newest_update` reads them.
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    Groups behind the watermark leave the state, and readers never meet a half-written table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        replace_batch(batch, path, batch_id)
 
-    writer = stream.writeStream.outputMode("complete").foreachBatch(replace)
+    writer = stream.writeStream.outputMode("update").foreachBatch(write)
     return paced(writer.option("checkpointLocation", checkpoint), trigger).start()
+
+
+def newest_update(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The last state of every group out of the rows of :func:`updates`, which carry their ``batch``."""
+    others = [name for name in rows.columns if name not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("last")).select(*keys, "last.*")

@@ -8,7 +8,6 @@ from tidemark.operators import registry as registry_ops
 from tidemark.operators import sketch
 from tidemark.runtime import scratch_path
 from tidemark.schemas import FEATURE_LOG, MODEL_LOG
-from tidemark.sinks import writers
 from tidemark.streaming import feeds
 from tidemark.suite import base, log, models
 from tidemark.suite.base import clock, log_sql, query, sql_clock, table
@@ -88,16 +87,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     features, logs, dead, checkpoint = places(spark, "features", "logs", "dead", "check")
     envelopes = log.write_envelopes(event_stream(spark, sf_dir))
-
-    def write(batch, batch_id):
-        targets = {
-            "features_table": (FEATURE_LOG, f"{features}/batch={batch_id}"),
-            "model_logs": (MODEL_LOG, f"{logs}/batch={batch_id}"),
-        }
-        writers.append_envelopes(batch, targets, f"{dead}/batch={batch_id}")
-
-    writer = envelopes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    finished(feeds.paced(writer, None).start())
+    targets = {"features_table": (FEATURE_LOG, features), "model_logs": (MODEL_LOG, logs)}
+    finished(feeds.demux(envelopes, targets, dead, checkpoint, trigger=None))
     return log.demuxed(spark, features, logs, dead)
 
 
@@ -118,8 +109,8 @@ def _(spark, sf_dir):
     windows = log.flat_windows(
         feeds.hourly_statistics(log_stream(spark, sf_dir), delay="2 hours")
     )
-    finished(feeds.whole_table(windows, path, checkpoint))
-    return spark.read.parquet(path)
+    finished(feeds.updates(windows, path, checkpoint))
+    return feeds.newest_update(spark.read.parquet(path), ["hour", "feature_name"])
 
 
 @query("stream_cooldown", log.COOLDOWN_SQL)
