@@ -98,6 +98,8 @@ def test_batches_are_bounded_in_the_unit_of_the_source():
 def test_state_of_alerts_ends_and_changes_nothing(spark):
     source, target, check = (scratch_path(spark, n) for n in ("events", "alerts", "check"))
     parts = [[("e", 200.0, START + timedelta(minutes=m)), ("x", 1.0, START + timedelta(minutes=m))] for m in (0, 5, 10.5, 60, 65, 300)]
+    # A key that falls silent: its state ends, while "e" has events in every batch.
+    parts[0].append(("y", 200.0, START))
     write_parts(spark, source, parts, EVENT)
     running = finish(feeds.to_files(feeds.alert_stream(stream(spark, source, EVENT), delay="1 minute"), target, check))
     batch = alerts.cooldown_alerts(alerts.threshold_candidates(spark.read.parquet(source)))
