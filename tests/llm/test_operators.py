@@ -254,6 +254,33 @@ def test_similar_lines_by_brute_force(spark):
     assert all(find(found[i]) == find(i) for i in found)
 
 
+def test_short_lines_with_typos_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyzäß語")
+    texts = ["語" * 3, "語" * 4]
+    for words, length in [(n, m) for n, m in ((1, 70), (3, 20), (6, 9), (8, 7), (12, 5)) for _ in range(12)]:
+        base = " ".join("".join(rng.choice(letters, length)) for _ in range(words))
+        texts.append(base)
+        for _ in range(2):
+            at = int(rng.choice([i for i, c in enumerate(base) if c != " "]))
+            texts.append(base[:at] + "#" + base[at + 1 :])
+    shingles = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j]):
+            parent[max(find(i), find(j))] = min(find(i), find(j))
+    found = {r.doc_id: r.class_doc_id for r in lines.classes(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert sum(find(i) != i for i in found) > 90
+    assert np.mean([found[i] == find(i) for i in found]) > 0.97
+    assert all(find(found[i]) == find(i) for i in found)
+
+
 # --- 6 separators ----------------------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Fuzzy line de-duplication by MinHash, in DataFrame functions alone.
 
-Equal lines are grouped first. The character shingles of a line start at its words: each runs from
-the start of a word to the end of the next one. MinHash signatures of the shingle sets are banded, lines that
+Equal lines are grouped first. The shingles of a line are its runs of five characters, one at every
+position. MinHash signatures of the shingle sets are banded, lines that
 share a band are verified by exact Jaccard similarity, and union-find over the verified links leaves
 one line per component, its first occurrence.
 
@@ -14,17 +14,20 @@ shingles bound what two lines can have in common, and exact similarity is comput
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.runtime import scratch_path, stored
+from tidemark.runtime import once, scratch_path, stored
 
+# Characters of a shingle.
+SHINGLE = 5
 ROWS = 4
 BANDS = 8
 # Longs of a line's bitmap.
-MAP_LONGS = 4
+MAP_LONGS = 16
 LOW_HALF = 0xFFFF_FFFF
 # Stands for a null id in joins.
 LEAST = -(1 << 63)
@@ -50,19 +53,36 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def code_points(line: Column | str) -> Column:
+    """The characters of a line in four bytes each, so that any run of them is found without a search."""
+    return F.encode(line, "UTF-32")
+
+
+def places(points: Column | str) -> Column:
+    """Where shingles start; a line below the length of one has its whole as its only shingle."""
+    return F.sequence(F.lit(0), F.greatest(F.octet_length(points) / 4 - SHINGLE, F.lit(0)).cast("int"))
+
+
+def shingle_at(points: Column | str, place: Column) -> Column:
+    return F.xxhash64(F.substring(points, place * 4 + 1, F.lit(4 * SHINGLE)))
+
+
 def shingle_hashes(line: Column | str) -> Column:
-    words = F.split(F.col(line) if isinstance(line, str) else line, " ")
-    pairs = F.arrays_zip(words.alias("one"), F.slice(words, F.lit(2), F.size(words)).alias("two"))
-    return F.array_distinct(F.transform(pairs, lambda pair: F.xxhash64(pair)))
+    # The outer transform encodes the line once, not for every place.
+    found = F.transform(F.array(code_points(line)), lambda points: F.transform(places(points), lambda place: shingle_at(points, place)))
+    return F.array_distinct(F.element_at(found, 1))
+
+
+def line_shingles(lines: DataFrame) -> DataFrame:
+    """Rows (line_key, h): the hash of each shingle, repeats included."""
+    points = lines.select("line_key", code_points("line").alias("points"))
+    shingles = points.select("line_key", "points", F.explode(places("points")).alias("place"))
+    return shingles.select("line_key", shingle_at("points", F.col("place")).alias("h"))
 
 
-def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
+def signatures(shingles: DataFrame, bands: int, rows: int) -> DataFrame:
     """Rows (line_key, bands): the hash of each band of minima over a line's shingles."""
-    words = lines.select("line_key", F.split("line", " ").alias("one"))
-    shingles = words.select("line_key", F.inline(F.arrays_zip("one", F.slice("one", F.lit(2), F.size("one")).alias("two"))))
-    hashed = shingles.select("line_key", F.xxhash64(F.struct("one", "two")).alias("h")).select(
-        "line_key", F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b")
-    )
+    hashed = shingles.select("line_key", F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b"))
     minima = [F.min((F.col("a") + F.col("b") * i).bitwiseAND(F.lit(LOW_HALF))).alias(f"m{i}") for i in range(bands * rows)]
     least = hashed.groupBy("line_key").agg(*minima)
     return least.select(
@@ -70,7 +90,7 @@ def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, lines: DataFrame, least: float) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, least: float, shingles: Callable[[str], Column]) -> DataFrame:
     """Of (one, two), those whose lines have exact Jaccard similarity ``least`` or more.
 
     The distinct lines are read where they lie: the keys asked for, by far fewer, come to them and are
@@ -81,36 +101,44 @@ def verified(pairs: DataFrame, lines: DataFrame, least: float) -> DataFrame:
     asked = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
     left = asked.select(F.col("line_key").alias("one"), F.col("line").alias("line_one"))
     right = asked.select(F.col("line_key").alias("two"), F.col("line").alias("line_two"))
-    sets = pairs.join(left, "one").select("one", "two", shingle_hashes("line_one").alias("set_one"))
-    sets = sets.join(right, "two").select("one", "two", "set_one", shingle_hashes("line_two").alias("set_two"))
-    common = F.size(F.array_intersect("set_one", "set_two"))
-    return sets.where(common >= least * (F.size("set_one") + F.size("set_two") - common)).select("one", "two")
+    both = pairs.join(left, "one").join(right, "two")
+    sets = both.select("one", "two", "line_two", once(shingles("line_one")).alias("set_one"))
+    sets = sets.select("one", "two", "set_one", once(shingles("line_two")).alias("set_two"))
+    total = (F.size("set_one") + F.size("set_two")).alias("total")
+    met = sets.select("one", "two", total, once(F.size(F.array_intersect("set_one", "set_two"))).alias("common"))
+    return met.where(F.col("common") >= least * (F.col("total") - F.col("common"))).select("one", "two")
+
 
+def linked_lines(
+    lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS,
+    shingles: Callable[[str], Column] = shingle_hashes, exploded: Callable[[DataFrame], DataFrame] = line_shingles,
+) -> DataFrame:
+    """Rows (node, component) of the distinct lines (line_key, line) that are linked to another one.
 
-def linked_lines(lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Rows (node, component) of the distinct lines (line_key, line) that are linked to another one."""
-    prints = stored(signatures(lines, bands, rows), "bands")
+    ``shingles`` gives the distinct hashes of a column of lines, ``exploded`` one row for each of them.
+    """
+    prints = stored(signatures(exploded(lines), bands, rows), "bands")
     members = prints.select("line_key", F.explode(F.array(*[f"band{b}" for b in range(bands)])).alias("band"))
     groups = members.groupBy("band").agg(F.min("line_key").alias("leader"), F.count(F.lit(1)).alias("size"))
     shared = stored(members.join(groups.where("size > 1").hint("shuffle_hash"), "band"), "groups")
     star = shared.where("line_key <> leader").select(F.col("leader").alias("one"), F.col("line_key").alias("two")).distinct()
-    links = stored(verified(star, lines, least), "links")
+    links = stored(verified(star, lines, least, shingles), "links")
     known = components(links, "one", "two")
     # What the first line of a group did not catch: members of different components, the first line aside.
     rest = shared.where("size > 2 and line_key <> leader").select("band", "line_key")
     asked = stored(_open(rest, known), "open")
     keys = asked.select("line_key").distinct()
-    sets = lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi").select("line_key", shingle_hashes("line").alias("set"))
-    sets = sets.select("line_key", "set", *bitmap("set"))
+    texts = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
+    sets = texts.join(sizes_and_maps(texts.select("line_key", F.explode(shingles("line")).alias("h"))), "line_key")
     largest = asked.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"))
     centred = asked.join(sets, "line_key").join(largest.select("band", F.col("top.component").alias("centre")), "band")
     held = stored(centred, "open")
     # Each other member asks whether any line of its group's largest component links it: one row each, not one per link.
-    near = stored(_joining(held.where("component <> centre"), held.where("component = centre"), least), "links")
+    near = stored(_joining(held.where("component <> centre"), held.where("component = centre"), least, shingles), "links")
     known = stored(components(_as_links(known).unionByName(near), "one", "two"), "known")
     # Lines of the largest components have now met all others, which are left to meet each other.
     left = stored(_open(held.where("component <> centre").drop("component", "centre"), known), "open")
-    more = stored(_meeting(left, left, F.col("line_key_one") < F.col("line_key_two"), least), "links")
+    more = stored(_meeting(left, left, F.col("line_key_one") < F.col("line_key_two"), least, shingles), "links")
     # Components and the few links between them.
     return components(_as_links(known).unionByName(more), "one", "two")
 
@@ -128,6 +156,14 @@ def bitmap(shingles: str) -> list[Column]:
     return [long(k) for k in range(MAP_LONGS)]
 
 
+def sizes_and_maps(shingles: DataFrame) -> DataFrame:
+    """Rows (line_key, size, map0, map1, ...) of rows (line_key, h) of distinct shingles, as ``bitmap`` gives for a column of sets."""
+    h = F.col("h")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    maps = [F.bit_or(F.when(F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)) == k, bit).otherwise(0)).alias(f"map{k}") for k in range(MAP_LONGS)]
+    return shingles.groupBy("line_key").agg(F.count(F.lit(1)).cast("int").alias("size"), *maps)
+
+
 def _as_links(known: DataFrame) -> DataFrame:
     return known.select(F.col("node").alias("one"), F.col("component").alias("two"))
 
@@ -145,13 +181,19 @@ MAPS = [f"map{k}" for k in range(MAP_LONGS)]
 
 
 def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
-    columns = ("band", "line_key", "component", "set", *MAPS)
-    return members.select(*[F.col(c).alias(f"{c}_{side}") for c in columns], *more)
+    # Lines are several times smaller than their sets, which are made where two of them meet.
+    kept = ("set",) if "set" in members.columns else ("line", "size")
+    return members.select(*[F.col(c).alias(f"{c}_{side}") for c in ("band", "line_key", "component", *kept, *MAPS)], *more)
+
 
+def _alike(least: float, shingles: Callable[[str], Column] | None) -> Column:
+    """Whether the lines of both sides are linked; bitmaps rule out most pairs before their sets are compared.
 
-def _alike(least: float) -> Column:
-    """Whether the lines of both sides are linked; bitmaps rule out most pairs before their sets are compared."""
-    size_one, size_two, common = F.size("set_one"), F.size("set_two"), F.size(F.array_intersect("set_one", "set_two"))
+    Without ``shingles`` the sides hold sets, not lines.
+    """
+    one, two = (shingles("line_one"), shingles("line_two")) if shingles else (F.col("set_one"), F.col("set_two"))
+    size_one, size_two = (F.col("size_one"), F.col("size_two")) if shingles else (F.size("set_one"), F.size("set_two"))
+    common = F.size(F.array_intersect(one, two))
 
     def missing(side: str, other: str) -> Column:
         """At least so many shingles of one side are not in the other."""
@@ -159,20 +201,21 @@ def _alike(least: float) -> Column:
 
     enough = least / (1 + least) * (size_one + size_two) - 1e-9
     possible = (size_one - missing("one", "two") >= enough) & (size_two - missing("two", "one") >= enough)
-    return possible & (common >= least * (size_one + size_two - common))
+    # Equal to common >= least * (size_one + size_two - common), with the intersection made once.
+    return possible & (common >= enough)
 
 
-def _joining(others: DataFrame, centre: DataFrame, least: float) -> DataFrame:
+def _joining(others: DataFrame, centre: DataFrame, least: float, shingles: Callable[[str], Column]) -> DataFrame:
     """Links (one, two) of each line to its group's largest component, if any line of that links it."""
     one = _side(others, "one", "centre")
-    met = one.join(_side(centre, "two"), (F.col("band_one") == F.col("band_two")) & _alike(least), "left_semi")
+    met = one.join(_side(centre, "two"), (F.col("band_one") == F.col("band_two")) & _alike(least, shingles), "left_semi")
     return met.select(F.col("line_key_one").alias("one"), F.col("centre").alias("two")).distinct()
 
 
-def _meeting(one: DataFrame, two: DataFrame, pairs: Column, least: float) -> DataFrame:
+def _meeting(one: DataFrame, two: DataFrame, pairs: Column, least: float, shingles: Callable[[str], Column] | None = None) -> DataFrame:
     """Links (one, two) between members of one band and different components; compared where they meet, so only links leave the join."""
     apart = pairs & (F.col("component_one") != F.col("component_two"))
-    met = _side(one, "one").join(_side(two, "two"), (F.col("band_one") == F.col("band_two")) & apart & _alike(least))
+    met = _side(one, "one").join(_side(two, "two"), (F.col("band_one") == F.col("band_two")) & apart & _alike(least, shingles))
     return met.select(F.col("line_key_one").alias("one"), F.col("line_key_two").alias("two")).distinct()
 
 
@@ -183,7 +226,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     empty texts) have no row and are always kept. The class is the first occurrence of the component, by
     doc_id (null last), hash of the text and line number; it is ``kept``, all others are not. Rows with
     equal id and text are one document, so repeated rows repeat its lines with equal results. Lines are
-    known by their 64-bit hash. Lines of one word have themselves as only shingle. An empty table gives
+    known by their 64-bit hash. Lines of fewer than five characters have themselves as only shingle. An empty table gives
     no rows; other columns are not read.
     """
     found = occurrences(docs, id_col, text_col)
