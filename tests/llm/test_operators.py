@@ -364,6 +364,22 @@ def test_mixing_takes_every_row(docs, awkward, empty):
     assert mixing.mixed(empty, mixing.corpus_margins(), 0.7).count() == 0
 
 
+def test_mixing_keeps_unnamed_and_unknown_classes(spark):
+    sources = ["src0", "src1", "new", None, "new", "src2"]
+    rows = [(i, "a b c d e", "en" if i % 4 else (None, "pt")[i % 8 // 4], sources[i % 6], 9, "x", "y") for i in range(6000)]
+    table = spark.createDataFrame(rows, DOCS)
+    margins = mixing.corpus_margins()[:2]
+    kept = mixing.mixed(table, margins, 0.4).where("mix_kept").collect()
+    assert sum(r.source not in mixing.SOURCES for r in kept) / len(kept) == pytest.approx(0.5, abs=0.04)
+    assert sum(r.lang != "en" for r in kept) / len(kept) == pytest.approx(0.25, abs=0.04)
+    assert {r.source for r in kept} == set(sources) and {r.lang for r in kept} == {"en", "pt", None}
+    only = mixing.mixed(table.where("source is null or source = 'new'"), margins, 0.4).where("mix_kept").count()
+    assert only / 3000 == pytest.approx(0.4, abs=0.04)
+    # A class that is given no tokens on purpose stays out.
+    assert mixing.raked(np.array([[0], [1]]), np.array([5.0, 5.0]), [np.array([1.0, 0.0])], 4).tolist() == [4, 0]
+    assert mixing.raked(np.array([[1]]), np.array([5.0]), [np.array([1.0, 0.0])], 4).tolist() == [4]
+
+
 # --- 9 near duplicates -----------------------------------------------------------------------
 
 

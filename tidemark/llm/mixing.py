@@ -21,7 +21,9 @@ SWEEPS = 40
 class Margin(NamedTuple):
     """A class expression and the wanted share of tokens of each named class.
 
-    Classes that are not named share what the named ones leave, 1 - sum(targets), in one class.
+    Classes that are not named, and unknown ones, share what the named ones leave, 1 - sum(targets), in one
+    class. Where nothing is left, this class is to keep its own share of tokens, and the named shares are those
+    of the other tokens.
     """
 
     name: str
@@ -43,21 +45,35 @@ def raked(cells: np.ndarray, tokens: np.ndarray, targets: list[np.ndarray], tota
     """Kept tokens of each cell.
 
     cells[i, m] is the class of cell i in margin m; targets[m] holds the shares of the classes.
-    Classes without tokens cannot be met: the shares of the others are raised in proportion. A
+    Classes without tokens cannot be met: the shares of the others are raised in proportion, or, where
+    these are all 0, follow their tokens. A
     sweep scales the cells to each margin in turn and then takes back what a cell does not have.
     """
     kept = tokens.astype(float) * (total / tokens.sum()) if tokens.sum() else np.zeros(len(tokens))
     for _ in range(sweeps if tokens.sum() else 0):
         for margin, shares in enumerate(targets):
-            present = np.bincount(cells[:, margin], weights=tokens, minlength=len(shares)) > 0
-            wanted = np.where(present, shares, 0.0)
-            wanted = wanted / wanted.sum() * total if wanted.sum() else wanted
+            there = np.bincount(cells[:, margin], weights=tokens, minlength=len(shares))
+            wanted = np.where(there > 0, shares, 0.0)
+            wanted = wanted if wanted.sum() else there
+            wanted = wanted / wanted.sum() * total
             have = np.bincount(cells[:, margin], weights=kept, minlength=len(shares))
             kept = kept * np.divide(wanted, have, out=np.zeros(len(shares)), where=have > 0)[cells[:, margin]]
         kept = np.minimum(kept, tokens)
     return kept
 
 
+def with_rest(shares: np.ndarray, classes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The shares of the named classes and, last, of the rest: what they leave, or else the rest's own share of tokens."""
+    left = 1 - shares.sum()
+    if left > 1e-9 or not tokens.sum():
+        return np.array([*shares, max(0.0, left)])
+    there = np.bincount(classes, weights=tokens, minlength=len(shares) + 1)
+    own = there[-1] / there.sum()
+    # Shares of named classes without tokens go to the other named ones.
+    named = np.where(there[:-1] > 0, shares, 0.0)
+    return np.array([*(named / (named.sum() or 1) * (1 - own)), own])
+
+
 def uniform(id_col: Column | str, seed: str) -> Column:
     """A number from 0 to 1 (below it) fixed by the id and the seed; null ids have the number of the empty text."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col
@@ -79,7 +95,8 @@ def mixed(
 
     ``share`` of all tokens is to be kept, divided as the margins' targets want. A document is kept
     with the probability of its cell, by a number drawn from its id, so repeated rows and rows with
-    equal ids are decided alike. Null or unknown classes are in the class of the rest. Documents
+    equal ids are decided alike. Null or unknown classes are in the class of the rest, which has a share
+    of its own also where the targets leave none. Documents
     without tokens are kept with the probability of their cell (0 if the cell has no tokens).
     Columns of the names above (``prefix`` may set them apart) are replaced; all others stay. An empty table gives no rows.
     """
@@ -91,9 +108,9 @@ def mixed(
     rows = counted.groupBy(*names).agg(F.sum(f"{prefix}tokens").alias("tokens")).collect()
     rows.sort(key=lambda row: tuple(row[n] for n in names))
     classes = [[*m.targets, REST] for m in margins]
-    shares = [np.array([*m.targets.values(), max(0.0, 1 - sum(m.targets.values()))]) for m in margins]
     cells = np.array([[c.index(row[n]) for c, n in zip(classes, names)] for row in rows], dtype=int).reshape(len(rows), len(margins))
     amounts = np.array([row["tokens"] or 0 for row in rows], dtype=float)
+    shares = [with_rest(np.array([*m.targets.values()]), cells[:, i], amounts) for i, m in enumerate(margins)]
     kept = raked(cells, amounts, shares, share * amounts.sum(), sweeps)
     chances = np.divide(kept, amounts, out=np.zeros(len(rows)), where=amounts > 0)
     key = F.concat_ws("\x1f", *names)
