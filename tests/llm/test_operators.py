@@ -414,6 +414,38 @@ def test_near_duplicates_by_brute_force(docs, awkward, empty):
     assert neardup.one_per_group(empty).count() == 0 and kept[0].label == "x"
 
 
+def test_similar_documents_by_brute_force(spark):
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [None, "", " \n ", "One two", "one  TWO", "ÄB c d e f"]
+    for n in range(12):
+        base = list(rng.choice(words, 100 + 10 * n))
+        for edits in range(5):
+            changed = list(base)
+            for at in rng.choice(len(base), edits, replace=False):
+                changed[at] = f"E{rng.integers(1_000_000)}"
+            texts.append("\n ".join(changed))
+    split = [re.findall(r"[^\x20\x09-\x0d]+", (t or "").lower()) for t in texts]
+    shingles = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    far = 0
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j]):
+            far += (plain_print(texts[i]) ^ plain_print(texts[j])).bit_count() > 4
+            parent[max(find(i), find(j))] = min(find(i), find(j))
+    assert far > 10
+    rows = [*enumerate(texts), (None, texts[10]), (10, texts[10])]
+    kept = neardup.one_per_similar_group(docs_of(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({find(i) for i in range(len(texts))}) and kept[0].label == "x"
+    assert neardup.one_per_similar_group(docs_of(spark, rows[:1]).limit(0)).count() == 0
+
+
 # --- 10 exact search -------------------------------------------------------------------------
 
 

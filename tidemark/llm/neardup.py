@@ -18,9 +18,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import lines
 from tidemark.llm.components import components
 from tidemark.runtime import stored
 
@@ -237,3 +238,55 @@ def one_per_group(
         F.col("first.__print").alias("__print"), F.col("first.least.__id").alias("__id"), F.col("first.least.__text").alias("__text")
     )
     return marked.dropDuplicates(keys).join(chosen, keys, "left_semi").select(*docs.columns)
+
+
+# Minima of five-word shingles: 1 - (1 - 0.8 ** 4) ** 16 = 99.98 % of pairs at similarity 0.8 share a band.
+SIMILAR_BANDS = 16
+SIMILAR_ROWS = 4
+
+
+def word_shingles(text: Column | str, words: int = 5) -> Column:
+    """The distinct hashes of all runs of words; a text below the length of one has its whole as its only shingle.
+
+    Texts are lower-cased in A-Z and split at ASCII white space, as for ``fingerprint``.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    lowered = F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    parts = F.filter(F.split(lowered, "[ \\t\\n\\x0B\\f\\r]+"), lambda word: word != "")
+
+    def runs(parts: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(parts) - words + 1, F.lit(1)))
+        return F.transform(starts, lambda start: F.xxhash64(F.slice(parts, start, words)))
+
+    return F.array_distinct(F.element_at(F.transform(F.array(parts), runs), 1))
+
+
+def one_per_similar_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8
+) -> DataFrame:
+    """``docs`` with its columns, one row for each group of texts linked by similarity ``least`` or more.
+
+    Similarity is the exact Jaccard of the sets of word shingles; MinHash bands only pick what is compared.
+    Texts are known by their 64-bit hash. The row kept is chosen as in ``one_per_group``: the smallest id, null
+    ids only where a group has no other, equal ids by the hash of the text, one of repeated rows. Texts without
+    words, null ones among them, are one group. An empty table gives no rows.
+    """
+
+    def shingles(text: Column | str) -> Column:
+        return word_shingles(text, words)
+
+    def exploded(texts: DataFrame) -> DataFrame:
+        return texts.select("line_key", F.explode(shingles("line")).alias("h"))
+
+    least_id = -(1 << 63)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    marked = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(least_id)), "__text": F.xxhash64(text)})
+    keyed = docs.select(F.xxhash64(text).alias("line_key"), text.alias("line"))
+    texts = lines.bucketed(keyed.groupBy("line_key").agg(F.first("line").alias("line")), "line_key")
+    linked = lines.linked_lines(texts, least, SIMILAR_BANDS, SIMILAR_ROWS, shingles, exploded)
+    order = F.struct((F.col("__id") == least_id).alias("unknown"), "__id", "__text")
+    classes = marked.groupBy("__text").agg(F.min(order).alias("least"))
+    rooted = classes.join(linked.withColumnRenamed("node", "__text"), "__text", "left").withColumn("component", F.coalesce("component", "__text"))
+    chosen = rooted.groupBy("component").agg(F.min("least").alias("first")).select("first.__id", "first.__text")
+    keys = ["__id", "__text"]
+    return marked.dropDuplicates(keys).join(stored(chosen, "chosen"), keys, "left_semi").select(*docs.columns)
