@@ -89,13 +89,14 @@ def join_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return small(kept, facts["rows"], limit)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write rows that several passes read to a parquet table in the shared folder.
 
-    The passes then read only the columns they need, with their filters pushed down.
+    The passes then read only the columns they need, with their filters pushed down. ``options``
+    are those of the writer.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
