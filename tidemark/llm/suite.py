@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, licenses, lines, mixing, neardup, packing, pivots, quality, secret_scan, separators
+from tidemark.llm import (
+    clusters,
+    fingerprints,
+    language_model,
+    licenses,
+    lines,
+    mixing,
+    neardup,
+    packing,
+    pivots,
+    quality,
+    resampling,
+    secret_scan,
+    separators,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +175,114 @@ def op8_mixing(spark, sf_dir):
         F.col("mix_probability").alias("probability"),
         F.col("mix_kept").alias("kept"),
     )
+
+
+# --- op11 ----------------------------------------------------------------------------------
+
+
+def lloyd_sql() -> str:
+    """The rounds one after the other, over long rows (vector, component)."""
+
+    def nearest(n: int) -> str:
+        return f"""
+a{n} AS MATERIALIZED (
+    SELECT n, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM (
+        SELECT v.n, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS distance FROM part v JOIN c{n} c USING (i) GROUP BY ALL
+    ) GROUP BY n
+)"""
+
+    def moved(n: int) -> str:
+        return f"""
+c{n + 1} AS MATERIALIZED (
+    SELECT c.cluster, c.i, coalesce(((s.total - ((s.total % s.rows) + s.rows) % s.rows) // s.rows)::BIGINT, c.x) AS x
+    FROM c{n} c LEFT JOIN (
+        SELECT a.cluster, v.i, sum(v.x)::BIGINT AS total, count(*) AS rows FROM part v JOIN a{n} a USING (n) GROUP BY ALL
+    ) s USING (cluster, i)
+)"""
+
+    rounds = [step for n in range(clusters.ROUNDS) for step in (nearest(n), moved(n))] + [nearest(clusters.ROUNDS)]
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS whole
+    FROM embeddings
+    WHERE len(embedding) = {clusters.DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+    SELECT n, unnest(range({clusters.DIMENSIONS})) AS i, unnest(whole) AS x FROM kept
+), first AS MATERIALIZED (
+    SELECT n, row_number() OVER (ORDER BY sha256('{clusters.SEED}:' || coalesce(vec_id::VARCHAR, '')), whole) - 1 AS cluster FROM kept
+), c0 AS MATERIALIZED (
+    SELECT f.cluster, p.i, p.x FROM first f JOIN part p USING (n) WHERE f.cluster < {clusters.CLUSTERS}
+),{",".join(rounds)}, named AS (
+    SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{clusters.ROUNDS} GROUP BY cluster
+)
+SELECT vec_id, cluster::INTEGER AS cluster, distance::BIGINT AS distance,
+    (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{clusters.ROUNDS} JOIN kept USING (n) JOIN named USING (cluster)
+"""
+
+
+@query("op11_centroid_clusters", lloyd_sql())
+def op11_centroid_clusters(spark, sf_dir):
+    found, centroids = clusters.lloyd(table(spark, sf_dir, "embeddings"))
+    return clusters.with_inertia(found, centroids).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+# --- op12 ----------------------------------------------------------------------------------
+
+# crc32 bit by bit over the bytes of each distinct word.
+RESAMPLED_SQL = f"""
+WITH words AS MATERIALIZED (
+    SELECT n, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM (
+        SELECT row_number() OVER () AS n, doc_id, text FROM documents
+        UNION ALL SELECT NULL, NULL, text FROM benchmark
+    )
+), bytes AS (
+    SELECT word, list_transform(range(1, len(hex(word)) + 1, 2), lambda i: CAST('0x' || substr(hex(word), i, 2) AS BIGINT)) AS b
+    FROM (SELECT DISTINCT word FROM words)
+), hashed AS MATERIALIZED (
+    SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: list_reduce(
+        [xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, i: xor(a >> 1, 3988292384 * (a & 1))))) % {resampling.BUCKETS} AS bucket
+    FROM bytes
+), counted AS (
+    SELECT bucket, count(n) AS s, count(*) - count(n) AS t FROM words JOIN hashed USING (word) GROUP BY bucket
+), gains AS MATERIALIZED (
+    SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM counted) + {resampling.BUCKETS}))
+        / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counted) + {resampling.BUCKETS}))))::BIGINT AS gain
+    FROM counted
+), weights AS (
+    SELECT n, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM words JOIN hashed USING (word) JOIN gains USING (bucket)
+    WHERE n IS NOT NULL GROUP BY n
+), scored AS (
+    SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+        (('0x' || substr(sha256('{resampling.SEED}:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE
+    )))::BIGINT AS score
+    FROM (SELECT row_number() OVER () AS n, doc_id FROM documents) d LEFT JOIN weights USING (n)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS} ORDER BY score DESC, doc_id) AS place,
+        count(*) OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS}) AS able
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN n_features >= {resampling.LEAST_WORDS} AND place <= {resampling.DRAWN_PERCENT} * able // 100 THEN place END AS rank
+FROM placed
+"""
+
+
+@query("op12_importance_resampling", RESAMPLED_SQL)
+def op12_importance_resampling(spark, sf_dir):
+    found = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# --- op13 ----------------------------------------------------------------------------------
+
+
+@query("op13_lm_scores")
+def op13_lm_scores(spark, sf_dir):
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    found = language_model.scored(table(spark, sf_dir, "documents"), F.crc32(name) % 10 == 0)
+    return found.withColumnRenamed("id", "doc_id")
