@@ -33,7 +33,7 @@ from tidemark.runtime import stored
 # Longest run of tokens, its last one included.
 ORDER = 3
 # Strength of the prior for contexts of one token, two tokens and so on.
-PRIOR = (20.0, 5.0, 5.0, 5.0)
+PRIOR = (1000.0, 10.0, 10.0)
 # Added to the count of every token and of the unseen class.
 ADDED = 0.1
 # Tokens of a piece (long texts are read in pieces that know the tokens before) and of a block.
