@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -31,10 +30,10 @@ GATES = 16
 EPOCHS = 24
 # At most this many labelled documents are fitted on, the lowest by a hash of their id.
 FIT_DOCUMENTS = 6_000
-# Labelled documents with more passages than this are left to the score alone.
-FIT_PASSAGES = 256
-# Bytes encoded at one time.
-BLOCK_BYTES = 4 << 20
+# Of a labelled document with more passages than this, as many evenly spread ones are fitted on.
+FIT_PASSAGES = 64
+# Passages encoded at one time.
+ROWS = 512
 
 
 class Model(NamedTuple):
@@ -49,61 +48,91 @@ class Model(NamedTuple):
     bias: np.ndarray
 
 
-def passages_of(buffer: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages of texts that lie one after the other, and the passages per text.
+def passages(sizes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each passage of the texts starts, its length, and the passages per text (one at least)."""
+    counts = np.maximum(1, -(-sizes // PASSAGE))
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    starts = np.repeat(begins, counts) + number * PASSAGE
+    return starts, np.minimum(PASSAGE, np.repeat(begins + sizes, counts) - starts), counts
+
+
+def passage_features(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Features of a few passages of a byte buffer.
 
-    Text i has sizes[i] bytes and ceil(size / PASSAGE) passages, one at least. Features are square
-    roots of shares: of byte classes (bytes past 127 fold onto the lower ones' range from 0 to 31),
-    and of hashed pairs of neighbouring bytes of the same text. The last one is how far a passage's
-    shares are trusted: those of a few bytes say little.
+    They are square roots of shares: of byte classes (bytes past 127 fold onto the lower ones' range
+    from 0 to 31), and of hashed pairs of neighbouring bytes of the passage. The last one is how far
+    the shares are trusted: those of a few bytes say little.
     """
-    counts = np.maximum(1, -(-sizes // PASSAGE))
-    first = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    total = int(counts.sum())
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    at = first[text] + (np.arange(len(buffer)) - begins[text]) // PASSAGE
-    classes = np.where(buffer < 128, buffer, buffer & 31).astype(np.int64)
-    single = np.bincount(at * 128 + classes, minlength=total * 128).reshape(total, 128)
+    rows = len(starts)
+    at = np.repeat(np.arange(rows, dtype=np.int32), lengths)
+    place = np.arange(len(at)) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    buffer = data[place]
+    classes = np.where(buffer < 128, buffer, buffer & 31)
+    single = np.bincount(at * np.int32(128) + classes, minlength=rows * 128).reshape(rows, 128)
     wide = buffer.astype(np.uint32)
     mixed = ((wide[:-1] * np.uint32(0x9E3779B1)) ^ (wide[1:] * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
-    inner = text[:-1] == text[1:]
-    hashed = (mixed >> np.uint32(24)).astype(np.int64)
-    pairs = np.bincount((at[:-1] * PAIRS + hashed)[inner], minlength=total * PAIRS).reshape(total, PAIRS)
-    length = np.maximum(1, single.sum(1, keepdims=True))
-    trust = length / (length + HALF_TRUST)
-    return np.hstack([np.sqrt(single / length), np.sqrt(pairs / length), trust]).astype(np.float32), counts
+    hashed = (mixed >> np.uint32(24)).astype(np.int32)
+    inner = at[:-1] == at[1:]
+    pairs = np.bincount((at[:-1] * np.int32(PAIRS) + hashed)[inner], minlength=rows * PAIRS).reshape(rows, PAIRS)
+    length = np.maximum(1, lengths)[:, None]
+    return np.hstack([np.sqrt(single / length), np.sqrt(pairs / length), length / (length + HALF_TRUST)])
 
 
-def text_blocks(array: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, slice]]:
-    """Bytes and sizes of the texts of an Arrow array, a few megabytes at a time; null is empty."""
-    filled = array.fill_null("").cast(pa.large_string())
+def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of an Arrow array of texts, and where each text begins and how long it is; null is empty."""
+    filled = (array.fill_null("") if array.null_count else array).cast(pa.large_string())
     offsets = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
-    data = np.frombuffer(filled.buffers()[2] or b"", np.uint8)
-    begin = 0
-    while begin < len(filled):
-        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + BLOCK_BYTES, side="right")) - 1)
-        yield data[offsets[begin] : offsets[end]], np.diff(offsets[begin : end + 1]), slice(begin, end)
-        begin = end
+    return np.frombuffer(filled.buffers()[2] or b"", np.uint8), offsets[:-1], np.diff(offsets)
 
 
-def forward(model: Model, features: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
-    """Score of each bag, with what the gradient needs."""
+def coded(model: Model, features: np.ndarray) -> dict[str, np.ndarray]:
+    """Code and attention of each passage."""
     scaled = (features[:, :-1] - model.mean) / model.spread * features[:, -1:]
     hidden = np.tanh(scaled @ model.encode + model.encode_bias)
     tanh_gate = np.tanh(hidden @ model.tanh_gate)
     open_gate = 1 / (1 + np.exp(-(hidden @ model.open_gate)))
     logits = (tanh_gate * open_gate) @ model.attend
+    return {"scaled": scaled, "hidden": hidden, "tanh_gate": tanh_gate, "open_gate": open_gate, "logits": logits}
+
+
+def attended(model: Model, hidden: np.ndarray, logits: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Score of each bag of passages; a sum over a bag does not depend on the bags beside it."""
     starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
     peak = np.maximum.reduceat(logits, starts)
     raised = np.exp(logits - np.repeat(peak, counts))
     weights = raised / np.repeat(np.add.reduceat(raised, starts), counts)
     bags = np.add.reduceat(hidden * weights[:, None], starts)
-    score = 1 / (1 + np.exp(-np.clip(bags @ model.weigh + model.bias[0], -30, 30)))
-    return {
-        "scaled": scaled, "hidden": hidden, "tanh_gate": tanh_gate, "open_gate": open_gate,
-        "weights": weights, "bags": bags, "score": score, "starts": starts,
-    }
+    score = 1 / (1 + np.exp(-np.clip((bags * model.weigh).sum(1) + model.bias[0], -30, 30)))
+    return {"weights": weights, "bags": bags, "score": score, "starts": starts}
+
+
+def forward(model: Model, features: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Score of each bag, with what the gradient needs."""
+    found = coded(model, features)
+    return found | attended(model, found["hidden"], found.pop("logits"), counts)
+
+
+def text_scores(model: Model, array: pa.Array) -> np.ndarray:
+    """Score of every whole text of an Arrow array.
+
+    Passages are encoded ROWS at a time, the last ones filled up with empty ones: products of one
+    shape round alike, so a text scores the same in any batch. A text of any length costs the bytes
+    of ROWS passages and one short code for each of its own.
+    """
+    data, begins, sizes = text_bytes(array)
+    starts, lengths, counts = passages(sizes, begins)
+    hidden, logits = np.empty((len(starts), HIDDEN)), np.empty(len(starts))
+    for begin in range(0, len(starts), ROWS):
+        rows = min(ROWS, len(starts) - begin)
+        filler = np.zeros(ROWS - rows, np.int64)
+        group = slice(begin, begin + rows)
+        features = passage_features(data, np.append(starts[group], filler), np.append(lengths[group], filler))
+        found = coded(model, features)
+        hidden[group], logits[group] = found["hidden"][:rows], found["logits"][:rows]
+    if not len(counts):
+        return np.zeros(0)
+    # The last bits of a product may still depend on the row's place among ROWS.
+    return attended(model, np.round(hidden, 9), np.round(logits, 9), counts)["score"]
 
 
 def gradient(model: Model, counts: np.ndarray, labels: np.ndarray, out: dict[str, np.ndarray], decay: float) -> Model:
@@ -137,10 +166,12 @@ def gradient(model: Model, counts: np.ndarray, labels: np.ndarray, out: dict[str
 def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 5) -> Model:
     """Adam over small batches of bags. Without bags, or with one class only, the score is its share of label 1."""
     rng = np.random.default_rng(seed)
-    everything = np.vstack(bags).astype(np.float64) if bags else np.zeros((1, FEATURES))
+    passages_in = max(1, sum(map(len, bags)))
+    mean = sum((bag[:, :-1].sum(0, dtype=np.float64) for bag in bags), np.zeros(FEATURES - 1)) / passages_in
+    squares = sum((((bag[:, :-1] - mean) ** 2).sum(0) for bag in bags), np.zeros(FEATURES - 1))
     model = Model(
-        everything[:, :-1].mean(0),
-        everything[:, :-1].std(0) + 0.02,
+        mean,
+        np.sqrt(squares / passages_in) + 0.02,
         rng.normal(0, FEATURES**-0.5, (FEATURES - 1, HIDDEN)),
         np.zeros(HIDDEN),
         rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATES)),
@@ -179,23 +210,17 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed:
 
 
 def encoded_bags(rows: DataFrame) -> DataFrame:
-    """Rows (label, passages, features) of (label, text), for the fit; features as packed half floats."""
+    """Rows (label, features) of (label, text), for the fit; features as packed half floats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column(0).to_pylist()
-            for buffer, sizes, place in text_blocks(batch.column(1)):
-                features, counts = passages_of(buffer, sizes)
-                ends = np.cumsum(counts)
-                packed = [features[end - n : end].astype(np.float16).tobytes() for end, n in zip(ends, counts)]
-                kept = counts <= FIT_PASSAGES
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([label for label, k in zip(labels[place], kept) if k], pa.int32()),
-                        pa.array([p for p, k in zip(packed, kept) if k], pa.binary()),
-                    ],
-                    ["label", "features"],
-                )
+            data, begins, sizes = text_bytes(batch.column(1))
+            packed = []
+            for begin, size in zip(begins, sizes):
+                starts, lengths, counts = passages(np.array([size]), np.array([begin]))
+                spread = np.unique(np.linspace(0, counts[0] - 1, min(counts[0], FIT_PASSAGES)).round().astype(int))
+                packed.append(passage_features(data, starts[spread], lengths[spread]).astype(np.float16).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["label", "features"])
 
     return rows.mapInArrow(run, "label int, features binary")
 
@@ -212,7 +237,9 @@ def learned(
 ) -> Model:
     """Fit on at most ``fit_documents`` labelled documents that are not held out.
 
-    Labels other than 0 and 1, null ids and ids with two different labels are not learned from.
+    Labels other than 0 and 1, null ids and ids with two different labels are not learned from. Of an
+    id with several texts one is, the one with the smallest hash. The driver receives at most
+    ``fit_documents`` bags of FIT_PASSAGES passages in half floats: 300 MB, with usual texts 20 MB.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
@@ -224,7 +251,13 @@ def learned(
         .select("known_id", "known_label")
     )
     texts = docs.select(F.col(id_col).cast("long").alias("known_id"), F.col(text_col).cast("string").alias("known_text"))
-    rows: list[Row] = encoded_bags(texts.join(F.broadcast(known), "known_id").select("known_label", "known_text")).collect()
+    # One text per id before anything is collected; each task sends one for an id at most.
+    single = (
+        texts.join(F.broadcast(known), "known_id")
+        .groupBy("known_id", "known_label")
+        .agg(F.min_by("known_text", F.struct(F.xxhash64("known_text"), "known_text")).alias("known_text"))
+    )
+    rows: list[Row] = encoded_bags(single.select("known_label", "known_text")).collect()
     rows.sort(key=lambda row: (zlib.crc32(row["features"]), row["label"]))
     # Repeated documents are one bag.
     rows = [row for i, row in enumerate(rows) if not i or row != rows[i - 1]]
@@ -234,16 +267,10 @@ def learned(
 
 def scorer(model: Model):
     """Column function: score of every whole text, 0 to 1; null counts as empty and has a score too."""
-    model = Model(*[part.astype(np.float32) for part in model])
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        array = pa.array(texts, pa.large_string(), from_pandas=True)
-        found = np.zeros(len(texts))
-        for buffer, sizes, place in text_blocks(array):
-            features, counts = passages_of(buffer, sizes)
-            found[place] = forward(model, features, counts)["score"]
-        return pd.Series(found)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(text_scores(model, texts), pa.float64())
 
     return score
 
