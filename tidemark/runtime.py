@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +102,25 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
+    """Write rows once by the hash of a key: joins and groups by this key need no shuffle of them.
+
+    Spark knows buckets of catalogue tables only. The table lives for the block of the ``with``: its rows
+    and its entry are gone afterwards, so what is computed from it is to be written inside.
+    """
+    spark = df.sparkSession
+    name = f"tidemark_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd")
+    try:
+        # A table without a path of its own belongs to the catalogue, which removes its rows with it.
+        writer.saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def once(expression: Column) -> Column:
     """Compute a costly column one time per row.
 
