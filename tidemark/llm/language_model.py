@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.runtime import stored
+from tidemark.runtime import bucketed, stored
 
 # Longest run of tokens, its last one included.
 ORDER = 3
@@ -38,7 +38,9 @@ PRIOR = (1000.0, 10.0, 10.0)
 ADDED = 0.1
 # Tokens of a piece (long texts are read in pieces that know the tokens before) and of a block.
 PIECE = 4_096
-BLOCK = 2_000_000
+BLOCK = 1_500_000
+# Bits that a run of two or more tokens is known by; words have 64.
+RUN_BITS = 56
 # Bytes of a text split into words at one time.
 WINDOW = 1 << 20
 # Asked runs that meet in one task, about.
@@ -91,12 +93,16 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, held: Column, order:
 
         def batch_of(numbers, tokens, before, length, trained, rows, ids, n):
             hashes = np.fromiter((xxhash.xxh3_64_intdigest(word) for word in numbers), np.uint64, len(numbers))
-            binary = [hashes, np.concatenate(tokens), np.array(before, np.int32), np.array(length, np.int32), np.array(trained, np.int8)]
+            binary = [
+                hashes.tobytes(),
+                planes(np.concatenate(tokens)),
+                *[np.array(part, kind).tobytes() for part, kind in ((before, np.int32), (length, np.int32), (trained, np.int8))],
+            ]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([block], pa.int64()),
                     pa.array([n], pa.int64()),
-                    *[pa.array([part.tobytes()], pa.binary()) for part in binary],
+                    *[pa.array([part], pa.binary()) for part in binary],
                     pa.array([rows], pa.list_(pa.int64())),
                     pa.array([ids], pa.list_(pa.int64())),
                 ],
@@ -153,46 +159,61 @@ def mixed(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     found = prefix * np.uint64(0x9E3779B97F4A7C15) + word
     found ^= found >> np.uint64(32)
     found *= np.uint64(0xD6E8FEB86659FD93)
-    return found ^ (found >> np.uint64(29))
+    found ^= found >> np.uint64(29)
+    # Low bits of zero cost nothing where sorted hashes are packed.
+    return found >> np.uint64(64 - RUN_BITS) << np.uint64(64 - RUN_BITS)
+
+
+def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and the number of each code among them."""
+    order = np.argsort(codes)
+    ranked = codes[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))[: len(codes)]
+    number = np.empty(len(codes), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ranked[new], number
 
 
 def read_block(row: pd.Series, order: int) -> Block:
     """A block and all its runs; equal for equal rows, so that asking and scoring number runs alike."""
     hashes = np.frombuffer(row["hashes"], np.uint64)
-    tokens = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
+    tokens = from_planes(row["tokens"]).astype(np.int32)
     before, length = np.frombuffer(row["before"], np.int32), np.frombuffer(row["length"], np.int32)
     held = np.frombuffer(row["held"], np.int8).astype(bool)
     sizes = before + length
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    place = np.arange(len(tokens)) - np.repeat(starts, sizes)
+    place = np.arange(len(tokens), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
     learned = (place >= np.repeat(before, sizes)) & np.repeat(~held, sizes)
     size = len(hashes)
     count = np.bincount(tokens[learned], minlength=size)
-    runs = [Runs(np.zeros(size, np.int64), np.arange(size), hashes, count)]
-    suffix = [np.zeros(size, np.int64)]
+    runs = [Runs(np.zeros(size, np.int32), np.arange(size, dtype=np.int32), hashes, count)]
+    suffix = [np.zeros(size, np.int32)]
     ending = tokens
     for longer in range(2, order + 1):
-        valid = np.flatnonzero(place >= longer - 1)
-        codes, number = np.unique(ending[valid - 1] * size + tokens[valid], return_inverse=True)
-        prefix, last = codes // size, codes % size
-        trained = np.bincount(number[learned[valid]], minlength=len(codes))
+        valid = np.flatnonzero(place >= longer - 1).astype(np.int32)
+        codes, number = distinct(ending[valid - 1].astype(np.int64) * size + tokens[valid])
+        prefix, last = (codes // size).astype(np.int32), (codes % size).astype(np.int32)
+        trained = np.bincount(number[learned[valid]], minlength=len(codes)).astype(np.int32)
         runs.append(Runs(prefix, last, mixed(runs[-1].hashed[prefix], hashes[last]), trained))
         # The run without its first token ends at the same place.
-        shorter = np.zeros(len(codes), np.int64)
+        shorter = np.zeros(len(codes), np.int32)
         shorter[number] = ending[valid]
         suffix.append(shorter)
-        ending = np.full(len(tokens), -1)
+        ending = np.full(len(tokens), -1, np.int32)
         ending[valid] = number
     return Block(tokens, starts, before, length, held, runs, suffix)
 
 
 def planes(numbers: np.ndarray) -> bytes:
-    """Bytes of whole numbers, the lowest byte of all first: high bytes are runs of zeros, which shuffles compress."""
-    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Packed whole numbers: the lowest byte of all first, so that high bytes are runs of zeros to the compressor."""
+    data = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
 def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    size = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], 8 * size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, size).T).view("<u8").ravel()
 
 
 def hash_ranges(hashed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +224,7 @@ def hash_ranges(hashed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate(([0], inner, [len(hashed)]))
 
 
-CELLS = "block long, size int, part long, payload binary"
+CELLS = "block long, size int, part long, asked binary, payload binary"
 
 
 def asked(blocks: DataFrame, bits: int, order: int) -> DataFrame:
@@ -220,27 +241,26 @@ def asked(blocks: DataFrame, bits: int, order: int) -> DataFrame:
                         chosen = by_hash[edges[part] : edges[part + 1]]
                         keys = runs.hashed[chosen]
                         steps = np.diff(keys, prepend=np.uint64(0))
-                        rows.append((row["block"], size, int(part), planes(steps) + planes(runs.trained[chosen])))
+                        rows.append((row["block"], size, int(part), planes(steps), planes(runs.trained[chosen])))
                     if not rows:
                         continue
-                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                     arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["block", "size", "part", "payload"])
+                    yield pa.RecordBatch.from_arrays(arrays, ["block", "size", "part", "asked", "payload"])
 
     return blocks.select("block", "hashes", "tokens", "before", "length", "held").mapInArrow(run, CELLS)
 
 
+ANSWERS = "block long, size int, part long, payload binary, seen long, total long"
+
+
 def answered(cells: pd.DataFrame) -> pd.DataFrame:
     """Totals over all blocks for each cell of one hash range, in the order asked, and facts of the range."""
-    keys, counts = [], []
-    for payload in cells["payload"]:
-        half = len(payload) // 2
-        keys.append(np.cumsum(from_planes(payload[:half]), dtype=np.uint64))
-        counts.append(from_planes(payload[half:]))
+    keys = [np.cumsum(from_planes(steps), dtype=np.uint64) for steps in cells["asked"]]
     sizes = [len(k) for k in keys]
-    found, number = np.unique(np.concatenate(keys), return_inverse=True)
+    found, number = distinct(np.concatenate(keys))
     totals = np.zeros(len(found), np.int64)
-    np.add.at(totals, number, np.concatenate(counts).astype(np.int64))
+    np.add.at(totals, number, np.concatenate([from_planes(p) for p in cells["payload"]]).astype(np.int64))
     ends = np.cumsum(sizes)
     first = np.arange(len(cells)) == 0
     return pd.DataFrame(
@@ -267,17 +287,18 @@ def automaton(block: Block, counts: list[np.ndarray], seen: int, total: int, pri
     # As many training texts start as end.
     context = counts[0].astype(np.float64)
     context[1] = counts[0][0]
+    first = first.astype(np.int32)
     arcs, weight = [np.arange(size)], [np.log10(chance)]
-    leads = [first[1] + np.arange(size) if order > 1 else np.zeros(size, np.int64)]
-    fails, backoff = [np.zeros(1, np.int64)], [np.zeros(1)]
+    leads = [first[1] + np.arange(size, dtype=np.int32) if order > 1 else np.zeros(size, np.int32)]
+    fails, backoff = [np.zeros(1, np.int32)], [np.zeros(1)]
     for length in range(1, order):
         strength = prior[min(length, len(prior)) - 1]
         runs, suffix = block.runs[length], block.suffix[length]
-        fails.append(first[length - 1] + block.suffix[length - 1] if length > 1 else np.zeros(size, np.int64))
+        fails.append(first[length - 1] + block.suffix[length - 1] if length > 1 else np.zeros(size, np.int32))
         backoff.append(np.log10(strength / (context + strength)))
         chance = (counts[length] + strength * chance[suffix]) / (context[runs.prefix] + strength)
         known = np.flatnonzero(counts[length] > 0)
-        arcs.append((first[length] + runs.prefix[known]) * size + runs.last[known])
+        arcs.append((first[length] + runs.prefix[known]).astype(np.int64) * size + runs.last[known])
         weight.append(np.log10(chance[known]))
         leads.append(first[length + 1] + known if length + 1 < order else first[length] + suffix[known])
         context = counts[length].astype(np.float64)
@@ -329,7 +350,9 @@ def scorer(seen: int, total: int, bits: int, order: int, prior: tuple[float, ...
                 count[by_hash] = np.concatenate([from_planes(payload) for payload in own["payload"]]).astype(np.int64)
             counts.append(count)
         size = len(block.runs[0].last)
-        score = traversed(block, automaton(block, counts, seen, total, prior), size)
+        machine = automaton(block, counts, seen, total, prior)
+        block, counts = block._replace(runs=[], suffix=[]), counts[:1]
+        score = traversed(block, machine, size)
         real = np.concatenate([np.arange(s + b, s + b + n) for s, b, n in zip(block.starts, block.before, block.length)])
         at = np.concatenate(([0], np.cumsum(block.length)[:-1]))
         known = counts[0][block.tokens[real]]
@@ -359,26 +382,27 @@ def scored(
     lower case, and one end; null and empty texts have the end alone. Repeated rows are documents of
     their own. ``base_score`` knows single tokens only. Where nothing is learned from, every token is
     the unseen class and scores 0. An empty table gives no rows; texts of any length are read whole,
-    in pieces. Other columns are not read. Runs are known by 64-bit hashes: two different ones of the
-    corpus share a total by chance of about n**2 / 2**65 for n runs.
+    in pieces. Other columns are not read. Words are known by 64-bit hashes, longer runs by RUN_BITS: of n
+    distinct runs about n**2 / 2**(RUN_BITS + 1) pairs share their totals, 0.07 of 10**8 runs.
     """
-    blocks = stored(blocks_of(docs, id_col, text_col, held, order), "token-blocks", compression="zstd")
-    n_tokens = blocks.agg(F.sum("n")).first()[0] or 0
-    bits = max(0, int(n_tokens * order // MEETING).bit_length())
-    cells = asked(blocks, bits, order).groupBy("size", "part").applyInPandas(answered, CELLS + ", seen long, total long")
-    cells = stored(cells, "run-totals", compression="zstd")
-    facts = cells.where("size = 1").agg(F.sum("seen"), F.sum("total")).first()
-    seen, total = facts[0] or 0, facts[1] or 0
-    answers = cells.select("block", "size", "part", "payload").groupBy("block")
-    parts = blocks.groupBy("block").cogroup(answers).applyInPandas(scorer(seen, total, bits, order, prior), PARTS)
-    # Decimals add up to the same in any order.
-    exact = lambda name: F.sum(F.col(name).cast("decimal(38,15)")).cast("double").alias(name)
-    return parts.groupBy("row").agg(
-        F.first("id").alias("id"),
-        F.first("held_out").alias("held_out"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        exact("base_score"),
-        exact("score"),
-    ).drop("row")
+    with bucketed(blocks_of(docs, id_col, text_col, held, order), "block") as blocks:
+        n_tokens = blocks.agg(F.sum("n")).first()[0] or 0
+        bits = max(0, int(n_tokens * order // MEETING).bit_length())
+        totals = asked(blocks, bits, order).groupBy("size", "part").applyInPandas(answered, ANSWERS)
+        totals = stored(totals, "run-totals")
+        facts = totals.where("size = 1").agg(F.sum("seen"), F.sum("total")).first()
+        seen, total = facts[0] or 0, facts[1] or 0
+        answers = totals.select("block", "size", "part", "payload").groupBy("block")
+        parts = blocks.groupBy("block").cogroup(answers).applyInPandas(scorer(seen, total, bits, order, prior), PARTS)
+        # Decimals add up to the same in any order.
+        exact = lambda name: F.sum(F.col(name).cast("decimal(38,15)")).cast("double").alias(name)
+        rows = parts.groupBy("row").agg(
+            F.first("id").alias("id"),
+            F.first("held_out").alias("held_out"),
+            F.sum("n_tokens").alias("n_tokens"),
+            F.sum("n_known").alias("n_known"),
+            F.lit(total).cast("long").alias("train_tokens"),
+            exact("base_score"),
+            exact("score"),
+        )
+        return stored(rows.drop("row"), "lm-scores")
