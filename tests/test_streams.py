@@ -53,14 +53,15 @@ def test_dual_write_over_many_batches_and_a_replay(spark):
     log = spark.read.schema(FEATURE_LOG).parquet(offline)
     assert log.count() == 20
     assert spark.read.schema("message string, error string").parquet(dead).count() == 4
-    merged = feeds.online_view(spark.read.schema(FEATURE_LOG).parquet(online))
+    merged = feeds.online_view(spark, online)
     assert merged.exceptAll(timetravel.latest_values(log)).isEmpty() and merged.count() == 3
     # The same batch written again changes nothing.
-    feeds.replace_batch(log.filter("false"), offline + "-other", 0)
-    first = spark.read.schema(FEATURE_LOG).parquet(f"{offline}/batch=0")
-    kept = first.collect()
-    feeds.replace_batch(spark.createDataFrame(kept, FEATURE_LOG), offline, 0)
+    kept = spark.read.schema(FEATURE_LOG).parquet(f"{offline}/batch=0").drop("event_date").collect()
+    again = spark.createDataFrame(kept, FEATURE_LOG).withColumn("event_date", F.to_date("event_timestamp"))
+    feeds.replace_batch(again, offline, 0, ("event_date",))
     assert spark.read.schema(FEATURE_LOG).parquet(offline).count() == 20
+    assert not feeds.online_store(spark, online).apply(log.withColumn("value", F.lit(-1.0)), 0)
+    assert feeds.online_view(spark, online).exceptAll(merged).isEmpty()
 
 
 def test_replays_in_later_batches_are_dropped(spark):

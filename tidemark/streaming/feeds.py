@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators.alerts import COOLDOWN_SECONDS, THRESHOLD
-from tidemark.operators.timetravel import latest_values
+from tidemark.operators.timetravel import LOG_KEYS, latest_values
+from tidemark.sinks.keyed import KeyedStore
 from tidemark.sinks.writers import append_envelopes
 from tidemark.sources.messages import dead_letters, good_events, parse_messages
 
@@ -39,9 +41,15 @@ def batch_bound(format: str, rows: int | None = None, files: int | None = None,
     return {"maxFilesPerTrigger": str(files)} if size is None else {"maxBytesPerTrigger": size}
 
 
-def replace_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+def replace_batch(rows: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
     """Write a micro-batch under its own number, replacing an earlier attempt of the same one."""
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+
+def online_store(spark: SparkSession, path: str) -> KeyedStore:
+    """Newest value per entity and feature, merged batch by batch."""
+    schema = "entity_id string, feature_name string, value double, event_timestamp timestamp, created_at timestamp"
+    return KeyedStore(spark, path.rstrip("/"), schema, tuple(LOG_KEYS), latest_values)
 
 
 def dual_write(
@@ -50,17 +58,18 @@ def dual_write(
     """Parse messages once per batch, then write online, offline and dead letters.
 
     Online first, as readers of fresh values wait for it. The offsets are committed after all
-    three; a batch that is replayed overwrites its own files. The online folder holds the
-    newest rows of each batch; :func:`online_view` merges them.
+    three; a batch that is replayed overwrites its own files, and the online store passes it over.
+    Offline rows are divided by date inside their batch. :func:`online_view` reads the online store.
     """
     parsed = parse_messages(messages)
+    store = online_store(messages.sparkSession, online)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             good = good_events(batch)
-            replace_batch(latest_values(good), online, batch_id)
-            replace_batch(good, offline, batch_id)
+            store.apply(good, batch_id)
+            replace_batch(good.withColumn("event_date", F.to_date("event_timestamp")), offline, batch_id, ("event_date",))
             replace_batch(dead_letters(batch), dead, batch_id)
         finally:
             batch.unpersist()
@@ -85,16 +94,15 @@ def demux(
     return paced(writer, trigger).start()
 
 
-def online_view(online_rows: DataFrame) -> DataFrame:
-    """Newest value per key over all batches."""
-    return latest_values(online_rows)
+def online_view(spark: SparkSession, online: str) -> DataFrame:
+    """Newest value per key over all batches: a whole version, at a cost that does not grow with their number."""
+    return online_store(spark, online).read()
 
 
 def without_replays(events: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
     """One row per event of an at-least-once source, for replays within the delay.
 
-    Rows later than the watermark are not seen here; the offline log keeps them, and a backfill
-    picks them up.
+    Rows later than the watermark are not seen here; :func:`windowed_write` keeps and marks them.
     """
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
 
@@ -155,12 +163,13 @@ def alert_stream(
             state.remove()
             return
         last = state.get[0] if state.exists else None
-        times = sorted(t for chunk in chunks for t in chunk["t"].tolist())
-        hits = []
-        for t in times:
-            if last is None or t > last + pause:
-                hits.append(t)
-                last = t
+        # A key's candidates of one micro-batch, eight bytes each.
+        times = np.sort(np.concatenate([chunk["t"].to_numpy() for chunk in chunks]))
+        hits, at = [], 0 if last is None else np.searchsorted(times, last + pause, side="right")
+        while at < len(times):
+            last = int(times[at])
+            hits.append(last)
+            at = np.searchsorted(times, last + pause, side="right")
         if last is not None:
             state.update((last,))
             if delay is not None:

@@ -1,4 +1,8 @@
-"""Streaming twins: each runs over everything there is, then its result is compared like a batch query."""
+"""Streaming twins: each runs over everything there is, then its result is compared like a batch query.
+
+Where state, order or replays matter, the events arrive in parts, and the stream starts anew from its
+checkpoint after each of them.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from tidemark.operators import registry as registry_ops
 from tidemark.operators import sketch
 from tidemark.runtime import scratch_path
 from tidemark.schemas import FEATURE_LOG, MODEL_LOG
-from tidemark.streaming import feeds
+from tidemark.streaming import feeds, windows
 from tidemark.suite import base, log, models
 from tidemark.suite.base import clock, log_sql, query, sql_clock, table
 
@@ -21,9 +25,9 @@ def event_stream(spark, sf_dir):
     )
 
 
-def log_stream(spark, sf_dir):
+def as_log(events):
     moment = F.col("ts").cast("timestamp")
-    return event_stream(spark, sf_dir).select(
+    return events.select(
         "event_id",
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("entity_id"),
         F.col("event_type").alias("feature_name"),
@@ -33,6 +37,29 @@ def log_stream(spark, sf_dir):
     )
 
 
+def log_stream(spark, sf_dir):
+    return as_log(event_stream(spark, sf_dir))
+
+
+# Sixteen days are a part. Some rows arrive with the part after their own, late or once more.
+PART_SQL = "(day(ts) - 1) // 16"
+PARTS = 3
+
+
+def in_parts(spark, sf_dir, start, delayed=None, repeated=None):
+    """Write the events part by part; after each, run the stream that ``start`` begins to its end."""
+    events = table(spark, sf_dir, "events")
+    own = F.floor((F.dayofmonth("ts") - 1) / 16)
+    arrives = own if delayed is None else own + delayed.cast("int")
+    arriving = events.withColumn("part", arrives)
+    if repeated is not None:
+        arriving = arriving.unionByName(events.filter(repeated).withColumn("part", own + 1))
+    (source,) = places(spark, "arriving")
+    for part in range(PARTS):
+        arriving.filter(F.col("part") == part).drop("part").write.mode("append").parquet(source)
+        finished(start(spark.readStream.schema(events.schema).parquet(source)))
+
+
 def finished(running):
     """Wait until the stream has read all of its input."""
     running.awaitTermination()
@@ -45,8 +72,13 @@ def places(spark, *names):
 
 def _written(spark, sf_dir):
     offline, online, dead, checkpoint = places(spark, "offline", "online", "dead", "check")
-    messages = base.event_messages(event_stream(spark, sf_dir))
-    finished(feeds.dual_write(messages, offline, online, dead, checkpoint, trigger=None))
+    late = F.col("event_id") % 37 == 0
+    in_parts(
+        spark,
+        sf_dir,
+        lambda events: feeds.dual_write(base.event_messages(events), offline, online, dead, checkpoint, trigger=None),
+        delayed=late,
+    )
     return offline, online, dead
 
 
@@ -69,7 +101,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     _, online, _ = _written(spark, sf_dir)
-    merged = feeds.online_view(spark.read.schema(FEATURE_LOG).parquet(online))
+    merged = feeds.online_view(spark, online)
     return merged.select("entity_id", "feature_name", "value")
 
 
@@ -95,29 +127,95 @@ def _(spark, sf_dir):
 @query("stream_dedup", f"WITH {log_sql()} SELECT event_id, entity_id FROM log")
 def _(spark, sf_dir):
     path, checkpoint = places(spark, "unique", "check")
-    replayed = log_stream(spark, sf_dir).withColumn(
-        "attempt", F.explode(F.array(F.lit(1), F.lit(2)))
-    )
-    unique = feeds.without_replays(replayed, ["event_id"], "event_timestamp", "1 day")
-    finished(feeds.to_files(unique.select("event_id", "entity_id"), path, checkpoint))
+
+    def start(events):
+        # Every row twice in its part, some once more with the next one.
+        replayed = as_log(events).withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2))))
+        unique = feeds.without_replays(replayed, ["event_id"], "event_timestamp", "1 day")
+        return feeds.to_files(unique.select("event_id", "entity_id"), path, checkpoint)
+
+    in_parts(spark, sf_dir, start, repeated=F.col("event_id") % 5 == 0)
     return spark.read.schema("event_id bigint, entity_id string").parquet(path)
 
 
+def _windows_kept(spark, sf_dir):
+    """Hourly windows of events of which some come a part late, and the marked log."""
+    offline, kept, checkpoint = places(spark, "offline", "windows", "check")
+    in_parts(
+        spark,
+        sf_dir,
+        lambda events: windows.windowed_write(as_log(events), offline, kept, checkpoint, "2 hours", EDGES, trigger=None),
+        delayed=F.col("event_id") % 37 == 0,
+    )
+    return offline, kept
+
+
+EDGES = [25.0, 75.0]
+
+
 @query("stream_hourly", log.HOURLY_SQL)
 def _(spark, sf_dir):
-    path, checkpoint = places(spark, "hourly", "check")
-    windows = log.flat_windows(
-        feeds.hourly_statistics(log_stream(spark, sf_dir), delay="2 hours")
+    offline, kept = _windows_kept(spark, sf_dir)
+    for _attempt in range(2):
+        windows.add_late_rows(spark, offline, kept, EDGES)
+    return windows.statistics(windows.window_store(spark, kept).read()).select(
+        clock("window_start").alias("hour"),
+        "feature_name",
+        "n",
+        F.round("mean", 9).alias("mean"),
+        F.round("std", 8).alias("std"),
+        "low",
+        "high",
+    )
+
+
+# Which rows were late, and what the windows without them hold.
+LATE_SQL = f"""WITH {log_sql()},
+    arriving AS (SELECT l.*, {PART_SQL.replace('ts', 'event_timestamp')} + CASE WHEN event_id % 37 = 0 THEN 1 ELSE 0 END AS part FROM log l),
+    newest AS (SELECT part, max(event_timestamp) AS newest FROM arriving GROUP BY part),
+    marked AS (
+      SELECT a.*, coalesce(date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <=
+        (SELECT max(newest) FROM newest n WHERE n.part < a.part) - INTERVAL 2 HOURS, false) AS late FROM arriving a)
+    SELECT event_id, late, count(*) FILTER (NOT late) OVER (PARTITION BY feature_name, date_trunc('hour', event_timestamp)) AS in_window,
+      count(*) FILTER (NOT late AND value < 25) OVER (PARTITION BY feature_name, date_trunc('hour', event_timestamp)) AS low_in_window
+    FROM marked"""
+
+
+@query("stream_late_rows", LATE_SQL)
+def _(spark, sf_dir):
+    offline, kept = _windows_kept(spark, sf_dir)
+    rows = spark.read.parquet(offline).select(
+        "event_id", "late", "feature_name", windows.window_start("event_timestamp", "1 hour").alias("window_start")
+    )
+    held = windows.window_store(spark, kept).read().select("window_start", "feature_name", "n", F.col("bins")[0].alias("low"))
+    return rows.join(held, ["window_start", "feature_name"], "left").select(
+        "event_id",
+        "late",
+        F.coalesce("n", F.lit(0)).alias("in_window"),
+        F.coalesce("low", F.lit(0)).alias("low_in_window"),
     )
-    finished(feeds.updates(windows, path, checkpoint))
+
+
+@query(
+    "stream_window_updates",
+    log.HOURLY_SQL,
+)
+def _(spark, sf_dir):
+    path, checkpoint = places(spark, "hourly", "check")
+    changed = log.flat_windows(feeds.hourly_statistics(log_stream(spark, sf_dir), delay="2 hours"))
+    finished(feeds.updates(changed, path, checkpoint))
     return feeds.newest_update(spark.read.parquet(path), ["hour", "feature_name"])
 
 
 @query("stream_cooldown", log.COOLDOWN_SQL)
 def _(spark, sf_dir):
     path, checkpoint = places(spark, "alerts", "check")
-    fired = feeds.alert_stream(log_stream(spark, sf_dir), cooldown_seconds=86_400)
-    finished(feeds.to_files(fired, path, checkpoint))
+
+    def start(events):
+        fired = feeds.alert_stream(as_log(events), cooldown_seconds=86_400, delay="1 hour")
+        return feeds.to_files(fired, path, checkpoint)
+
+    in_parts(spark, sf_dir, start)
     stored = spark.read.schema("entity_id string, alert_time timestamp").parquet(path)
     return stored.select("entity_id", clock("alert_time").alias("alert_time"))
 
