@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import finite_double
-from tidemark.runtime import cut_lineage, join_side, settled, small, stored
+from tidemark.operators.scans import running_max
+from tidemark.runtime import join_side, stored, written
 
 # Alert threshold, pause after an alert.
 THRESHOLD = 100.0
 COOLDOWN_SECONDS = 600
-# Keys with more candidate times than this are cut into segments of time.
-FEW_CANDIDATES = 2_000
-# Steps of one key that a single pass may chain.
-STEPS_AT_ONCE = 500_000
 
 
 def threshold_candidates(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -47,36 +42,19 @@ def three_sigma(log: DataFrame) -> DataFrame:
     return log.join(limits, "feature_name").filter(F.col("value") > F.col("upper_limit"))
 
 
-def _walked(moments: DataFrame, pause: int) -> DataFrame:
-    """Alerts of keys with few candidates: one ordered walk over each key's short array."""
-    start = F.struct(
-        F.lit(-(2**62)).cast("bigint").alias("ready"), F.array().cast("array<bigint>").alias("hits")
-    )
-    walk = F.aggregate(
-        F.array_sort(F.collect_list("t")),
-        start,
-        lambda state, t: F.when(
-            t > state["ready"],
-            F.struct((t + F.lit(pause)).alias("ready"), F.array_append(state["hits"], t).alias("hits")),
-        ).otherwise(state),
-        lambda state: state["hits"],
-    )
-    return moments.groupBy("k").agg(walk.alias("hits")).select("k", F.explode("hits").alias("t"))
-
-
 def cooldown_alerts(
     candidates: DataFrame,
     key: str = "entity_id",
     time: str = "event_timestamp",
     cooldown_seconds: int = COOLDOWN_SECONDS,
-    pauses_per_segment: int = 16,
-    few: int = FEW_CANDIDATES,
-    steps_at_once: int = STEPS_AT_ONCE,
 ) -> DataFrame:
     """Alert times per key: after an alert, candidates within the cooldown are passed over.
 
-    Keys with at most ``few`` candidate times are walked through directly; the others, whatever
-    their size, go through :func:`_segmented`. Both give the same alerts.
+    Which candidates alert depends on all earlier alerts of the key, but the candidate that would
+    follow one does not: it is the first of the key later than its cooldown. These successors come from one
+    scan over all keys. Successors 2, 4, 8, ... alerts ahead come from joining a table of successors with itself; the
+    alerts are then what the first candidate of each key reaches, marked from the longest steps to the shortest.
+    All joins are on (key, time), of which there is one row, so a key of any size is spread like any other rows.
     """
     pause = cooldown_seconds * 1_000_000
     moments = stored(
@@ -85,138 +63,22 @@ def cooldown_alerts(
         .distinct(),
         "moments",
     )
-    busy, facts = settled(
-        moments.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > few).select("k")
-    )
-    if facts["rows"]:
-        side = small(busy, facts["rows"])
-        alerts = _walked(moments.join(side, "k", "left_anti"), pause).unionByName(
-            _segmented(
-                moments.join(side, "k", "left_semi"), pause, pauses_per_segment, steps_at_once
-            )
-        )
-    else:
-        alerts = _walked(moments, pause)
-    return alerts.select(F.col("k").alias(key), F.timestamp_micros("t").alias("alert_time"))
-
-
-def _segmented(
-    moments: DataFrame, pause: int, pauses_per_segment: int, steps_at_once: int
-) -> DataFrame:
-    """Alerts of keys with many candidates, without walking through a key in one task.
-
-    Which candidates alert depends on all earlier alerts of the key. Its time axis is cut into
-    segments. A segment needs to know only when the cooldown it enters with ends, and its own
-    last alert as a function of that is a short step table. Tables of neighbouring segments are
-    put together, 16 at a time, until a key has few steps left. One pass per key then chains
-    these, the results are handed back down, and the alerts of all segments follow in parallel.
-    """
-    width = pause * pauses_per_segment
-    moments = moments.withColumn("segment", F.floor(F.col("t") / F.lit(width)).cast("bigint"))
-    table_schema = "k string, segment bigint, until bigint, last bigint"
-
-    def table_of(key, segment, start, until, last) -> pd.DataFrame:
-        """Step table: if the cooldown ends before ``until``, the last alert is ``last``.
-
-        A cooldown from before the segment ends within its first pause, so later steps go;
-        neighbours with the same outcome are one step.
-        """
-        reached = int(np.searchsorted(until, start + pause, side="left")) + 1
-        until, last = until[:reached], last[:reached]
-        keep = np.append(last[1:] != last[:-1], True)
-        return pd.DataFrame({"k": key, "segment": segment, "until": until[keep], "last": last[keep]})
-
-    def steps_of(group: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(group["t"].to_numpy())
-        following = np.searchsorted(t, t + pause, side="right")
-        jump = np.where(following < len(t), following, np.arange(len(t)))
-        while True:
-            further = jump[jump]
-            if np.array_equal(further, jump):
-                break
-            jump = further
-        segment = group["segment"].iloc[0]
-        return table_of(group["k"].iloc[0], segment, segment * width, t, t[jump])
-
-    def children(group: pd.DataFrame):
-        ordered = group.sort_values(["segment", "until"])
-        segment = ordered["segment"].to_numpy()
-        until, last = ordered["until"].to_numpy(), ordered["last"].to_numpy()
-        starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
-        ends = np.append(starts[1:], len(segment))
-        return [(segment[a], until[a:b], last[a:b]) for a, b in zip(starts, ends)]
-
-    def joined(parent_width: int):
-        def together(group: pd.DataFrame) -> pd.DataFrame:
-            """One table for neighbouring segments: each first step followed to the end."""
-            tables = children(group)
-            untils, lasts, covered = [], [], np.iinfo(np.int64).min
-            for place, (_, until, last) in enumerate(tables):
-                fresh = until > covered
-                covered = max(covered, until[-1])
-                until, state = until[fresh], last[fresh]
-                for _, next_until, next_last in tables[place + 1 :]:
-                    at = np.searchsorted(next_until, state + pause, side="right")
-                    hit = at < len(next_until)
-                    state = np.where(hit, next_last[np.minimum(at, len(next_until) - 1)], state)
-                untils.append(until)
-                lasts.append(state)
-            parent = group["parent"].iloc[0]
-            return table_of(
-                group["k"].iloc[0],
-                parent,
-                parent * parent_width,
-                np.concatenate(untils),
-                np.concatenate(lasts),
-            )
-
-        return together
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        """When the cooldown entering each segment ends, from one pass over the step tables."""
-        ready, entered = group["ready"].iloc[0], []
-        for segment, until, last in children(group):
-            entered.append((segment, ready))
-            at = np.searchsorted(until, ready, side="right")
-            if at < len(until):
-                ready = last[at] + pause
-        segments, readies = zip(*entered)
-        return pd.DataFrame({"k": group["k"].iloc[0], "segment": segments, "ready": readies})
-
-    def alerts_of(group: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(group["t"].to_numpy())
-        at = np.searchsorted(t, group["ready"].iloc[0], side="right")
-        hits = []
-        while at < len(t):
-            hits.append(t[at])
-            at = np.searchsorted(t, t[at] + pause, side="right")
-        return pd.DataFrame({"k": group["k"].iloc[0], "t": np.array(hits, dtype="int64")})
-
-    def crowded(tables: DataFrame) -> bool:
-        per_key = tables.groupBy("k").agg(
-            F.count(F.lit(1)).alias("steps"), (F.max("segment") > F.min("segment")).alias("several")
-        )
-        return not per_key.filter((F.col("steps") > steps_at_once) & F.col("several")).isEmpty()
-
-    tables = cut_lineage(moments.groupBy("k", "segment").applyInPandas(steps_of, table_schema))
-    finer = []
-    while crowded(tables):
-        finer.append(tables.withColumn("parent", F.shiftright("segment", 4)))
-        together = joined(width * 16 ** len(finer))
-        tables = cut_lineage(finer[-1].groupBy("k", "parent").applyInPandas(together, table_schema))
-
-    entered_schema = "k string, segment bigint, ready bigint"
-    start = F.lit(-(2**62)).cast("bigint")
-    entered = tables.withColumn("ready", start).groupBy("k").applyInPandas(walk, entered_schema)
-    for tables in reversed(finer):
-        above = entered.withColumnRenamed("segment", "parent")
-        entered = (
-            tables.join(above, ["k", "parent"])
-            .groupBy("k", "parent")
-            .applyInPandas(walk, entered_schema)
-        )
-    return (
-        moments.join(entered, ["k", "segment"])
-        .groupBy("k", "segment")
-        .applyInPandas(alerts_of, "k string, t bigint")
-    )
+    # Time runs backwards here: the largest state before the end of a cooldown is the first candidate after it.
+    points = moments.select("k", (-F.col("t")).alias("at"), (-F.col("t")).alias("state"))
+    ends = moments.select("k", (-F.col("t") - pause).alias("at"))
+    next_after = running_max(points, ends, ["k"], strict=True)
+    step = next_after.filter(F.col("state").isNotNull()).select("k", (-F.col("at") - pause).alias("t"), (-F.col("state")).alias("after"))
+    steps, count = [], 1
+    while count:
+        step, facts = written(step, "steps")
+        count = facts["rows"]
+        if count:
+            steps.append(step)
+            further = step.select("k", F.col("t").alias("after"), F.col("after").alias("beyond"))
+            step = step.join(further, ["k", "after"]).select("k", "t", F.col("beyond").alias("after"))
+    marked = moments.groupBy("k").agg(F.min("t").alias("t"))
+    for step in reversed(steps):
+        marked = stored(marked, "marked")
+        # Steps of one length from different alerts end at different ones.
+        marked = marked.unionByName(marked.join(step, ["k", "t"]).select("k", F.col("after").alias("t")))
+    return marked.select(F.col("k").alias(key), F.timestamp_micros("t").alias("alert_time"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import coercion, text, traffic
+from tidemark.operators.scans import running_max
 from tidemark.operators.slices import positional_slices
 
 
@@ -82,18 +83,26 @@ def canary_split(entities: DataFrame, percent: int, entity: str = "entity_id") -
 def with_labels(predictions: DataFrame, labels: DataFrame, key: str, max_lag: Column) -> DataFrame:
     """Predictions with the first label that arrived within the lag; null when none has.
 
-    Every prediction is one row, however many labels its key has. ``predictions`` has ``predicted_at``, ``labels`` has ``labeled_at`` and ``label``.
+    Every prediction is one row, however many labels its key has, and may have columns of any type. Of labels that
+    arrive at the same instant the smallest is taken. ``predictions`` has ``predicted_at``, ``labels`` has
+    ``labeled_at`` and ``label``. The nearest label is found by a scan with time running backwards, so a key with very
+    many labels is neither paired with its predictions nor held in one task.
     """
-    arrived = labels.select(F.col(key).alias("label_key"), "label", "labeled_at")
-    in_time = (F.col("labeled_at") >= F.col("predicted_at")) & (
-        F.col("labeled_at") <= F.col("predicted_at") + max_lag
+    known = labels.dropna(subset=[key, "labeled_at"])
+    arrived = known.select(F.col(key).alias("label_key"), (-F.unix_micros("labeled_at")).alias("at"))
+    points = arrived.distinct().withColumn("state", F.col("at"))
+    asks = predictions.select(F.col(key).alias("label_key"), (-F.unix_micros("predicted_at")).alias("at"))
+    nearest = running_max(points, asks, ["label_key"]).filter(F.col("state").isNotNull())
+    # One label per key and instant.
+    single = known.groupBy(F.col(key).alias("label_key"), (-F.unix_micros("labeled_at")).alias("state")).agg(
+        F.min("label").alias("label"), F.min("labeled_at").alias("labeled_at")
     )
-    numbered = predictions.withColumn("prediction_row", F.monotonically_increasing_id())
-    joined = numbered.join(arrived, (F.col(key) == F.col("label_key")) & in_time, "left")
-    first = joined.groupBy("prediction_row", *predictions.columns).agg(
-        F.min(F.when(F.col("labeled_at").isNotNull(), F.struct("labeled_at", "label"))).alias("first")
+    found = nearest.join(single, ["label_key", "state"]).select("label_key", F.col("at").alias("asked_at"), "label", "labeled_at")
+    same = (predictions[key] == found["label_key"]) & (-F.unix_micros(predictions["predicted_at"]) == found["asked_at"])
+    in_time = found["labeled_at"] <= predictions["predicted_at"] + max_lag
+    return predictions.join(found, same & in_time, "left").select(
+        *[predictions[name] for name in predictions.columns], found["label"], found["labeled_at"]
     )
-    return first.select(*predictions.columns, F.col("first.label").alias("label"), F.col("first.labeled_at").alias("labeled_at"))
 
 
 def label_metrics(labeled: DataFrame, by: str = "model_id") -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import composite_key, online_value
-from tidemark.operators.buckets import fitting_unit
+from tidemark.operators.scans import dealt, of_last_key, running_max
+from tidemark.runtime import BROADCAST_ROWS, settled, stored
 
 LOG_KEYS = ["entity_id", "feature_name"]
 
@@ -87,32 +90,19 @@ def _visible_from(bitemporal: bool) -> Column:
     return F.col("event_timestamp")
 
 
-def _known_before(
-    seen: DataFrame, keys: list[str], asked: DataFrame, states: list[str]
-) -> DataFrame:
-    """State of each key at the start of every bucket that is asked about.
-
-    ``seen`` has one row per key and bucket with activity, so the running maximum walks over
-    buckets, not over rows.
-    """
-    earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    merged = (
-        seen.withColumn("asked", F.lit(0))
-        .unionByName(asked.withColumn("asked", F.lit(1)), allowMissingColumns=True)
-        .groupBy(*keys, "bucket")
-        .agg(F.max("asked").alias("asked"), *[F.max(s).alias(s) for s in states])
-    )
-    carried = merged.select(
-        *keys, "bucket", "asked", *[F.max(s).over(earlier).alias(s) for s in states]
-    )
-    return carried.filter(F.col("asked") == 1).drop("asked")
-
-
-def _unit_for(usable: DataFrame, labels: DataFrame, keys: list[str], label_time: str) -> str:
-    both = usable.select(*keys, F.col("visible").alias("axis")).unionByName(
-        labels.select(*keys, F.col(label_time).alias("axis"))
+def _usable(log: DataFrame, keys: list[str], labels: DataFrame, label_time: str, bitemporal: bool, max_age: Column | None) -> DataFrame:
+    """Rows of the log that some label may see, with the moment from which they are ``visible``."""
+    newest, oldest = (labels.select(f(label_time)).scalar() for f in (F.max, F.min))
+    rows = (
+        log.dropna(subset=keys)  # a null key matches nothing
+        .withColumn("visible", _visible_from(bitemporal))
+        .filter((F.col("event_timestamp") <= newest) & (F.col("visible") <= newest))
     )
-    return fitting_unit(both, keys, "axis")
+    if max_age is not None:
+        rows = rows.filter(F.col("event_timestamp") >= oldest - max_age)
+    # Keys that no label asks for need not be shuffled, if the asked ones are few enough to be sent around.
+    asked, facts = settled(labels.select(*keys).dropna().distinct())
+    return rows.join(F.broadcast(asked), keys, "left_semi") if facts["rows"] <= BROADCAST_ROWS else rows
 
 
 def pit_join(
@@ -122,78 +112,33 @@ def pit_join(
     label_time: str = "label_time",
     bitemporal: bool = False,
     max_age: Column | None = None,
-    bucket: str | None = None,
 ) -> DataFrame:
     """For each label row the newest feature row that was visible at its time; never a later one.
 
-    Labels without a match keep null values. ``bitemporal`` also asks that the row was already
-    known (``created_at``). ``max_age`` (an interval) drops matches that are too old.
+    Labels without a match keep null values, those with a null key or time among them. ``bitemporal``
+    also asks that the row was already known (``created_at``). ``max_age`` (an interval) drops matches
+    that are too old. Rows that agree in both clocks go by the larger value.
 
-    Feature rows and label rows are laid on one time axis and a running maximum of
-    (event time, knowledge time, value) is read off at the labels. The axis is divided into
-    buckets of one ``bucket`` (a day, or less where a key is too dense), so a key of any size
-    spreads over many tasks; what a bucket must know about the past is one state row, taken from
-    a per-bucket aggregate.
+    The distinct (key, time) of the labels are looked up by a running maximum of (event time,
+    knowledge time, value), see :mod:`tidemark.operators.scans`, and joined back; labels may have columns of any type.
     """
-    carried_columns = labels.columns
+    usable = _usable(log, keys, labels, label_time, bitemporal, max_age)
     state = F.struct("event_timestamp", "created_at", "value")
-    newest_label = labels.select(F.max(label_time)).scalar()
-    usable = (
-        log.dropna(subset=keys)  # a null key matches nothing
-        .withColumn("visible", _visible_from(bitemporal))
-        .filter((F.col("event_timestamp") <= newest_label) & (F.col("visible") <= newest_label))
-    )
-    if bucket is None:
-        bucket = _unit_for(usable, labels, keys, label_time)
-    rows = usable.select(
-        *keys,
-        F.col("visible").alias("axis"),
-        F.date_trunc(bucket, "visible").alias("bucket"),
-        state.alias("state"),
-    )
-    asked_rows = labels.withColumns(
-        {"axis": F.col(label_time), "bucket": F.date_trunc(bucket, label_time)}
-    )
-    per_bucket = _newest_per(
-        usable.withColumn("bucket", F.date_trunc(bucket, "visible")), [*keys, "bucket"]
-    )
-    before = _known_before(
-        per_bucket.select(*keys, "bucket", state.alias("state")),
-        keys,
-        asked_rows.select(*keys, "bucket").distinct(),
-        ["state"],
-    )
-    axis = (
-        rows.withColumn("side", F.lit(0))
-        .unionByName(before.select(*keys, F.col("bucket").alias("axis"), "bucket", "state", F.lit(0).alias("side")))
-        .unionByName(
-            asked_rows.select(
-                *keys, "axis", "bucket", F.lit(1).alias("side"), F.struct(*carried_columns).alias("label")
-            ),
-            allowMissingColumns=True,
-        )
-    )
-    upto = (
-        Window.partitionBy(*keys, "bucket")
-        .orderBy("axis", "side")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    matched = axis.withColumn("match", F.max("state").over(upto)).filter(F.col("side") == 1)
+    points = usable.select(*keys, F.col("visible").alias("at"), state.alias("state"))
+    found = running_max(points, labels.select(*keys, F.col(label_time).alias("at")), keys)
+    asked = found.select(*[F.col(key).alias(f"asked_{i}") for i, key in enumerate(keys)], F.col("at").alias("asked_at"), F.col("state").alias("match"))
+    same = [labels[key] == asked[f"asked_{i}"] for i, key in enumerate(keys)] + [labels[label_time] == asked["asked_at"]]
     fresh = F.lit(True)
     if max_age is not None:
-        fresh = F.col("match.event_timestamp") >= F.col(f"label.{label_time}") - max_age
-    result = matched.select(
-        *[F.col(f"label.{name}").alias(name) for name in carried_columns],
-        *[
-            F.when(fresh, F.col(f"match.{name}")).alias(alias)
-            for name, alias in [
-                ("value", "value"),
-                ("event_timestamp", "event_timestamp"),
-                ("created_at", "created_at"),
-            ]
-        ],
+        fresh = asked["match"]["event_timestamp"] >= labels[label_time] - max_age
+    names = ("value", "event_timestamp", "created_at")
+    return labels.join(asked, same, "left").select(
+        *[labels[name] for name in labels.columns], *[F.when(fresh, asked["match"][name]).alias(name) for name in names]
     )
-    return result
+
+
+# Cells of labels times features that one task fills.
+WIDE_CELLS = 20_000_000
 
 
 def training_set(
@@ -203,75 +148,82 @@ def training_set(
     key: str = "entity_id",
     label_time: str = "label_time",
     bitemporal: bool = False,
-    bucket: str | None = None,
 ) -> DataFrame:
     """Label rows with one point-in-time column per feature.
 
-    All features of an entity are carried along the same axis, so labels are shuffled once and
-    neither multiplied by the features nor pivoted back.
+    Rows of the log go through the shuffle as they are, with the number of their feature; labels are neither
+    multiplied by the features nor pivoted back. The state of an entity, feature number to newest
+    row, is kept while its rows are passed in order, in Arrow batches of a range of (entity, moment);
+    what earlier ranges know of a range's first entity comes as further rows. Null keys match nothing.
     """
-    carried_columns = labels.columns
-    slots = [f"state_{i}" for i in range(len(features))]
-    newest_label = labels.select(F.max(label_time)).scalar()
-    usable = (
-        log.filter(F.col("feature_name").isin(features))
-        .withColumn("visible", _visible_from(bitemporal))
-        .filter((F.col("event_timestamp") <= newest_label) & (F.col("visible") <= newest_label))
-    )
-    if bucket is None:
-        bucket = _unit_for(usable, labels, [key], label_time)
-    state = F.struct("event_timestamp", "created_at", "value")
+    numbers = F.create_map(*[x for i, name in enumerate(features) for x in (F.lit(name), F.lit(i))])
+    usable = _usable(log.filter(F.col("feature_name").isin(features)), [key], labels, label_time, bitemporal, None)
     rows = usable.select(
-        key,
-        F.col("visible").alias("axis"),
-        F.date_trunc(bucket, "visible").alias("bucket"),
-        *[
-            F.when(F.col("feature_name") == name, state).alias(slot)
-            for name, slot in zip(features, slots)
-        ],
-    )
-    asked_rows = labels.withColumns(
-        {"axis": F.col(label_time), "bucket": F.date_trunc(bucket, label_time)}
-    )
-    per_bucket = _newest_per(
-        usable.withColumn("bucket", F.date_trunc(bucket, "visible")),
-        [key, "bucket", "feature_name"],
-    )
-    before = _known_before(
-        per_bucket.select(
-            key,
-            "bucket",
-            *[
-                F.when(F.col("feature_name") == name, state).alias(slot)
-                for name, slot in zip(features, slots)
-            ],
-        ),
-        [key],
-        asked_rows.select(key, "bucket").distinct(),
-        slots,
-    )
-    axis = (
-        rows.withColumn("side", F.lit(0))
-        .unionByName(before.select(key, F.col("bucket").alias("axis"), "bucket", *slots, F.lit(0).alias("side")))
-        .unionByName(
-            asked_rows.select(
-                key, "axis", "bucket", F.lit(1).alias("side"), F.struct(*carried_columns).alias("label")
-            ),
-            allowMissingColumns=True,
-        )
-    )
-    upto = (
-        Window.partitionBy(key, "bucket")
-        .orderBy("axis", "side")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    held = axis.select(
-        "side", "label", *[F.max(s).over(upto).alias(s) for s in slots]
-    ).filter(F.col("side") == 1)
-    return held.select(
-        *[F.col(f"label.{name}").alias(name) for name in carried_columns],
-        *[F.col(f"{slot}.value").alias(name) for name, slot in zip(features, slots)],
-    )
+        F.col(key).alias("k"),
+        F.unix_micros("visible").alias("at"),
+        F.lit(0).alias("side"),
+        numbers[F.col("feature_name")].alias("feature"),
+        F.unix_micros("event_timestamp").alias("event"),
+        F.coalesce(F.unix_micros("created_at"), F.lit(_UNKNOWN)).alias("known"),
+        F.coalesce("value", F.lit(0.0)).alias("value"),
+        F.col("value").isNotNull().cast("int").alias("has"),
+    )
+    asks = stored(labels.select(F.col(key).alias("k"), F.unix_micros(label_time).alias("at")).dropna().distinct(), "asks")
+    axis = rows.unionByName(asks.withColumn("side", F.lit(1)), allowMissingColumns=True)
+    enough = -(-asks.count() * len(features) // WIDE_CELLS)
+    spark = labels.sparkSession
+    ranges, ends = dealt(axis, ["k"], ["at", "side", "feature", "event", "known", "has", "value"], max(enough, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    state = F.struct("event", "known", "has", "value")
+    tails = stored(
+        of_last_key(ranges, ends, ["k"]).filter("side = 0").groupBy("part", "k", "feature").agg(F.max(state).alias("state")), "tails"
+    )
+    # At most ranges times features rows, as tails are.
+    heads = ends.select("part", F.col("first.k").alias("k")).join(tails.select("k", "feature").distinct(), "k")
+    chain = heads.withColumn("tail", F.lit(0)).unionByName(tails.withColumn("tail", F.lit(1)), allowMissingColumns=True)
+    earlier = Window.partitionBy("k", "feature").orderBy("part", "tail").rowsBetween(Window.unboundedPreceding, -1)
+    carried = chain.withColumn("state", F.max("state").over(earlier)).filter("tail = 0 and state is not null")
+    carried = carried.select("part", "k", F.lit(_UNKNOWN * 10).alias("at"), F.lit(-1).alias("side"), "feature", "state.*")
+    filled = ranges.unionByName(carried).groupBy("part").applyInPandas(
+        _filler(len(features)), "k string, at long, present array<tinyint>, found array<double>"
+    )
+    asked = filled.select(F.col("k").alias("asked_key"), "at", "present", "found")
+    same = (labels[key] == asked["asked_key"]) & (F.unix_micros(labels[label_time]) == asked["at"])
+    return labels.join(asked, same, "left").select(
+        *[labels[name] for name in labels.columns],
+        # pandas hands NaN back as null.
+        *[F.when(asked["present"][i] == 1, F.coalesce(asked["found"][i], F.lit(float("nan")))).alias(name) for i, name in enumerate(features)],
+    )
+
+
+def _filler(features: int):
+    """For each ask of a range the newest value of every feature at its moment."""
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+        codes, names = pd.factorize(rows["k"], sort=True)
+        at, side = rows["at"].to_numpy(), rows["side"].to_numpy()
+        order = np.lexsort((side, at, codes))
+        codes, side = codes[order], side[order]
+        is_ask = side == 1
+        asks = np.flatnonzero(is_ask)
+        present = np.zeros((len(asks), features), np.int8)
+        found = np.zeros((len(asks), features))
+        event, known, has, value, feature = (rows[name].to_numpy()[order] for name in ("event", "known", "has", "value", "feature"))
+        # Newest is by event time, knowledge time and value; a null value comes first.
+        ranked = np.lexsort((value, has, known, event))
+        rank = np.empty(len(order), np.int64)
+        rank[ranked] = np.arange(len(order))
+        for number in np.unique(feature[~is_ask]).astype(int):
+            places = np.flatnonzero(~is_ask & (feature == number))
+            # Keys ascend, so the running maximum of (key, rank) starts anew with each key.
+            best = np.maximum.accumulate(codes[places] * len(order) + rank[places])
+            before = np.searchsorted(places, asks) - 1
+            newest = best[np.maximum(before, 0)]
+            row = ranked[newest % len(order)]
+            present[:, number] = (before >= 0) & (newest // len(order) == codes[asks]) & (has[row] == 1)
+            found[:, number] = value[row]
+        return pd.DataFrame({"k": names[codes[asks]], "at": at[order][asks], "present": pd.Series(list(present), dtype=object), "found": pd.Series(list(found), dtype=object)})
+
+    return fill
 
 
 def training_window(

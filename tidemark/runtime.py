@@ -102,6 +102,13 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, label: str, **facts: Column) -> tuple[DataFrame, Row]:
+    """``stored``, with the row count and further aggregates of what was written."""
+    kept = stored(df, label)
+    measured = [F.count(F.lit(1)).alias("rows"), *[fact.alias(name) for name, fact in facts.items()]]
+    return kept, kept.agg(*measured).first()
+
+
 @contextmanager
 def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
     """Write rows once by the hash of a key: joins and groups by this key need no shuffle of them.

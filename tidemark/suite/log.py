@@ -471,10 +471,7 @@ COOLDOWN_SQL = f"""WITH RECURSIVE {log_sql()},
 @query("cooldown_alerts", COOLDOWN_SQL)
 def _(spark, sf_dir):
     candidates = alerts.threshold_candidates(feature_log(spark, sf_dir))
-    # The low bound sends the busier entities through the segmented form as well.
-    fired = alerts.cooldown_alerts(
-        candidates, cooldown_seconds=86_400, pauses_per_segment=4, few=14
-    )
+    fired = alerts.cooldown_alerts(candidates, cooldown_seconds=86_400)
     return fired.select("entity_id", clock("alert_time").alias("alert_time"))
 
 
