@@ -206,6 +206,46 @@ def test_exact_percentile(spark, small_box):
             assert math.isclose(got[g].percentile, np.quantile(vs, fraction), rel_tol=1e-12)
 
 
+EXTREMES = {
+    "overflow": [-1.7e308, 1.7e308, *(1.5e308 * x for x in np.linspace(-1, 1, 40))],
+    "denormals": [5e-324 * i for i in range(30)] + [1.7e308, 1.0, -5e-324, 0.0],
+    "ties": [1.0] * 300 + [2.0] * 300 + [np.nextafter(1.0, 2.0)] * 2 + [3.0],
+    "powers": [2.0**i for i in range(-1070, 1020, 7)],
+    "one": [4.0] * 50,
+}
+
+
+@pytest.mark.parametrize("small_box", [1, 5])
+def test_ranks_of_any_doubles_are_found(spark, small_box):
+    frame = spark.createDataFrame([(g, float(v)) for g, vs in EXTREMES.items() for v in vs], "g string, v double")
+    for fraction in (0.5, 0.95):
+        got = {r.g: r for r in selection.exact_percentile(frame, "g", "v", fraction, small_box).collect()}
+        for g, vs in EXTREMES.items():
+            ranked, at = sorted(vs), fraction * (len(vs) - 1)
+            below, above = ranked[math.floor(at)], ranked[math.ceil(at)]
+            want = (below / 2 + (above / 2 - below / 2) * (at - math.floor(at))) * 2
+            assert math.isclose(got[g].percentile, want, rel_tol=1e-9, abs_tol=1e-320), g
+
+
+@pytest.mark.parametrize("small_box", [1, 20])
+def test_distance_of_any_doubles(spark, small_box):
+    rng = np.random.default_rng(9)
+    for name, vs in EXTREMES.items():
+        hist, curr = rng.choice(vs, 90), np.sort(rng.choice(vs, 60))[:50]
+        got = distribution.ks_distance(distribution.bin_values(slices_of(spark, hist, curr)), small_box).first()
+        at = np.unique(np.concatenate([hist, curr]))
+        d = np.abs(np.searchsorted(np.sort(hist), at, "right") / 90 - np.searchsorted(curr, at, "right") / 50).max()
+        assert math.isclose(got.ks_stat, d, abs_tol=1e-12), name
+
+
+def test_splitter_numbers_follow_the_order(spark):
+    grid = sorted([*range(0, 250), *[100] * 5, 300, 400])
+    keys = [-1, 0, 0.5, 99.5, 100, 100.5, 249, 250, 350, 400, 401]
+    row = spark.createDataFrame([([float(g) for g in grid], float(k)) for k in keys], "grid array<double>, k double")
+    numbers = [r[0] for r in row.select(selection.splitter_number(F.col("k"), F.col("grid"))).collect()]
+    assert numbers == [sum(g < k for g in grid) + sum(g <= k for g in grid) for k in keys]
+
+
 @pytest.mark.parametrize("small_box", [3, 100_000])
 def test_seeded_sample_is_the_same_every_time(spark, small_box):
     frame = spark.range(300).select("id", F.when(F.col("id") < 280, "a").otherwise("b").alias("g"))

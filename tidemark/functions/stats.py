@@ -28,7 +28,9 @@ def equal_width_bin(value: Column, low: Column, high: Column, bins: int = BINS)
     The last bin holds the maximum too. Comparing with explicit edges keeps both engines and
     NumPy on the same bin for values that sit on an edge.
     """
-    step = (high - low) / F.lit(float(bins))
+    # The difference of two finite doubles may be none.
+    parts = F.lit(float(bins))
+    step = F.when(high / 2 - low / 2 < 2.0**1022, (high - low) / parts).otherwise(high / parts - low / parts)
     hits = [(value >= low + F.lit(float(i)) * step).cast("int") for i in range(1, bins)]
     total = hits[0]
     for hit in hits[1:]:

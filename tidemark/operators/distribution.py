@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import BINS, equal_width_bin, ks_pvalue, psi_term, share
-from tidemark.operators.selection import SMALL_BOX, fine_bin
+from tidemark.operators.selection import SMALL_BOX, fine_bin, splitter_number, splitters
 from tidemark.operators.slices import CURRENT, HISTORICAL
-from tidemark.runtime import cut_lineage, settled, small
+from tidemark.runtime import cut_lineage, settled, small, stored
 
 
 def _in(slice_name: str) -> Column:
@@ -144,10 +144,12 @@ def ks_distance(binned: Binned, small_box: int = SMALL_BOX) -> DataFrame:
 
     The distance at the bin edges is a lower bound of the answer. Inside a bin the two empirical
     distributions cannot get further apart than from one's start to the other's end, so most
-    bins cannot beat the bound and are done. Only the rows of the remaining bins are looked at
-    again: bins with many rows are divided further, small ones are finished value by value.
+    bins cannot beat the bound and are done. Only the rows of the remaining bins go on, by an equality
+    of the bin's number: those of small bins are finished value by value, large ones are divided at the
+    splitters of a quantile sketch, which leaves about 1/200 of the rows between two of them, and rows at a splitter are
+    a bin of a single value. So the number of rounds follows from the number of rows, whatever the values are.
     """
-    group, values, totals = binned.group, binned.values, binned.totals
+    group, totals = binned.group, binned.totals
     large = F.col("rows") > small_box
     level = (
         binned.counts.groupBy(group, "fine")
@@ -159,9 +161,13 @@ def ks_distance(binned: Binned, small_box: int = SMALL_BOX) -> DataFrame:
         )
         .join(small(totals.select(group, "n_hist", "n_curr"), binned.groups), group)
         .withColumns(
-            {"box": F.lit(0.0), "hist_base": F.lit(0), "curr_base": F.lit(0), "edge": F.lit(0.0)}
+            {"box": F.lit(""), "hist_base": F.lit(0), "curr_base": F.lit(0), "edge": F.lit(0.0)}
         )
     )
+    ranges = small(totals.select(group, "low", "high"), binned.groups)
+    rows = binned.values.join(ranges, group).select(
+        group, "slice", "value", F.lit("").alias("box"), fine_bin(F.col("value"), F.col("low"), F.col("high")).alias("fine")
+    )
     reach = F.greatest(
         F.col("hist_upto") / F.col("n_hist")
         - (F.col("curr_upto") - F.col("curr")) / F.col("n_curr"),
@@ -182,22 +188,22 @@ def ks_distance(binned: Binned, small_box: int = SMALL_BOX) -> DataFrame:
         found.append(level.select(group, "edge"))
         boxes = level.filter("open").select(
             group,
+            "box",
+            "fine",
             "n_hist",
             "n_curr",
             "edge",
             "rows",
-            F.col("low").alias("box"),
-            F.col("high").alias("box_high"),
             (F.col("hist_upto") - F.col("hist")).alias("hist_base"),
             (F.col("curr_upto") - F.col("curr")).alias("curr_base"),
         )
         carried = [group, "box", "n_hist", "n_curr", "hist_base", "curr_base", "edge"]
-        within = F.col("value").between(F.col("box"), F.col("box_high"))
         both = [_in(HISTORICAL).alias("hist"), _in(CURRENT).alias("curr")]
+        inner = F.concat_ws("/", "box", F.col("fine").cast("string")).alias("box")
         if facts["finish"]:
             counted = (
-                values.join(small(boxes.filter(~large), facts["finish"]), group)
-                .filter(within)
+                rows.join(small(boxes.filter(~large), facts["finish"]), [group, "box", "fine"])
+                .select(*[name for name in carried if name != "box"], inner, "slice", "value")
                 .groupBy(*carried, "value")
                 .agg(*both)
             )
@@ -205,12 +211,15 @@ def ks_distance(binned: Binned, small_box: int = SMALL_BOX) -> DataFrame:
             found.append(closed.select(group, _gap().alias("edge")))
         if not facts["divide"]:
             break
-        level = (
-            values.join(small(boxes.filter(large), facts["divide"]), group)
-            .filter(within)
-            .groupBy(*carried, fine_bin(F.col("value"), F.col("box"), F.col("box_high")).alias("fine"))
-            .agg(*both, F.min("value").alias("low"), F.max("value").alias("high"))
+        held = rows.join(small(boxes.filter(large), facts["divide"]), [group, "box", "fine"]).select(
+            *[name for name in carried if name != "box"], inner, "slice", "value"
         )
+        held = stored(held, "open-bins")
+        grids, grid_facts = settled(held.groupBy(group, "box").agg(splitters("value").alias("grid")))
+        numbered = held.join(small(grids, grid_facts["rows"]), [group, "box"])
+        rows = stored(numbered.withColumn("fine", splitter_number(F.col("value"), F.col("grid"))).drop("grid"), "open-bins")
+        level = rows.groupBy(*carried, "fine").agg(*both, F.min("value").alias("low"), F.max("value").alias("high"))
+        rows = rows.select(group, "slice", "value", "box", "fine")
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)

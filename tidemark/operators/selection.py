@@ -1,9 +1,13 @@
 """Rows at given ranks, found without sorting a whole group.
 
 A window that numbers every row of a group sorts that group in one task, and one group may hold
-a third of the data. Here each round counts the rows of equal-width bins (combined map-side),
-keeps for every wanted rank the one bin that contains it, and narrows into that bin until few
-distinct keys are left. What reaches the driver is one summary row per round.
+a third of the data. Here a quantile sketch of the rows, which merges map-side, gives GRID + 1 splitters, and a
+wanted rank lies between two of them that hold about 1/100 of the rows. One exact count of what
+lies below, at, between and above these two tells where the rank is, whatever the sketch got wrong; the next round
+looks at that part alone. A round divides rows, not the range of the keys: a box of n rows is down to ``small_box`` after
+about log(n / small_box) / log(100) rounds (four for a billion rows), for any values. Rows at the splitters are
+counted apart, so ties cannot hold a round up, and since the ends of a box are splitters it loses them at least.
+What reaches the driver is one summary row per round.
 """
 
 from __future__ import annotations
@@ -13,15 +17,41 @@ from pyspark.sql import functions as F
 
 from tidemark.runtime import settled, small
 
+# Splitters of a box, and the accuracy of the sketch they come from.
+GRID = 256
+ACCURACY = 1024
 ROUND_BINS = 1024
 # A box with at most this many rows is finished by counting its distinct keys.
 SMALL_BOX = 10_000
 
 
 def fine_bin(key: Column, low: Column, high: Column, bins: int = ROUND_BINS) -> Column:
-    """Equal-width bin that never decreases with the key; a single-valued range is bin 0."""
-    position = (key - low).cast("double") / (high - low).cast("double") * F.lit(float(bins))
-    return F.when(low < high, F.least(F.floor(position), F.lit(bins - 1))).otherwise(F.lit(0))
+    """Equal-width bin that never decreases with the key; a single-valued range is bin 0.
+
+    Halves are taken first: the difference of two finite doubles may be none.
+    """
+    position = (key / 2 - low / 2) / (high / 2 - low / 2) * F.lit(float(bins))
+    return F.when(low / 2 < high / 2, F.least(F.floor(position), F.lit(bins - 1))).otherwise(F.lit(0))
+
+
+def splitters(key: Column | str) -> Column:
+    """Aggregate: GRID + 1 ascending values that divide the rows about evenly, the least and the greatest among them."""
+    return F.percentile_approx(key, [i / GRID for i in range(GRID + 1)], ACCURACY)
+
+
+def splitter_number(key: Column, grid: Column) -> Column:
+    """Where a key lies among splitters: keys equal to one have a number of their own, apart from those between two."""
+    block = 16
+    edges = F.transform(F.sequence(F.lit(0), F.lit(GRID // block)), lambda i: F.get(grid, i * block))
+
+    def count(before) -> Column:
+        whole = F.size(F.filter(edges, before))
+        return (whole - 1) * block + F.size(F.filter(F.slice(grid, F.greatest(whole - 1, F.lit(0)) * block + 1, block), before))
+
+    def counted(before) -> Column:
+        return F.when(before(F.get(grid, F.lit(0))), count(before)).otherwise(0)
+
+    return counted(lambda x: x < key) + counted(lambda x: x <= key)
 
 
 def _pick(counted: DataFrame, box: list[str], order: list[str]) -> DataFrame:
@@ -66,9 +96,21 @@ def _counted(
     asked = boxes.select(
         *group, *pinned, "cut", "rank", F.col("low").alias("area_low"), F.col("high").alias("area_high")
     )
-    return counts.join(
-        small(asked, facts["rows"]), [*group, *pinned, "area_low", "area_high"]
-    ).drop("area_low", "area_high")
+    return counts.join(small(asked, facts["rows"]), [*group, *pinned, "area_low", "area_high"])
+
+
+def _regions(rows: DataFrame, around: DataFrame, facts: Row, group: list[str], pinned: list[str], key: str) -> DataFrame:
+    """Of each rank's box the counts below, at, between and above the two splitters around the rank."""
+    around, _ = settled(around.withColumnsRenamed({k: f"at_{k}" for k in pinned}).drop("rows"))
+    held = rows.filter(F.col(key).between(F.lit(facts["low"]), F.lit(facts["high"]))).join(small(around, facts["rows"]), group)
+    held = held.filter(F.col(key).between(F.col("area_low"), F.col("area_high")))
+    for name in pinned:
+        held = held.filter(F.col(name) == F.col(f"at_{name}")).drop(f"at_{name}")
+    low, high = F.col("from"), F.col("to")
+    region = F.when(F.col(key) < low, 0).when(F.col(key) == low, 1).when(F.col(key) < high, 2).when(F.col(key) == high, 3).otherwise(4)
+    return held.groupBy(*group, *pinned, "cut", "rank", region.alias("region")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(key).alias("low"), F.max(key).alias("high")
+    )
 
 
 def rank_cuts(
@@ -108,22 +150,21 @@ def rank_cuts(
     for position, key in enumerate(keys):
         boxes, facts = settle(boxes)
         while facts["wide"]:
-            counted = _counted(
-                rows,
-                boxes.filter(large & several),
-                facts,
-                group,
-                pinned,
-                key,
-                [fine_bin(F.col(key), F.col("area_low"), F.col("area_high")).alias("bin")],
-                [F.min(key).alias("low"), F.max(key).alias("high")],
-            )
-            narrowed = _pick(counted, [*group, "cut"], ["bin"]).drop("bin")
+            open_boxes = boxes.filter(large & several)
+            grids = _counted(rows, open_boxes, facts, group, pinned, key, [], [splitters(key).alias("grid")])
+            place = F.floor(F.col("rank") / F.col("rows") * GRID).cast("int")
+            # The rows of a box are counted again here: ``rows`` of the sketch are those of the box.
+            around = grids.select(
+                *group, *pinned, "cut", "rank", "rows", "area_low", "area_high",
+                F.get("grid", F.greatest(place - 1, F.lit(0))).alias("from"),
+                F.get("grid", F.least(place + 2, F.lit(GRID))).alias("to"),
+            )
+            narrowed = _pick(_regions(rows, around, facts, group, pinned, key), [*group, "cut"], ["region"]).drop("region")
             boxes, facts = settle(boxes.filter(~(large & several)).drop("leads").unionByName(narrowed))
         last = position == len(keys) - 1
         finished = boxes if last else boxes.filter(~large)
         remaining = [F.col(name) for name in keys if name not in pinned]
-        distinct = _counted(rows, finished, facts, group, pinned, key, remaining, [])
+        distinct = _counted(rows, finished, facts, group, pinned, key, remaining, []).drop("area_low", "area_high")
         found = _pick(distinct, [*group, "cut"], keys).select(
             *group,
             "cut",
@@ -145,7 +186,7 @@ def rank_cuts(
             key,
             [F.col(key)],
             [F.min(following).alias("low"), F.max(following).alias("high")],
-        )
+        ).drop("area_low", "area_high")
         pinned.append(key)
     return result
 
@@ -186,7 +227,10 @@ def exact_percentile(
         .select(
             group,
             F.col("rows").alias("n"),
-            (below + (above - below) * (point - F.floor(point))).alias("percentile"),
+            # The difference of two finite doubles may be none; that of their halves is.
+            F.when(F.abs(above / 2 - below / 2) < 2.0**1022, below + (above - below) * (point - F.floor(point)))
+            .otherwise((below / 2 + (above / 2 - below / 2) * (point - F.floor(point))) * 2)
+            .alias("percentile"),
         )
     )
 
@@ -194,7 +238,7 @@ def exact_percentile(
 def seeded_sample(
     df: DataFrame, group: str, identity: Column, size: int, small_box: int = SMALL_BOX
 ) -> DataFrame:
-    """The same random rows on every run: of each group the ``size`` rows with the lowest md5.
+    """The same random rows on every run: of each group the ``size`` rows with the lowest md5, all of its digits.
 
     This is the sampling operator itself, so the limit is its result. ``identity`` must name a
     row; the group's threshold is found by :func:`rank_cuts`, so no group is sorted.
@@ -204,6 +248,7 @@ def seeded_sample(
         {
             "draw": F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"),
             "draw_rest": F.conv(F.substring(digest, 16, 15), 16, 10).cast("bigint"),
+            "draw_last": F.conv(F.substring(digest, 31, 2), 16, 10).cast("bigint"),
         }
     )
     sizes, facts = settled(
@@ -214,11 +259,11 @@ def seeded_sample(
         )
     )
     wanted = sizes.withColumns({"cut": F.lit("end"), "rank": F.lit(size).cast("bigint")})
-    cuts = rank_cuts(marked, [group], ["draw", "draw_rest"], wanted, small_box)
+    cuts = rank_cuts(marked, [group], ["draw", "draw_rest", "draw_last"], wanted, small_box)
     limits, _ = settled(sizes.select(group).join(cuts.select(group, "at"), group, "left"))
-    draw = F.struct("draw", "draw_rest")
+    draw = F.struct("draw", "draw_rest", "draw_last")
     return (
         marked.join(small(limits, facts["rows"]), group)
         .filter(F.col("at").isNull() | (draw < F.col("at")))
-        .drop("at", "draw", "draw_rest")
+        .drop("at", "draw", "draw_rest", "draw_last")
     )
