@@ -128,6 +128,18 @@ def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def unused_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of the frame has, in any case of letters."""
+    taken = {name.lower() for name in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def once(expression: Column) -> Column:
     """Compute a costly column one time per row.
 
