@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.runtime import once, scratch_path, stored
+from tidemark.runtime import once, scratch_path, stored, unused_names
 
 # Characters of a shingle.
 SHINGLE = 5
@@ -269,22 +269,23 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Every row stays; a text may become empty. Null texts stay null. A column ``n_chars`` is brought up to date.
     """
+    own_id, own_text, lost = unused_names(docs, "gone_id", "gone_text", "gone")
     gone = (
         classes(docs, id_col, text_col, least)
         .where("not kept")
-        .groupBy(F.coalesce("doc_id", F.lit(LEAST)).alias("__gone_id"), F.col("text_key").alias("__gone_text"))
-        .agg(F.collect_set("line_no").alias("__gone"))
+        .groupBy(F.coalesce("doc_id", F.lit(LEAST)).alias(own_id), F.col("text_key").alias(own_text))
+        .agg(F.collect_set("line_no").alias(lost))
     )
     keyed = docs.withColumns(
         {
-            "__gone_id": F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)),
-            "__gone_text": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
+            own_id: F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)),
+            own_text: F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
         }
     )
     numbered = F.transform(F.split(text_col, "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
-    stay = F.filter(numbered, lambda row: ~F.array_contains("__gone", row["i"]))
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda row: row["line"]), "\n"))
-    cleaned = keyed.join(gone, ["__gone_id", "__gone_text"], "left").withColumn(text_col, text)
+    stay = F.filter(numbered, lambda row: ~F.array_contains(lost, row["i"]))
+    text = F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda row: row["line"]), "\n"))
+    cleaned = keyed.join(gone, [own_id, own_text], "left").withColumn(text_col, text)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.char_length(text_col).cast("long"))
     return cleaned.select(*docs.columns)

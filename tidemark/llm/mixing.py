@@ -90,6 +90,7 @@ def mixed(
     seed: str = "mix:",
     sweeps: int = SWEEPS,
     prefix: str = "mix_",
+    text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with (mix_<margin>..., mix_tokens, mix_probability, mix_kept).
 
@@ -101,7 +102,7 @@ def mixed(
     Columns of the names above (``prefix`` may set them apart) are replaced; all others stay. An empty table gives no rows.
     """
     counted = docs.withColumns({f"{prefix}{m.name}": m.classed() for m in margins}).withColumn(
-        f"{prefix}tokens", words_of("text") if tokens is None else tokens
+        f"{prefix}tokens", words_of(text_col) if tokens is None else tokens
     )
     names = [f"{prefix}{m.name}" for m in margins]
     # At most the product of the numbers of classes.

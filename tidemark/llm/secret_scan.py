@@ -12,7 +12,8 @@ import re
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.runtime import scratch_path
@@ -116,6 +117,16 @@ def paths_with_findings(
     )
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at a path; an empty one where nothing was written yet."""
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_ledger(spark)
+
+
 def scan(
     versions: DataFrame,
     ledger_path: str | None = None,
@@ -125,7 +136,7 @@ def scan(
 ) -> DataFrame:
     """Bring the ledger at ``ledger_path`` up to date and return findings of all paths.
 
-    The ledger is a parquet folder that only grows; a new one is begun in the shared scratch folder
+    The ledger is a parquet folder that only grows; it is begun where there is none, in the shared scratch folder
     when no path is given. Null texts count as empty. Empty texts, rows without findings and null
     paths keep their row with an empty array; repeated rows stay repeated; an empty table gives no
     rows. Other columns are not read. Positions are code points, ends exclusive.
@@ -134,7 +145,7 @@ def scan(
     if ledger_path is None:
         ledger_path, known = scratch_path(spark, "ledger"), empty_ledger(spark)
     else:
-        known = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+        known = read_ledger(spark, ledger_path)
     scan_unseen(versions, known, text_col, rules).write.mode("append").parquet(ledger_path)
     ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
     return paths_with_findings(versions, ledger, list(path_cols), text_col, rules)
