@@ -1,14 +1,14 @@
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, buckets, drift, features, lineage, slices, timetravel
-from tidemark.plans import upkeep
+from tidemark.plans import graph, upkeep
 from tidemark.runtime import scratch_path
-from tidemark.schemas import FEATURE_LOG
-from tidemark.sinks import writers
+from tidemark.schemas import FEATURE_LOG, MODEL_LOG
+from tidemark.sinks import days, pointer, writers
 from tidemark.sources import files, messages, tables
 
 START = datetime(2024, 1, 1)
@@ -256,13 +256,12 @@ def test_lineage_ends_on_cycles(spark):
 def test_backfill_clears_days_without_derived_rows(spark):
     rows = [(i, "e", "f", float(i), START + timedelta(days=i), START) for i in (0, 1, 3)]
     log = spark.createDataFrame(rows, "event_id int, " + SCHEMA)
-    path = scratch_path(spark, "derived")
+    table = days.DayTable(spark, scratch_path(spark, "derived"), "event_id int, " + SCHEMA)
     faulty = [(9, "e", name, -1.0, START + timedelta(days=day), START) for name in ("f_3d", "old one") for day in (0, 1, 2, 3)]
-    writers.append_offline(spark.createDataFrame(faulty, "event_id int, " + SCHEMA), path)
-    start, end = F.lit(START + timedelta(days=1)), F.lit(START + timedelta(days=3))
+    table.append(spark.createDataFrame(faulty, "event_id int, " + SCHEMA))
     for _ in range(2):
-        upkeep.backfill(log, start, end, lambda part: upkeep.trailing_feature(part, 3), path, F.expr("INTERVAL 3 DAYS"))
-        got = sorted((r.feature_name, r.event_timestamp.day, r.value) for r in spark.read.parquet(path).collect())
+        upkeep.backfill(log, date(2024, 1, 2), date(2024, 1, 4), lambda part: upkeep.trailing_feature(part, 3), table, F.expr("INTERVAL 3 DAYS"))
+        got = sorted((r.feature_name, r.event_timestamp.day, r.value) for r in table.read().collect())
         assert got == [("f_3d", 1, -1.0), ("f_3d", 2, 2.0), ("f_3d", 4, -1.0), ("old one", 1, -1.0), ("old one", 4, -1.0)]
 
 
@@ -275,14 +274,73 @@ def test_trailing_counts_on_plain_log_columns(spark):
 def test_backfill_replaces_only_its_days_and_can_be_repeated(spark):
     rows = [(i, "e", "f", float(i), START + timedelta(days=i), START) for i in range(10)]
     log = spark.createDataFrame(rows, "event_id int, " + SCHEMA)
-    path = scratch_path(spark, "derived")
-    writers.append_offline(log.withColumns({"feature_name": F.lit("f_3d"), "value": F.lit(-1.0)}), path)
-    start, end = F.lit(START + timedelta(days=4)), F.lit(START + timedelta(days=7))
+    table = days.DayTable(spark, scratch_path(spark, "derived"), "event_id int, " + SCHEMA)
+    assert table.read().count() == 0
+    table.append(log.withColumns({"feature_name": F.lit("f_3d"), "value": F.lit(-1.0)}))
+    before = table.read()
     results = []
     for _ in range(2):
-        upkeep.backfill(log, start, end, lambda part: upkeep.trailing_feature(part, 3), path)
-        results.append({r.event_id: r.value for r in spark.read.parquet(path).collect()})
+        upkeep.backfill(log, date(2024, 1, 5), date(2024, 1, 8), lambda part: upkeep.trailing_feature(part, 3), table)
+        results.append({r.event_id: r.value for r in table.read().collect()})
     assert results[0] == results[1] == {i: 4.0 if 4 <= i < 7 else -1.0 for i in range(10)}
+    # A reader that began before sees the old days; one replacement of a range stands for all earlier ones of it.
+    assert {r.value for r in before.collect()} == {-1.0}
+    assert len(table._pointer().newest()["entries"]) == 2
+
+
+def test_a_broken_backfill_leaves_the_old_days(spark, monkeypatch):
+    table = days.DayTable(spark, scratch_path(spark, "derived"), SCHEMA)
+    rows = log_of(spark, [("e", "f", 1.0, at(0), at(0)), ("e", "g", 2.0, at(0), at(0)), (None, None, 3.0, None, None)])
+    table.append(rows)
+
+    def fail(self, row):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pointer.Pointer, "publish", fail)
+        with pytest.raises(OSError):
+            table.replace(rows.limit(0), date(2024, 1, 1), date(2024, 1, 2))
+    assert table.read().count() == 3
+    table.replace(rows.limit(0), date(2024, 1, 1), date(2024, 1, 2), ["f"])
+    assert sorted(r.value for r in table.read().collect()) == [2.0, 3.0]
+
+
+# --- derived features that depend on one another ---------------------------------------------
+
+
+def plus(name, *inputs, look_back=0):
+    """Each event's sum over the inputs, plus one."""
+
+    def derive(rows):
+        summed = rows.groupBy("entity_id", "event_timestamp").agg((F.sum("value") + 1).alias("value"), F.max("created_at").alias("created_at"))
+        return summed.withColumn("feature_name", F.lit(name)).select("entity_id", "feature_name", "value", "event_timestamp", "created_at")
+
+    return graph.Step(name, inputs, derive, look_back)
+
+
+DIAMOND = [plus("d", "b", "c"), plus("c", "a"), plus("b", "a", look_back=1), plus("e", "other")]
+
+
+def test_layers_and_days_of_a_diamond():
+    assert [sorted(s.output for s in layer) for layer in graph.layers(DIAMOND)] == [["b", "c", "e"], ["d"]]
+    first, until = date(2024, 1, 3), date(2024, 1, 4)
+    assert graph.touched(DIAMOND, {"a": (first, until)}) == {"b": (first, date(2024, 1, 5)), "c": (first, until), "d": (first, date(2024, 1, 5))}
+    assert graph.touched(DIAMOND, {"unknown": (first, until)}) == {}
+    for cycle in ([plus("x", "y"), plus("y", "x")], [plus("x", "x")], [plus("x", "a"), plus("x", "b")]):
+        with pytest.raises(ValueError):
+            graph.layers(cycle)
+
+
+def test_only_what_is_downstream_is_derived(spark):
+    rows = [("k", "a", float(d), START + timedelta(days=d), START) for d in range(5)] + [("k", "other", 9.0, START, START)]
+    table = days.DayTable(spark, scratch_path(spark, "derived"), SCHEMA)
+    everything = (date(2024, 1, 1), date(2024, 1, 9))
+    assert graph.recompute(log_of(spark, rows), DIAMOND, table, {"a": everything, "other": everything}) == ["c", "b", "e", "d"]
+    value = lambda: {(r.feature_name, r.event_timestamp.day): r.value for r in table.read().collect()}
+    assert value() == {(n, d + 1): v for d in range(5) for n, v in (("b", d + 1), ("c", d + 1), ("d", 2 * d + 3))} | {("e", 1): 10}
+    corrected = [(e, n, v + 100 if n == "a" and t.day == 3 else v, t, c) for e, n, v, t, c in rows if n != "other"]
+    assert graph.recompute(log_of(spark, corrected), DIAMOND, table, {"a": (date(2024, 1, 3), date(2024, 1, 4))}) == ["c", "b", "d"]
+    assert (value()["d", 3], value()["d", 2], value()["d", 4], value()["e", 1]) == (207, 5, 9, 10)
 
 
 # --- messages, files, writers --------------------------------------------------------------
@@ -338,13 +396,13 @@ def test_envelopes_with_missing_extra_and_bad_fields(spark):
         '{"table":"unknown","data":{}}',
         "nothing",
     ]
-    parsed = writers.opened(spark.createDataFrame([(t,) for t in texts], "message string"))
-    rows = writers.envelope_rows(parsed, "features_table", FEATURE_LOG).collect()
-    assert tuple(rows[0])[1:] == ("e", None, 2.0, START, None, None)
-    assert rows[1].error == "bad value"
-    assert [r.message for r in writers.unreadable_envelopes(parsed).collect()] == ["nothing"]
-    refused = writers.unreadable_envelopes(parsed, ["features_table"]).collect()
-    assert [r.error for r in refused] == ["unknown table unknown", "no table"]
+    path, schemas = scratch_path(spark, "routed"), {"features_table": FEATURE_LOG, "model_logs": MODEL_LOG}
+    for _ in range(2):
+        writers.route_envelopes(spark.createDataFrame([(t,) for t in texts], "message string"), schemas, path, mode="overwrite")
+    assert [tuple(r) for r in writers.routed(spark, schemas, path, "features_table").collect()] == [("e", None, 2.0, START, None)]
+    assert writers.routed(spark, schemas, path, "model_logs").columns == MODEL_LOG.names
+    refused = {r.error: r.message for r in writers.refused(spark, schemas, path).collect()}
+    assert refused == {"bad value": texts[1], "unknown table unknown": texts[2], "no table": "nothing"}
 
 
 def test_offline_log_prunes_partitions(spark):

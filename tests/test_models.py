@@ -1,11 +1,14 @@
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import registry, serving
-from tidemark.plans import learning
+from tidemark.plans import learning, publication
+from tidemark.runtime import scratch_path
 from tidemark.schemas import MODEL_METADATA
+from tidemark.sinks import pointer
 from tidemark.sources import artifacts
 
 NOW = datetime(2024, 1, 1)
@@ -195,6 +198,74 @@ def test_inference_never_fails_the_batch(spark, rent_rows):
     assert all(got[i].prediction == -1.0 and got[i].error for i in (2, 3, 4, 5)) and len(got) == 5
 
 
+def test_numbers_of_a_model_predict_like_the_model(spark):
+    rng = np.random.default_rng(2)
+    points = rng.normal(0, 2, (400, 3)).round(2)
+    rows = [(*map(float, p), float(p @ [1, -2, 0.5] + 3), float(p[0] > p[1]), float((p[0] > 0) + (p[2] > 1))) for p in points]
+    frame = spark.createDataFrame(rows, "x double, y double, z double, amount double, flag double, class double")
+    names = ("x", "y", "z")
+    specs = [
+        learning.ModelSpec("amount", "linear", names, "amount"),
+        learning.ModelSpec("flag", "logistic", names[:2], "flag", 2),
+        learning.ModelSpec("many", "logistic", names, "class", 3),
+        learning.ModelSpec("tree", "tree", names, "class", 3),
+        learning.ModelSpec("stump", "tree", ("x",), "constant", 1),
+    ]
+    frame = frame.withColumn("constant", F.lit(0.0))
+    models = {spec.model_id: (spec, learning.fit(spec, frame)) for spec in specs}
+    features = F.create_map(*[x for name in names for x in (F.lit(name), F.col(name).cast("string"))])
+    numbered = frame.withColumn("n", F.monotonically_increasing_id())
+    asked = numbered.select("n", "x", features.alias("features"), F.explode(F.array(*map(F.lit, [*models, "none"]))).alias("model_id"))
+    requests = asked.select(F.concat_ws("/", "model_id", F.col("n").cast("string")).alias("request_id"), "model_id", "features")
+    scored = learning.batch_inference(requests, models)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    got = {r.request_id: (r.prediction, r.error) for r in scored.collect()}
+    for name, (_, model) in models.items():
+        for row in model.transform(numbered).select("n", "prediction").collect():
+            assert got[f"{name}/{row.n}"] == (pytest.approx(row.prediction, rel=1e-9), "")
+    assert sum(error == "Model none not found" for _, error in got.values()) == 400
+
+
+def test_published_models_are_read_back(spark, rent_rows, monkeypatch):
+    store, root = publication.model_store(spark, scratch_path(spark, "registry")), scratch_path(spark, "models")
+    model = learning.fit(RENT, rent_rows)
+    with pytest.raises(LookupError):
+        publication.in_production(store, "rent")
+
+    def fail(self, row):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pointer.Pointer, "publish", fail)
+        with pytest.raises(OSError):
+            publication.publish(model, RENT, 0.9, "a", store, root)
+    assert store.read().count() == 0
+    first = publication.publish(model, RENT, 0.9, "a", store, root)
+    assert (first.version, first.status) == ("0.1.0", "candidate") and first == publication.publish(model, RENT, 0.1, "a", store, root)
+    assert publication.promote_job("a", store) and publication.promote_job("a", store)
+    publication.publish(model, RENT, 0.9, "b", store, root)
+    assert not publication.promote_job("b", store) and not publication.promote_job("b", store)
+    publication.publish(model, RENT, 0.95, "c", store, root)
+    assert publication.promote_job("c", store)
+    rows = {r.job_id: (r.version, r.status) for r in store.read().collect()}
+    assert rows == {"a": ("0.1.0", "archived"), "b": ("0.1.1", "archived"), "c": ("0.1.2", "production")}
+    row, read = publication.in_production(store, "rent")
+    assert row.job_id == "c" and read.transform(rent_rows).filter("abs(prediction - price) > 1e-6").count() == 0
+    with pytest.raises(ValueError):
+        publication.promote_job("never", store)
+
+
+def test_metrics_are_logged_once(spark):
+    log = publication.metric_log(spark, scratch_path(spark, "metrics"))
+    rows = spark.createDataFrame([("f", "psi", 0.1), ("f", "ks", 0.2), ("g", "psi", None)], "feature_name string, metric string, value double")
+    for _ in range(2):
+        publication.record_metrics(log, rows, "m", "2024-01-01", "job")
+    publication.record_metrics(log, rows, "m", "2024-01-02", "job")
+    publication.record_metrics(log, rows, "other", "2024-01-01", "job")
+    got = log.read()
+    assert got.count() == 9 and got.filter("model_id = 'm'").select("slice_end").distinct().count() == 2
+
+
 def test_promotion_needs_a_better_score(spark):
     schema = "model_id string, tested bigint, score double"
     old = spark.createDataFrame([("a", 1, 0.8), ("b", 1, 0.8)], schema)

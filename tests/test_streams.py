@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import alerts, timetravel
 from tidemark.runtime import scratch_path
 from tidemark.schemas import FEATURE_LOG
+from tidemark.sinks import writers
 from tidemark.streaming import feeds
 
 START = datetime(2024, 1, 1)
@@ -121,20 +122,29 @@ def test_updates_leave_the_last_state_of_every_window(spark):
     assert sorted(got.select("n", "low", "high").collect()) == sorted(batch.select("n", "low", "high").collect())
 
 
-def test_a_demux_that_failed_halfway_is_tried_again(spark):
-    source, features, logs, dead, check = (scratch_path(spark, n) for n in ("source", "features", "logs", "dead", "check"))
+def test_a_demux_that_failed_halfway_is_tried_again(spark, monkeypatch):
+    source, path, check = (scratch_path(spark, n) for n in ("source", "routed", "check"))
     event = '{"table":"features_table","data":{"entity_id":"e%d","feature_name":"f","value":"1.5","event_timestamp":"2024-01-01T00:00:00Z"}}'
-    parts = [[(event % i,), ('{"table":"nowhere","data":{}}',)] for i in range(3)]
+    parts = [[(event % i,), ('{"table":"nowhere","data":{}}',), ("{",), (event.replace("1.5", "x") % i,)] for i in range(3)]
     write_parts(spark, source, parts, "message string")
-    targets = {"features_table": (FEATURE_LOG, features)}
-    # The dead letters cannot be written: the first batch ends after its rows are out.
-    broken = feeds.demux(stream(spark, source, "message string"), targets, "nofs://" + dead, check, trigger=None)
+    schemas = {"features_table": FEATURE_LOG, "empty": FEATURE_LOG}
+    route, calls = feeds.route_envelopes, []
+
+    def lost(*given, **more):
+        calls.append(1)
+        route(*given, **more)
+        if len(calls) == 2:
+            raise OSError("lost after its rows were out")
+
+    monkeypatch.setattr(feeds, "route_envelopes", lost)
     with pytest.raises(Exception):
-        broken.awaitTermination()
-    assert spark.read.schema(FEATURE_LOG).parquet(features).count() == 1
-    finish(feeds.demux(stream(spark, source, "message string"), targets, dead, check, trigger=None))
-    assert sorted(r.entity_id for r in spark.read.schema(FEATURE_LOG).parquet(features).collect()) == ["e0", "e1", "e2"]
-    assert spark.read.schema("message string, error string").parquet(dead).count() == 3
+        feeds.demux(stream(spark, source, "message string"), schemas, path, check, trigger=None).awaitTermination()
+    finish(feeds.demux(stream(spark, source, "message string"), schemas, path, check, trigger=None))
+    rows = writers.routed(spark, schemas, path, "features_table")
+    assert sorted(r.entity_id for r in rows.collect()) == ["e0", "e1", "e2"] and len(calls) == 4
+    assert writers.routed(spark, schemas, path, "empty").count() == 0
+    errors = sorted(r.error for r in writers.refused(spark, schemas, path).collect())
+    assert errors == ["bad value"] * 3 + ["no table"] * 3 + ["unknown table nowhere"] * 3
 
 
 def test_predictions_without_a_label_come_when_their_lag_is_over(spark):

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -111,46 +116,98 @@ def promote(champion: DataFrame, challenger: DataFrame) -> DataFrame:
     )
 
 
-def batch_inference(
-    requests: DataFrame, models: dict[str, tuple[ModelSpec, Model]]
-) -> DataFrame:
+class Served(NamedTuple):
+    """A fitted model in numbers: what a task needs to predict, whatever it was fitted with.
+
+    Linear models have ``weights`` (a row per class, one row for a regression or two classes) and ``intercepts``; trees
+    have ``nodes``, each (input, threshold, node if at or below it, node otherwise, prediction), leaves with input -1.
+    """
+
+    kind: str
+    features: tuple[str, ...]
+    weights: np.ndarray
+    intercepts: np.ndarray
+    nodes: np.ndarray
+
+
+def served(spec: ModelSpec, model: PipelineModel) -> Served:
+    """The numbers of a fitted model."""
+    fitted = model.stages[-1]
+    none = np.zeros((0, 5))
+    if spec.kind == "linear":
+        return Served(spec.kind, spec.features, fitted.coefficients.toArray()[None, :], np.array([fitted.intercept]), none)
+    if spec.kind == "logistic":
+        return Served(spec.kind, spec.features, fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray(), none)
+    return Served(spec.kind, spec.features, none, none, tree_nodes(fitted.toDebugString))
+
+
+def tree_nodes(described: str) -> np.ndarray:
+    """Nodes of a tree from its description: a line per condition, its opposite, or prediction, in depth-first order."""
+    nodes: list[list[float]] = []
+    open_nodes: list[int] = []
+    for line in described.splitlines():
+        words = line.replace("(", " ").replace(")", " ").split()
+        if not words or words[0] not in ("If", "Else", "Predict:"):
+            continue
+        if words[0] == "Else":
+            nodes[open_nodes.pop()][3] = len(nodes)
+        elif words[0] == "If":
+            open_nodes.append(len(nodes))
+            nodes.append([float(words[2]), float(words[4]), len(nodes) + 1, -1, 0.0])
+        else:
+            nodes.append([-1.0, 0.0, -1, -1, float(words[1])])
+    return np.array(nodes)
+
+
+def predicted(model: Served, inputs: np.ndarray) -> np.ndarray:
+    """Predictions for rows of inputs in the order of the model's features."""
+    if model.kind == "tree":
+        at = np.zeros(len(inputs), np.int64)
+        while True:
+            feature, threshold, low, high, said = model.nodes[at].T
+            inner = feature >= 0
+            if not inner.any():
+                return said
+            value = inputs[np.arange(len(inputs)), np.maximum(feature, 0).astype(int)]
+            at = np.where(inner, np.where(value <= threshold, low, high), at).astype(np.int64)
+    margins = inputs @ model.weights.T + model.intercepts
+    if model.kind == "linear":
+        return margins[:, 0]
+    return (margins[:, 0] > 0).astype(float) if margins.shape[1] == 1 else margins.argmax(1).astype(float)
+
+
+def batch_inference(requests: DataFrame, models: dict[str, tuple[ModelSpec, Model]]) -> DataFrame:
     """Prediction and error per request; a request never fails the batch.
 
-    ``requests``: ``request_id``, ``model_id``, ``features`` (map of texts). Each model scores
-    its own requests with its declared inputs as columns; a table of requests partitioned by
-    model is read once in all. Unknown models and unreadable inputs give -1 and a message.
+    ``requests``: ``request_id``, ``model_id``, ``features`` (map of texts). One pass for any number of models:
+    inputs are read as numbers in the JVM, and in each Arrow batch the requests of one model are predicted together.
+    A model is sent as a few numbers (:class:`Served`). Unknown models and unreadable inputs give -1 and a message.
     """
-    parts = []
-    for model_id, (spec, model) in models.items():
-        wide = requests.filter(F.col("model_id") == model_id).select(
-            "*", *[guessed_number(F.col("features")[name]).alias(name) for name in spec.features]
-        )
-        bad = F.lit(False)
-        for name in spec.features:
-            bad = bad | F.col(name).isNull()
-        usable = wide.filter(~bad)
-        parts.append(
-            model.transform(usable).select(
-                "request_id", "model_id", F.col("prediction").cast("double"), F.lit("").alias("error")
-            )
-        )
-        parts.append(
-            wide.filter(bad).select(
-                "request_id",
-                "model_id",
-                F.lit(FAILED).alias("prediction"),
-                F.lit("Prediction failed: input missing or no number").alias("error"),
+    store = {model_id: served(spec, model) for model_id, (spec, model) in models.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("model_id")
+            said = np.full(batch.num_rows, FAILED)
+            errors = np.full(batch.num_rows, "", dtype=object)
+            for model_id in pc.unique(ids).to_pylist():
+                own = np.flatnonzero((pc.is_null(ids) if model_id is None else pc.fill_null(pc.equal(ids, model_id), False)).to_numpy(False))
+                model = store.get(model_id)
+                if model is None:
+                    errors[own] = f"Model {'?' if model_id is None else model_id} not found"
+                    continue
+                maps = batch.column("numbers").take(pa.array(own))
+                columns = [pc.map_lookup(maps, pa.scalar(name), "first").to_numpy(False) for name in model.features]
+                inputs = np.array(columns, dtype=float).reshape(len(columns), len(own)).T
+                good = ~np.isnan(inputs).any(1)
+                said[own[good]] = predicted(model, inputs[good])
+                errors[own[~good]] = "Prediction failed: input missing or no number"
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("request_id"), ids, pa.array(said), pa.array(errors, pa.string())],
+                ["request_id", "model_id", "prediction", "error"],
             )
-        )
-    unknown = requests.filter(
-        ~F.coalesce(F.col("model_id").isin(*models), F.lit(False))
-    ).select(
-        "request_id",
-        "model_id",
-        F.lit(FAILED).alias("prediction"),
-        F.concat(F.lit("Model "), F.coalesce("model_id", F.lit("?")), F.lit(" not found")).alias("error"),
-    )
-    result = unknown
-    for part in parts:
-        result = result.unionByName(part)
-    return result
+
+    numbers = F.transform_values("features", lambda _, text: guessed_number(text))
+    read = requests.select("request_id", F.col("model_id").cast("string"), numbers.alias("numbers"))
+    kind = requests.schema["request_id"].dataType.simpleString()
+    return read.mapInArrow(run, f"request_id {kind}, model_id string, prediction double, error string")

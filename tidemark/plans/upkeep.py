@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import trailing_counts
-from tidemark.runtime import stored
-from tidemark.sinks.writers import replace_range
+from tidemark.sinks.days import DayTable
 
 LOG_COLUMNS = ["entity_id", "feature_name", "value", "event_timestamp", "created_at"]
 
@@ -55,21 +55,23 @@ def lineage_rows(edges: DataFrame, transform_version: str) -> DataFrame:
 
 def backfill(
     log: DataFrame,
-    start: Column,
-    end: Column,
+    first: date,
+    until: date,
     derive: Callable[[DataFrame], DataFrame],
-    path: str,
+    table: DayTable,
     look_back: Column | None = None,
+    features: list[str] | None = None,
 ) -> None:
-    """Derive features for the whole days in ``[start, end)`` and replace these days of the table at ``path``.
+    """Derive features for the days from ``first`` to before ``until`` and replace these days of ``table`` in one step.
 
-    ``derive`` sees the log up to ``end``, from ``look_back`` (an interval) before ``start`` if it
-    is given: a trailing feature needs that much of the past. Only rows inside the range are
-    written; a feature and day of the table for which nothing was derived loses its rows. ``path``
+    ``derive`` sees the log up to ``until``, from ``look_back`` (an interval) before ``first`` if it
+    is given: a trailing feature needs that much of the past. Only rows of these days are
+    written; a feature and day of the table for which nothing was derived loses its rows. Without ``features`` the table
     holds what ``derive`` makes and nothing else. A second run leaves the same rows.
     """
+    start, end = F.lit(first).cast("timestamp"), F.lit(until).cast("timestamp")
     read = log.filter(F.col("event_timestamp") < end)
     if look_back is not None:
         read = read.filter(F.col("event_timestamp") >= start - look_back)
     within = (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < end)
-    replace_range(stored(derive(read).filter(within), "backfill"), start, end, path)
+    table.replace(derive(read).filter(within), first, until, features)

@@ -5,8 +5,7 @@ level are merged into one of the next level when there are ``fan`` of them, thos
 into one of the same, so a reader meets at most ``fan * levels`` runs however many batches there were,
 and a row is rewritten about ``levels`` times.
 
-What makes up the table stands in a pointer of one row, which is one small file. Two pointer folders
-take turns: while one is replaced the other still names the version before, whose runs are untouched,
+What makes up the table stands in a pointer (:mod:`tidemark.sinks.pointer`), which is switched in one step,
 so a reader finds a whole version at any moment, and a run of work that is broken off changes nothing.
 Folders of runs are taken again in a ring, the oldest first; nothing needs to be deleted.
 """
@@ -16,10 +15,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sinks import pointer as pointer_file
+
 POINTER = (
     "version long, batch long, runs array<struct<level:int,slot:int>>, used array<int>, facts map<string,long>"
 )
@@ -54,25 +54,19 @@ class KeyedStore:
     levels: int = 4
     kept: int = 60
 
+    def _file(self) -> pointer_file.Pointer:
+        return pointer_file.Pointer(self.spark, f"{self.path}/pointer", POINTER)
+
     def pointer(self) -> Pointer:
         """The newest version; version 0, without rows, where nothing was written yet."""
-        try:
-            # A pointer that is being replaced may vanish under the reader; the other one stays.
-            rows = self.spark.read.schema(POINTER).option("ignoreMissingFiles", "true").json(f"{self.path}/pointer").collect()
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = []
-        newest = max((row for row in rows if row["version"] is not None), key=lambda row: row["version"], default=None)
+        newest = self._file().newest()
         if newest is None:
             return Pointer(0, -1, (), (0,) * self.levels, {})
         runs = tuple((run["level"], run["slot"]) for run in newest["runs"])
         return Pointer(newest["version"], newest["batch"], runs, tuple(newest["used"]), dict(newest["facts"] or {}))
 
     def _publish(self, pointer: Pointer) -> None:
-        row = (pointer.version, pointer.batch, list(pointer.runs), list(pointer.used), pointer.facts)
-        one = self.spark.createDataFrame([row], POINTER).coalesce(1)
-        one.write.mode("overwrite").json(f"{self.path}/pointer/turn={pointer.version % 2}")
+        self._file().publish((pointer.version, pointer.batch, list(pointer.runs), list(pointer.used), pointer.facts))
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +12,7 @@ from tidemark.runtime import once
 PARTITIONS = ["feature_name", "event_date"]
 
 
-def _laid_out(rows: DataFrame) -> DataFrame:
+def laid_out(rows: DataFrame) -> DataFrame:
     """Rows gathered by feature and date for writing.
 
     Rebalancing divides a feature and date with very many rows over several writers at run time
@@ -26,7 +24,7 @@ def _laid_out(rows: DataFrame) -> DataFrame:
 
 def append_offline(rows: DataFrame, path: str) -> None:
     """Append log rows to parquet partitioned by feature and date."""
-    _laid_out(rows).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    laid_out(rows).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def replace_days(rows: DataFrame, path: str) -> None:
@@ -35,7 +33,7 @@ def replace_days(rows: DataFrame, path: str) -> None:
     Writing the same rows again leaves the table as it is.
     """
     (
-        _laid_out(rows)
+        laid_out(rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
@@ -43,28 +41,6 @@ def replace_days(rows: DataFrame, path: str) -> None:
     )
 
 
-def replace_range(rows: DataFrame, start: Column, end: Column, path: str) -> None:
-    """Replace all partitions of the days in ``[start, end)`` by ``rows``, which are read twice.
-
-    Partitions with new rows are overwritten; then those of the range that have none are removed.
-    Only names of partitions, at most features times days, come to the driver. Each step can be
-    repeated, so a run that was broken off is mended by the next one.
-    """
-    spark = rows.sparkSession
-    replace_days(rows, path)
-    fresh = rows.select("feature_name", F.to_date("event_timestamp").alias("event_date")).distinct()
-    day = F.col("event_date").cast("date")
-    held = spark.read.parquet(path).select("feature_name", day.alias("event_date"))
-    held = held.filter((F.col("event_date") >= start.cast("date")) & (F.col("event_date").cast("timestamp") < end)).distinct()
-    stale = held.join(fresh, held.feature_name.eqNullSafe(fresh.feature_name) & (held.event_date == fresh.event_date), "left_anti")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    for row in stale.collect():
-        inner = f"{escape('feature_name', row.feature_name)}/event_date={row.event_date}"
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, inner), True)
-
-
 def opened(envelopes: DataFrame) -> DataFrame:
     """Envelopes with their parsed ``head``: the table's name and the fields as texts.
 
@@ -74,16 +50,11 @@ def opened(envelopes: DataFrame) -> DataFrame:
     return envelopes.select("message", once(head).alias("head"))
 
 
-def envelope_rows(parsed: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-    """Rows of one table out of opened envelopes, with an ``error`` for unusable ones.
-
-    Fields are matched by name and cast to the target type; a missing field is null, an extra
-    one is dropped. A field whose text does not fit its type makes the row a dead letter.
-    """
-    data = F.col("head.data")
-    columns, misfits = [], []
+def _fields(schema: T.StructType) -> tuple[list[Column], list[Column]]:
+    """The fields of a table out of an envelope's texts, and the texts; a missing field is null, an extra one is dropped."""
+    columns, texts = [], []
     for field in schema.fields:
-        raw = data[field.name]
+        raw = F.col("head.data")[field.name]
         if isinstance(field.dataType, T.TimestampType):
             read = rfc3339(raw)
         elif isinstance(field.dataType, T.StringType):
@@ -93,47 +64,59 @@ def envelope_rows(parsed: DataFrame, table: str, schema: T.StructType) -> DataFr
         else:
             read = raw.try_cast(field.dataType)
         columns.append(read.alias(field.name))
-        misfits.append(
-            F.when(
-                raw.isNotNull() & F.col(f"row.{field.name}").isNull(), F.lit(f"bad {field.name}")
-            )
-        )
-    return (
-        parsed.filter(F.col("head.table") == table)
-        .select("message", "head", once(F.struct(*columns)).alias("row"))
-        .select("message", "row.*", F.coalesce(*misfits).alias("error"))
-    )
+        texts.append(raw)
+    return columns, texts
 
 
-def unreadable_envelopes(parsed: DataFrame, known: Iterable[str] | None = None) -> DataFrame:
-    """Envelopes that are no JSON object, name no table, or name one that is not among ``known`` (if given)."""
-    table = F.col("head.table")
-    error = F.when(table.isNull(), "no table")
-    if known is not None:
-        error = error.when(~table.isin(*known), F.concat(F.lit("unknown table "), table))
-    return parsed.select("message", error.alias("error")).filter(F.col("error").isNotNull())
+def _misfits(schema: T.StructType, row: str) -> list[Column]:
+    """For each field an error where its text does not fit its type."""
+    return [
+        F.when(raw.isNotNull() & F.col(f"{row}.{field.name}").isNull(), F.lit(f"bad {field.name}"))
+        for field, raw in zip(schema.fields, _fields(schema)[1])
+    ]
 
 
-def append_envelopes(
-    envelopes: DataFrame, targets: dict[str, tuple[T.StructType, str]], dead: str, mode: str = "append"
-) -> None:
-    """Write each table's rows to its parquet path; everything unusable goes to ``dead``.
+def route_envelopes(envelopes: DataFrame, schemas: dict[str, T.StructType], path: str, mode: str = "append") -> None:
+    """Write the rows of all tables, and what is unusable, in one pass and one job.
 
-    The messages are parsed once and kept until all targets are written. ``mode="overwrite"`` is
-    for paths that belong to this batch alone, which a retry writes anew.
+    The parquet at ``path`` is partitioned by ``target``: a table's name, or empty for dead letters. Each table has a
+    struct column of its own type, which costs nothing where it is null; :func:`routed` reads it as a table.
+    ``mode="overwrite"`` is for a path that belongs to this batch alone, which a retry writes anew.
     """
-    parsed = opened(envelopes).persist()
-    try:
-        refused = unreadable_envelopes(parsed, targets)
-        for table, (schema, path) in targets.items():
-            rows = envelope_rows(parsed, table, schema)
-            rows.filter(F.col("error").isNull()).drop("message", "error").write.mode(mode).parquet(path)
-            refused = refused.unionByName(
-                rows.filter(F.col("error").isNotNull()).select("message", "error")
-            )
-        refused.write.mode(mode).parquet(dead)
-    finally:
-        parsed.unpersist()
+    parsed = opened(envelopes)
+    read = {table: F.struct(*_fields(schema)[0]) for table, schema in schemas.items()}
+    named = F.col("head.table")
+    own = [F.when(named == table, row).alias(f"row_{i}") for i, (table, row) in enumerate(read.items())]
+    rows = parsed.select("message", "head", once(F.struct(*own)).alias("rows"))
+    error = F.when(named.isNull(), "no table").when(~named.isin(*schemas), F.concat(F.lit("unknown table "), named))
+    for i, (table, schema) in enumerate(schemas.items()):
+        error = error.when(named == table, F.coalesce(*_misfits(schema, f"rows.row_{i}"), F.lit(None).cast("string")))
+    judged = rows.withColumn("error", error)
+    fine = F.col("error").isNull()
+    judged.select(
+        F.when(fine, named).otherwise("").alias("target"),
+        F.when(~fine, F.col("message")).alias("message"),
+        "error",
+        *[F.when(fine, F.col(f"rows.row_{i}")).alias(table) for i, table in enumerate(schemas)],
+    ).write.mode(mode).partitionBy("target").parquet(path)
+
+
+def _routed(spark: SparkSession, schemas: dict[str, T.StructType], path: str) -> DataFrame:
+    columns = T.StructType([T.StructField("message", T.StringType()), T.StructField("error", T.StringType())])
+    for table, schema in schemas.items():
+        columns = columns.add(table, schema)
+    return spark.read.schema(columns.add("target", T.StringType())).parquet(path)
+
+
+def routed(spark: SparkSession, schemas: dict[str, T.StructType], path: str, table: str) -> DataFrame:
+    """One table out of what :func:`route_envelopes` wrote: only its partition and its column are read."""
+    return _routed(spark, schemas, path).filter(F.col("target") == table).select(f"`{table}`.*")
+
+
+def refused(spark: SparkSession, schemas: dict[str, T.StructType], path: str) -> DataFrame:
+    """The dead letters of :func:`route_envelopes` with what was wrong."""
+    # An empty partition value is read back as null.
+    return _routed(spark, schemas, path).filter(F.col("error").isNotNull()).select("message", "error")
 
 
 def publish(snapshot_rows: DataFrame, path: str) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidemark.operators.alerts import COOLDOWN_SECONDS, THRESHOLD
 from tidemark.operators.timetravel import LOG_KEYS, latest_values
 from tidemark.sinks.keyed import KeyedStore
-from tidemark.sinks.writers import append_envelopes
+from tidemark.sinks.writers import route_envelopes
 from tidemark.sources.messages import dead_letters, good_events, parse_messages
 
 # Fixed value: pace of ingest.
@@ -79,16 +79,16 @@ def dual_write(
 
 
 def demux(
-    envelopes: DataFrame, targets: dict[str, tuple[T.StructType, str]], dead: str, checkpoint: str, trigger: str | None = INGEST_TRIGGER
+    envelopes: DataFrame, schemas: dict[str, T.StructType], path: str, checkpoint: str, trigger: str | None = INGEST_TRIGGER
 ) -> StreamingQuery:
     """Write the rows of each table, and what is unusable, under the number of their batch.
 
-    A batch that is tried again overwrites its own folders, so nothing is doubled.
+    One job per batch for any number of tables. A batch that is tried again overwrites its own folder, so nothing is
+    doubled. Read with :func:`tidemark.sinks.writers.routed` and ``refused``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        own = {table: (schema, f"{path.rstrip('/')}/batch={batch_id}") for table, (schema, path) in targets.items()}
-        append_envelopes(batch, own, f"{dead.rstrip('/')}/batch={batch_id}", mode="overwrite")
+        route_envelopes(batch, schemas, f"{path.rstrip('/')}/batch={batch_id}", mode="overwrite")
 
     writer = envelopes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return paced(writer, trigger).start()

@@ -11,9 +11,10 @@ from tidemark.operators.slices import (
     period_slices,
     positional_slices,
 )
-from tidemark.runtime import stored
+from tidemark.plans import publication
+from tidemark.runtime import scratch_path, stored
 from tidemark.suite import base
-from tidemark.suite.base import feature_log, log_sql, query
+from tidemark.suite.base import clock, feature_log, log_sql, query
 
 # --- counts and moments ------------------------------------------------------------------
 
@@ -344,6 +345,24 @@ def _(spark, sf_dir):
     return long.select("feature_name", "metric", F.round("value", 9).alias("value"))
 
 
+# Two models over two slices, every run made twice.
+@query(
+    "metric_log",
+    f"""{METRICS}, named AS (
+      SELECT g AS feature_name, unnest(['psi', 'ks_stat']) AS metric, unnest([psi, ks_stat]) AS value FROM metrics)
+    SELECT m.model_id, feature_name, s.slice_end, metric, round(value, 9) AS value
+    FROM named, (VALUES ('m1'), ('m2')) m(model_id), (VALUES ('2024-01-30 00:00:00.000000'), ('2024-01-31 00:00:00.000000')) s(slice_end)""",
+)
+def _(spark, sf_dir):
+    log = publication.metric_log(spark, scratch_path(spark, "metrics"))
+    found = stored(drift.metrics_long(metrics_of(spark, sf_dir), ["feature_name"], ["psi", "ks_stat"]), "metrics")
+    for model in ("m1", "m2"):
+        for end in ("2024-01-30", "2024-01-31"):
+            for _attempt in range(2):
+                publication.record_metrics(log, found, model, end, f"{model}/{end}")
+    return log.read().select("model_id", "feature_name", clock("slice_end").alias("slice_end"), "metric", F.round("value", 9).alias("value"))
+
+
 @query(
     "prediction_drift",
     f"""WITH {base.PREDICTION_SQL},

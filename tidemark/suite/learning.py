@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import learning
+from tidemark.plans import learning, publication
+from tidemark.runtime import scratch_path
 from tidemark.suite.base import query, table
 
 PRICE = learning.ModelSpec("Price", "linear", ("quantity", "tax"), "price")
@@ -91,9 +92,7 @@ def _(spark, sf_dir):
 
 
 # Both fits in closed form on the training rows, judged by R2 on the others.
-@query(
-    "champion",
-    f"""WITH {_SPLIT}, moments AS (
+_SCORES = f"""WITH {_SPLIT}, moments AS (
       SELECT var_pop(quantity) AS c11, var_pop(tax) AS c22, covar_pop(quantity, tax) AS c12, covar_pop(quantity, price) AS c1y,
              covar_pop(tax, price) AS c2y, avg(quantity) AS m1, avg(tax) AS m2, avg(price) AS my FROM items WHERE train),
     slopes AS (
@@ -104,7 +103,12 @@ def _(spark, sf_dir):
       FROM items CROSS JOIN slopes WHERE NOT train),
     scores AS (
       SELECT 1 - sum((price - old_said) ** 2) / (var_pop(price) * count(*)) AS old_score,
-             1 - sum((price - new_said) ** 2) / (var_pop(price) * count(*)) AS new_score FROM judged)
+             1 - sum((price - new_said) ** 2) / (var_pop(price) * count(*)) AS new_score FROM judged)"""
+
+
+@query(
+    "champion",
+    f"""{_SCORES}
     SELECT 'Price' AS model_id, round(old_score, 6) AS old_score, round(new_score, 6) AS new_score,
            new_score > old_score AS promoted FROM scores""",
 )
@@ -123,6 +127,31 @@ def _(spark, sf_dir):
     )
 
 
+# The weaker model is in production first, the stronger one takes over, the weaker one trained again does not.
+@query(
+    "model_publication",
+    f"""{_SCORES}
+    SELECT 'first' AS job_id, '0.1.0' AS version, 'archived' AS status, round(old_score, 6) AS score, NULL::DOUBLE AS mean_said FROM scores
+    UNION ALL SELECT 'third', '0.1.2', 'archived', round(old_score, 6), NULL FROM scores
+    UNION ALL SELECT 'second', '0.1.1', 'production', round(new_score, 6), (SELECT round(avg(new_said), 4) FROM judged) FROM scores""",
+)
+def _(spark, sf_dir):
+    store, root = publication.model_store(spark, scratch_path(spark, "registry")), scratch_path(spark, "models")
+    old = learning.ModelSpec("Price", "linear", ("tax",), "price")
+    rows = items(spark, sf_dir)
+    for job, spec in (("first", old), ("second", PRICE), ("third", old)):
+        model, score = learning.train_job(spec, rows, F.col("key"))
+        for _attempt in range(2):
+            publication.publish(model, spec, score.first()["score"], job, store, root)
+            publication.promote_job(job, store)
+    row, model = publication.in_production(store, "Price")
+    _, test = learning.hash_split(rows, F.col("key"))
+    said = model.transform(test).agg(F.round(F.avg("prediction"), 4)).first()[0]
+    return store.read().select(
+        "job_id", "version", "status", F.round("score", 6).alias("score"), F.when(F.col("job_id") == row["job_id"], F.lit(said)).alias("mean_said")
+    )
+
+
 @query(
     "batch_inference",
     f"""WITH {_LINEAR}, requests AS (

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import composite_key
 from tidemark.operators import alerts, features, lineage, registry, slices, timetravel
-from tidemark.plans import upkeep
+from tidemark.plans import graph, upkeep
 from tidemark.runtime import scratch_path
 from tidemark.schemas import FEATURE_EVENT, FEATURE_LOG, MODEL_LOG
-from tidemark.sinks import writers
+from tidemark.sinks import days, writers
 from tidemark.sources import files, messages, tables
 from tidemark.streaming.feeds import hourly_statistics, window_histogram
 from tidemark.suite import base
@@ -186,24 +188,27 @@ DEMUX_SQL = f"""SELECT 'features_table' AS target, 'user_' || user_id AS key, ev
     UNION ALL SELECT 'dead', '', '', '', 'no table' FROM events WHERE event_id % 43 = 0"""
 
 
-def demuxed(spark, features_path, logs_path, dead_path):
+TABLES = {"features_table": FEATURE_LOG, "model_logs": MODEL_LOG}
+
+
+def demuxed(spark, path):
     """The three targets of a demux as one comparable table."""
     empty = F.lit("")
-    rows = spark.read.schema(FEATURE_LOG).parquet(features_path).select(
+    rows = writers.routed(spark, TABLES, path, "features_table").select(
         F.lit("features_table").alias("target"),
         F.col("entity_id").alias("key"),
         F.col("feature_name").alias("detail"),
         clock("event_timestamp").alias("moment"),
         empty.alias("error"),
     )
-    logs = spark.read.schema(MODEL_LOG).parquet(logs_path).select(
+    logs = writers.routed(spark, TABLES, path, "model_logs").select(
         F.lit("model_logs").alias("target"),
         F.col("model_id").alias("key"),
         F.col("model_result").alias("detail"),
         clock("event_datetime").alias("moment"),
         empty.alias("error"),
     )
-    dead = spark.read.schema("message string, error string").parquet(dead_path).select(
+    dead = writers.refused(spark, TABLES, path).select(
         F.lit("dead").alias("target"),
         empty.alias("key"),
         empty.alias("detail"),
@@ -215,10 +220,9 @@ def demuxed(spark, features_path, logs_path, dead_path):
 
 @query("demux_writes", DEMUX_SQL)
 def _(spark, sf_dir):
-    paths = [scratch_path(spark, name) for name in ("features", "logs", "dead")]
-    targets = {"features_table": (FEATURE_LOG, paths[0]), "model_logs": (MODEL_LOG, paths[1])}
-    writers.append_envelopes(write_envelopes(table(spark, sf_dir, "events")), targets, paths[2])
-    return demuxed(spark, *paths)
+    path = scratch_path(spark, "routed")
+    writers.route_envelopes(write_envelopes(table(spark, sf_dir, "events")), TABLES, path)
+    return demuxed(spark, path)
 
 
 @query(
@@ -551,8 +555,8 @@ def _(spark, sf_dir):
                 THEN value ELSE CAST(0 AS DOUBLE) END AS value FROM counted""",
 )
 def _(spark, sf_dir):
-    path = scratch_path(spark, "derived")
     log = feature_log(spark, sf_dir)
+    derived = days.DayTable(spark, scratch_path(spark, "derived"), DERIVED)
     # A first, faulty version of the derived feature, then the backfill of five days, twice.
     faulty = log.withColumns(
         {
@@ -560,11 +564,52 @@ def _(spark, sf_dir):
             "value": F.lit(0.0),
         }
     )
-    writers.append_offline(faulty, path)
-    start, end = (F.lit(day).cast("timestamp") for day in ("2024-01-10", "2024-01-15"))
+    derived.append(faulty)
     for _attempt in range(2):
-        upkeep.backfill(log, start, end, lambda rows: upkeep.trailing_feature(rows, 3), path)
-    return spark.read.parquet(path).select("event_id", "feature_name", "value")
+        upkeep.backfill(log, date(2024, 1, 10), date(2024, 1, 15), lambda rows: upkeep.trailing_feature(rows, 3), derived)
+    return derived.read().select("event_id", "feature_name", "value")
+
+
+DERIVED = "event_id long, entity_id string, feature_name string, value double, event_timestamp timestamp, created_at timestamp"
+
+# Two counts of one feature, their ratio, and a mark on the ratio; a correction of two days doubles the events there.
+_DOUBLED = "event_timestamp >= TIMESTAMP '2024-01-10' AND event_timestamp < TIMESTAMP '2024-01-12'"
+
+
+@query(
+    "derived_graph",
+    f"""{LOG}, changed AS (
+      SELECT event_id, entity_id, event_timestamp FROM log WHERE feature_name = 'view'
+      UNION ALL SELECT event_id + 1000000000, entity_id, event_timestamp FROM log WHERE feature_name = 'view' AND {_DOUBLED}),
+    counted AS (
+      SELECT *, count(*) OVER (PARTITION BY entity_id ORDER BY event_timestamp RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS d1,
+        count(*) OVER (PARTITION BY entity_id ORDER BY event_timestamp RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND CURRENT ROW) AS d3 FROM changed)
+    SELECT event_id, 'view_1d' AS feature_name, CAST(d1 AS DOUBLE) AS value FROM counted
+    UNION ALL SELECT event_id, 'view_3d', CAST(d3 AS DOUBLE) FROM counted
+    UNION ALL SELECT event_id, 'view_share', round(d1 / d3, 9) FROM counted
+    UNION ALL SELECT event_id, 'view_rush', CASE WHEN d1 / d3 > 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END FROM counted""",
+)
+def _(spark, sf_dir):
+    log = feature_log(spark, sf_dir).filter(F.col("feature_name") == "view")
+    derived = days.DayTable(spark, scratch_path(spark, "derived"), DERIVED)
+
+    def share(rows):
+        one, three = (rows.filter(F.col("feature_name") == name) for name in ("view_1d", "view_3d"))
+        both = one.join(three.select("event_id", F.col("value").alias("of")), "event_id")
+        return both.withColumns({"feature_name": F.lit("view_share"), "value": F.round(F.col("value") / F.col("of"), 9)}).drop("of")
+
+    steps = [
+        graph.Step("view_rush", ("view_share",), lambda rows: upkeep.transformed(rows, "view_rush", "view_share", lambda v: (v > 0.5).cast("double"))),
+        graph.Step("view_share", ("view_1d", "view_3d"), share),
+        graph.Step("view_1d", ("view",), lambda rows: upkeep.trailing_feature(rows, 1), look_back=1),
+        graph.Step("view_3d", ("view",), lambda rows: upkeep.trailing_feature(rows, 3), look_back=3),
+    ]
+    graph.recompute(log, steps, derived, {"view": (date(2024, 1, 1), date(2024, 2, 1))})
+    moment = F.col("event_timestamp")
+    again = log.filter((moment >= F.lit("2024-01-10").cast("timestamp")) & (moment < F.lit("2024-01-12").cast("timestamp")))
+    corrected = log.unionByName(again.withColumn("event_id", F.col("event_id") + 1_000_000_000))
+    graph.recompute(corrected, steps, derived, {"view": (date(2024, 1, 10), date(2024, 1, 12))})
+    return derived.read().select("event_id", "feature_name", "value")
 
 
 @query(

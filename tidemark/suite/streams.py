@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import registry as registry_ops
 from tidemark.operators import sketch
 from tidemark.runtime import scratch_path
-from tidemark.schemas import FEATURE_LOG, MODEL_LOG
+from tidemark.schemas import FEATURE_LOG
 from tidemark.streaming import feeds, windows
 from tidemark.suite import base, log, models
 from tidemark.suite.base import clock, log_sql, query, sql_clock, table
@@ -117,11 +117,9 @@ def _(spark, sf_dir):
 
 @query("stream_demux", log.DEMUX_SQL)
 def _(spark, sf_dir):
-    features, logs, dead, checkpoint = places(spark, "features", "logs", "dead", "check")
-    envelopes = log.write_envelopes(event_stream(spark, sf_dir))
-    targets = {"features_table": (FEATURE_LOG, features), "model_logs": (MODEL_LOG, logs)}
-    finished(feeds.demux(envelopes, targets, dead, checkpoint, trigger=None))
-    return log.demuxed(spark, features, logs, dead)
+    path, checkpoint = places(spark, "routed", "check")
+    in_parts(spark, sf_dir, lambda events: feeds.demux(log.write_envelopes(events), log.TABLES, path, checkpoint, trigger=None))
+    return log.demuxed(spark, path)
 
 
 @query("stream_dedup", f"WITH {log_sql()} SELECT event_id, entity_id FROM log")
