@@ -96,8 +96,9 @@ def token_pieces(
             for begin in range(0, whole.num_rows, 1_024):
                 batch = whole.slice(begin, 1_024)
                 keys, rows = batch.column(0).to_pylist(), []
-                for key, ids in zip(keys, encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                every, ends = encoder.encode_array(batch.column(1))
+                for key, begin_at, end_at in zip(keys, [0, *ends[:-1].tolist()], ends.tolist()):
+                    ids = np.append(every[begin_at:end_at], np.uint32(end_id)).astype("<u4")
                     for start in range(0, len(ids), sequence):
                         piece = ids[start : start + sequence]
                         row = (key, start, len(piece), zlib.crc32(piece.tobytes()), len(ids))
