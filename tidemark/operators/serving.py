@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import coercion, text, traffic
+from tidemark.functions.stats import psi_term, share
 from tidemark.operators.scans import running_max
 from tidemark.operators.slices import positional_slices
+from tidemark.runtime import settled
 
 
 def typed_inputs(requests: DataFrame, registry: DataFrame) -> DataFrame:
@@ -142,3 +144,22 @@ def label_shares(labels: DataFrame, period: Column) -> DataFrame:
     return counts.join(totals, "period").select(
         "period", "label", "n", (F.col("n") / F.col("total")).alias("share")
     )
+
+
+def label_psi(labels: DataFrame, period: Column) -> DataFrame:
+    """PSI of the label shares of each period against the period before it that has labels.
+
+    Rows ``period``, ``before``, ``n``, ``n_before``, ``psi``; the first period has none. Unlabelled rows are left out.
+    Counts per period and label are small; only they are compared.
+    """
+    counts, _ = settled(labels.where(F.col("label").isNotNull()).groupBy(period.alias("period"), "label").agg(F.count(F.lit(1)).alias("n")))
+    totals = counts.groupBy("period").agg(F.sum("n").alias("total"))
+    ordered = totals.withColumns(
+        # One row per period.
+        {"before": F.lag("period").over(Window.orderBy("period")), "total_before": F.lag("total").over(Window.orderBy("period"))}
+    ).where("before IS NOT NULL")
+    now = ordered.join(counts, "period").select("period", "label", F.col("n").alias("curr"), F.lit(0).alias("hist"))
+    old = ordered.join(counts.withColumnRenamed("period", "before"), "before").select("period", "label", F.lit(0).alias("curr"), F.col("n").alias("hist"))
+    both = now.unionByName(old).groupBy("period", "label").agg(F.sum("curr").alias("curr"), F.sum("hist").alias("hist")).join(ordered, "period")
+    term = psi_term(share(F.col("curr"), F.col("total")), share(F.col("hist"), F.col("total_before")))
+    return both.groupBy("period", "before", F.col("total").alias("n"), F.col("total_before").alias("n_before")).agg(F.sum(term).alias("psi"))

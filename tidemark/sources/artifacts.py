@@ -19,5 +19,10 @@ def artifact_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def production_artifacts(spark: SparkSession, root: str, registry: DataFrame) -> DataFrame:
-    """Bytes of every production artifact with its store key ``model:<id>:<ext>``."""
-    return artifact_inventory(registry, artifact_files(spark, root))
+    """Bytes of every production artifact with its store key ``model:<id>:<ext>``.
+
+    Paths are matched with the registry first, from a listing without content; the bytes are joined to what was found.
+    """
+    files = artifact_files(spark, root)
+    found = artifact_inventory(registry, files.select("path", "length"))
+    return files.select("path", "content").join(found, "path").select(*found.columns, "content")

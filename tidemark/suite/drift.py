@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import drift_status
@@ -13,6 +15,7 @@ from tidemark.operators.slices import (
 )
 from tidemark.plans import publication
 from tidemark.runtime import scratch_path, stored
+from tidemark.sources import tables
 from tidemark.suite import base
 from tidemark.suite.base import clock, feature_log, log_sql, query
 
@@ -445,6 +448,27 @@ def _(spark, sf_dir):
     return shares.select("period", "label", "n", F.round("share", 9).alias("share"))
 
 
+@query(
+    "label_psi",
+    f"""WITH {base.LABEL_SQL},
+    counts AS (SELECT date_trunc('week', labeled_at) AS w, label, count(*) AS n FROM late_labels WHERE label IS NOT NULL GROUP BY ALL),
+    totals AS (SELECT w, sum(n) AS total, lag(w) OVER (ORDER BY w) AS b FROM counts GROUP BY w),
+    pairs AS (
+      SELECT t.w, t.b, l.label, t.total, p.total AS total_before, coalesce(c.n, 0) AS curr, coalesce(h.n, 0) AS hist
+      FROM totals t JOIN totals p ON p.w = t.b CROSS JOIN (SELECT DISTINCT label FROM counts) l
+      LEFT JOIN counts c ON c.w = t.w AND c.label = l.label LEFT JOIN counts h ON h.w = t.b AND h.label = l.label
+      WHERE coalesce(c.n, 0) + coalesce(h.n, 0) > 0),
+    shares AS (
+      SELECT *, CASE WHEN curr = 0 THEN 1e-10 ELSE curr / CAST(total AS DOUBLE) END AS p,
+                CASE WHEN hist = 0 THEN 1e-10 ELSE hist / CAST(total_before AS DOUBLE) END AS q FROM pairs)
+    SELECT strftime(w, '%Y-%m-%d') AS period, strftime(b, '%Y-%m-%d') AS before, total::BIGINT AS n, total_before::BIGINT AS n_before,
+           round(sum((p - q) * ln(p / q)), 9) AS psi FROM shares GROUP BY ALL""",
+)
+def _(spark, sf_dir):
+    week = F.date_format(F.date_trunc("week", "labeled_at"), "yyyy-MM-dd")
+    return serving.label_psi(base.late_labels(spark, sf_dir), week).withColumn("psi", F.round("psi", 9))
+
+
 # --- baselines ---------------------------------------------------------------------------
 
 _HITS = " + ".join(
@@ -558,6 +582,32 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "named_analysis",
+    f"""WITH {log_sql()}
+    SELECT count(value) AS total_weight, round(avg(value), 6) AS calculated_mean FROM log
+    WHERE event_timestamp > (SELECT max(event_timestamp) FROM log) - INTERVAL 36 HOURS""",
+)
+def _(spark, sf_dir):
+    name = f"log_{uuid.uuid4().hex}"
+    feature_log(spark, sf_dir).createOrReplaceTempView(name)
+    answer = sketch.analyze_table(spark, "36 HOURS", name, "value")
+    return answer.select("total_weight", F.round("calculated_mean", 6).alias("calculated_mean"))
+
+
+@query(
+    "trailing_scan",
+    """SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAYS""",
+)
+def _(spark, sf_dir):
+    newest = base.table(spark, sf_dir, "orders").select(F.max("o_orderdate")).scalar()
+    options = {"path": f"{sf_dir}/orders.parquet"}
+    return tables.trailing_scan(
+        spark, "parquet", options, F.expr("INTERVAL 90 DAYS"), newest, ["o_orderkey", "o_totalprice"], time="o_orderdate"
+    )
+
+
 @query(
     "quantile_sketch",
     "SELECT event_type AS feature_name, count(*) AS n, true AS within_bound FROM events GROUP BY 1",
