@@ -23,6 +23,8 @@ VOCABULARY = "word_bpe_49k.json"
 SEPARATOR = 49_407
 # Blocks of a file are first added up in groups of this many.
 GROUP = 1_024
+# Parts of words whose ids a worker keeps, beside the blocks it fills.
+CACHED_WORDS = 300_000
 
 
 def read_flat(spark: SparkSession, path: str, token_bytes: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -48,7 +50,7 @@ def flat_streams(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(vocabulary, special_as_text=True)
+        encoder = word_encoder(vocabulary, special_as_text=True, cached=CACHED_WORDS)
         waiting, held, ended, block, file = [], 0, [], 0, None
 
         def emit(tokens: np.ndarray, ids: list) -> pa.RecordBatch:

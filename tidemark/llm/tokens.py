@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Ids of this many distinct words are kept by each Python worker.
+# Ids of this many distinct parts of words are kept by each Python worker.
 CACHED_WORDS = 800_000
 # White space that str.split() knows and tokenizers do not, and the other way round.
 _UNUSUAL = "\x1c\x1d\x1e\x1f\x85\u180e\u200b"
@@ -37,13 +37,14 @@ class WordEncoder:
     seen before go through the tokenizer.
     """
 
-    def __init__(self, name: str, special_as_text: bool = False):
+    def __init__(self, name: str, special_as_text: bool = False, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
         self.tokenizer.encode_special_tokens = special_as_text
         self.letter = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.cache: dict[str, bytes] = {}
+        self.cached = cached
 
     def _looked_up(self, parts: list[str]) -> list[bytes]:
         """Ids of distinct parts; a bounded number of them is kept for the next batch."""
@@ -51,7 +52,7 @@ class WordEncoder:
         found = list(map(known.get, parts))
         fresh = [at for at, ids in enumerate(found) if ids is None]
         if fresh:
-            room = max(0, CACHED_WORDS - len(known))
+            room = max(0, self.cached - len(known))
             encodings = self.tokenizer.encode_batch_fast([parts[at] for at in fresh], add_special_tokens=False)
             for place, (at, encoding) in enumerate(zip(fresh, encodings)):
                 found[at] = ids = array(self.letter, encoding.ids).tobytes()
@@ -110,12 +111,12 @@ class WordEncoder:
         return np.split(ids, ends[:-1])
 
 
-_encoders: dict[tuple[str, bool], WordEncoder] = {}
+_encoders: dict[tuple[str, bool, int], WordEncoder] = {}
 
 
-def word_encoder(name: str, special_as_text: bool = False) -> WordEncoder:
+def word_encoder(name: str, special_as_text: bool = False, cached: int = CACHED_WORDS) -> WordEncoder:
     """The worker's own encoder, kept from task to task."""
-    key = (name, special_as_text)
+    key = (name, special_as_text, cached)
     if key not in _encoders:
-        _encoders[key] = WordEncoder(name, special_as_text)
+        _encoders[key] = WordEncoder(name, special_as_text, cached)
     return _encoders[key]
