@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +58,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_lifetime: ContextVar[str | None] = ContextVar("lifetime", default=None)
+
+
+@contextmanager
+def lifetime(spark: SparkSession) -> Iterator[None]:
+    """Intermediates written inside are gone afterwards; what is to stay is written inside with :func:`kept` or a writer.
+
+    They are tables of a database of their own in the shared folder, which Spark drops as a whole, also after a failure.
+    A frame that was not written yet must not be used any more. Inside another lifetime the inner one holds.
+    """
+    name = f"tidemark_run_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_root(spark).rstrip('/')}/{name}'")
+    token = _lifetime.set(name)
+    try:
+        yield
+    finally:
+        _lifetime.reset(token)
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: the plan of what follows starts here."""
     spark = df.sparkSession
+    if _lifetime.get() is not None:
+        return stored(df, "cut")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
     return df.checkpoint(eager=True)
@@ -91,15 +114,25 @@ def join_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return small(kept, facts["rows"], limit)
 
 
+def kept(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write rows to a parquet table in the shared folder that no lifetime ends. ``options`` are those of the writer."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write rows that several passes read to a parquet table in the shared folder.
 
-    The passes then read only the columns they need, with their filters pushed down. ``options``
-    are those of the writer.
+    The passes then read only the columns they need, with their filters pushed down. Inside a :func:`lifetime` the
+    table goes with it.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    database = _lifetime.get()
+    if database is None:
+        return kept(df, label, **options)
+    name = f"{database}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.options(**options).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def written(df: DataFrame, label: str, **facts: Column) -> tuple[DataFrame, Row]:
@@ -117,7 +150,8 @@ def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
     and its entry are gone afterwards, so what is computed from it is to be written inside.
     """
     spark = df.sparkSession
-    name = f"tidemark_{uuid.uuid4().hex}"
+    database = _lifetime.get()
+    name = f"{database + '.' if database else ''}tidemark_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd")
     try:
