@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 
-OPERATORS = [f"op{n}_" for n in range(1, 11)]
+OPERATORS = [f"op{n}_" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("prefix", OPERATORS)
