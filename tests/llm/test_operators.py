@@ -173,6 +173,27 @@ def signed_hash(text):
     return value - (1 << 64) if value >> 63 else value
 
 
+def plain_votes(text):
+    """Every word with the one after it votes on each bit, with a weight that grows with their length."""
+    words, total, ups = text.split(" "), 0, [0] * 64
+    for i, one in enumerate(words):
+        two = words[i + 1] if i + 1 < len(words) else None
+        h = xxhash.xxh64_intdigest(one.encode(), 42)
+        if two is not None:
+            h = xxhash.xxh64_intdigest(two.encode(), h)
+        weight = min(4, 1 + (len(one.encode()) + len((two or "").encode())) // 8)
+        total += weight
+        ups = [up + weight * (h >> bit & 1) for bit, up in enumerate(ups)]
+    return sum(1 << bit for bit, up in enumerate(ups) if 2 * up > total)
+
+
+def test_votes_equal_a_plain_count(spark, awkward):
+    texts = sorted({t or "" for _, t in awkward} | {" a  b ", "x" * 50, "ü ü ü"})
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, text string")
+    found = {r.k: r.fp & (1 << 64) - 1 for r in fingerprints.votes(frame, ["k"], "text").collect()}
+    assert found == {i: plain_votes(t) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("search", [fingerprints.near_fingerprints, lambda d: neardup.close_pairs(d, 4)])
 def test_close_fingerprints_are_all_found(spark, search):
     radius = 3 if search is fingerprints.near_fingerprints else 4
@@ -328,7 +349,12 @@ def test_packs_hold_every_id_once(spark, docs, awkward, empty):
     for parts in sequences.values():
         ends = list(itertools.accumulate(length for _, length in sorted(parts)))
         assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
-    assert sum(r.length for r in rows) == sum(map(len, want))
+    # Rows with equal ids and lengths have one piece each; a long text has its pieces in order.
+    whole = []
+    for parts in ids.values():
+        ordered = sorted(parts)
+        whole += [found for _, found in ordered] if ordered[-1][0] == 0 else [[i for _, found in ordered for i in found]]
+    assert sorted(whole) == want and max(map(len, whole)) > 2048
     assert packing.pack(empty).count() == 0
 
 
