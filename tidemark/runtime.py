@@ -58,7 +58,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-_lifetime: ContextVar[str | None] = ContextVar("lifetime", default=None)
+# Databases of the lifetimes that are open, the innermost last.
+_lifetimes: ContextVar[tuple[str, ...]] = ContextVar("lifetimes", default=())
+
+
+def _database() -> str | None:
+    return (None, *_lifetimes.get())[-1]
 
 
 @contextmanager
@@ -70,18 +75,47 @@ def lifetime(spark: SparkSession) -> Iterator[None]:
     """
     name = f"tidemark_run_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_root(spark).rstrip('/')}/{name}'")
-    token = _lifetime.set(name)
+    token = _lifetimes.set((*_lifetimes.get(), name))
     try:
         yield
     finally:
-        _lifetime.reset(token)
+        _lifetimes.reset(token)
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
+def handed_on(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """``stored`` in the lifetime around the present one, or for good where there is none."""
+    token = _lifetimes.set(_lifetimes.get()[:-1])
+    try:
+        return stored(df, label, **options)
+    finally:
+        _lifetimes.reset(token)
+
+
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go as soon as it ends, not when the driver next collects garbage.
+
+    Meant for writes, whose plans run once: a frame run again would shuffle again.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: the plan of what follows starts here."""
     spark = df.sparkSession
-    if _lifetime.get() is not None:
+    if _database() is not None:
         return stored(df, "cut")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
@@ -117,7 +151,8 @@ def join_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 def kept(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write rows to a parquet table in the shared folder that no lifetime ends. ``options`` are those of the writer."""
     path = scratch_path(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -127,11 +162,12 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     The passes then read only the columns they need, with their filters pushed down. Inside a :func:`lifetime` the
     table goes with it.
     """
-    database = _lifetime.get()
+    database = _database()
     if database is None:
         return kept(df, label, **options)
     name = f"{database}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
-    df.write.options(**options).format("parquet").saveAsTable(name)
+    with freed_shuffles(df.sparkSession):
+        df.write.options(**options).format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -150,13 +186,14 @@ def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
     and its entry are gone afterwards, so what is computed from it is to be written inside.
     """
     spark = df.sparkSession
-    database = _lifetime.get()
+    database = _database()
     name = f"{database + '.' if database else ''}tidemark_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd")
     try:
         # A table without a path of its own belongs to the catalogue, which removes its rows with it.
-        writer.saveAsTable(name)
+        with freed_shuffles(spark):
+            writer.saveAsTable(name)
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
