@@ -13,14 +13,13 @@ shingles bound what two lines can have in common, and exact similarity is comput
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.runtime import once, scratch_path, stored, unused_names
+from tidemark.runtime import bucketed, handed_on, lifetime, once, stored, unused_names
 
 # Characters of a shingle.
 SHINGLE = 5
@@ -43,16 +42,6 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return trimmed.withColumn("line_key", F.xxhash64("line"))
 
 
-def bucketed(df: DataFrame, key: str) -> DataFrame:
-    """Written once by the hash of its key: later work by this key needs no shuffle of these rows."""
-    spark = df.sparkSession
-    name = f"lines_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd")
-    writer.option("path", scratch_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
-
-
 def code_points(line: Column | str) -> Column:
     """The characters of a line in four bytes each, so that any run of them is found without a search."""
     return F.encode(line, "UTF-32")
@@ -96,17 +85,19 @@ def verified(pairs: DataFrame, lines: DataFrame, least: float, shingles: Callabl
     The distinct lines are read where they lie: the keys asked for, by far fewer, come to them and are
     hashed, so that the lines need not be sorted.
     """
-    pairs = stored(pairs, "pairs")
-    keys = pairs.select(F.explode(F.array("one", "two")).alias("line_key")).distinct()
-    asked = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
-    left = asked.select(F.col("line_key").alias("one"), F.col("line").alias("line_one"))
-    right = asked.select(F.col("line_key").alias("two"), F.col("line").alias("line_two"))
-    both = pairs.join(left, "one").join(right, "two")
-    sets = both.select("one", "two", "line_two", once(shingles("line_one")).alias("set_one"))
-    sets = sets.select("one", "two", "set_one", once(shingles("line_two")).alias("set_two"))
-    total = (F.size("set_one") + F.size("set_two")).alias("total")
-    met = sets.select("one", "two", total, once(F.size(F.array_intersect("set_one", "set_two"))).alias("common"))
-    return met.where(F.col("common") >= least * (F.col("total") - F.col("common"))).select("one", "two")
+    with lifetime(lines.sparkSession):
+        pairs = stored(pairs, "pairs")
+        keys = pairs.select(F.explode(F.array("one", "two")).alias("line_key")).distinct()
+        asked = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
+        left = asked.select(F.col("line_key").alias("one"), F.col("line").alias("line_one"))
+        right = asked.select(F.col("line_key").alias("two"), F.col("line").alias("line_two"))
+        both = pairs.join(left, "one").join(right, "two")
+        sets = both.select("one", "two", "line_two", once(shingles("line_one")).alias("set_one"))
+        sets = sets.select("one", "two", "set_one", once(shingles("line_two")).alias("set_two"))
+        total = (F.size("set_one") + F.size("set_two")).alias("total")
+        met = sets.select("one", "two", total, once(F.size(F.array_intersect("set_one", "set_two"))).alias("common"))
+        alike = met.where(F.col("common") >= least * (F.col("total") - F.col("common")))
+        return handed_on(alike.select("one", "two"), "links")
 
 
 def linked_lines(
@@ -117,30 +108,36 @@ def linked_lines(
 
     ``shingles`` gives the distinct hashes of a column of lines, ``exploded`` one row for each of them.
     """
-    prints = stored(signatures(exploded(lines), bands, rows), "bands")
-    members = prints.select("line_key", F.explode(F.array(*[f"band{b}" for b in range(bands)])).alias("band"))
-    groups = members.groupBy("band").agg(F.min("line_key").alias("leader"), F.count(F.lit(1)).alias("size"))
-    shared = stored(members.join(groups.where("size > 1").hint("shuffle_hash"), "band"), "groups")
-    star = shared.where("line_key <> leader").select(F.col("leader").alias("one"), F.col("line_key").alias("two")).distinct()
-    links = stored(verified(star, lines, least, shingles), "links")
-    known = components(links, "one", "two")
-    # What the first line of a group did not catch: members of different components, the first line aside.
-    rest = shared.where("size > 2 and line_key <> leader").select("band", "line_key")
-    asked = stored(_open(rest, known), "open")
-    keys = asked.select("line_key").distinct()
-    texts = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
-    sets = texts.join(sizes_and_maps(texts.select("line_key", F.explode(shingles("line")).alias("h"))), "line_key")
-    largest = asked.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"))
-    centred = asked.join(sets, "line_key").join(largest.select("band", F.col("top.component").alias("centre")), "band")
-    held = stored(centred, "open")
-    # Each other member asks whether any line of its group's largest component links it: one row each, not one per link.
-    near = stored(_joining(held.where("component <> centre"), held.where("component = centre"), least, shingles), "links")
-    known = stored(components(_as_links(known).unionByName(near), "one", "two"), "known")
-    # Lines of the largest components have now met all others, which are left to meet each other.
-    left = stored(_open(held.where("component <> centre").drop("component", "centre"), known), "open")
-    more = stored(_meeting(left, left, F.col("line_key_one") < F.col("line_key_two"), least, shingles), "links")
-    # Components and the few links between them.
-    return components(_as_links(known).unionByName(more), "one", "two")
+    with lifetime(lines.sparkSession):
+        shared = _shared_bands(exploded(lines), bands, rows)
+        star = shared.where("line_key <> leader").select(F.col("leader").alias("one"), F.col("line_key").alias("two")).distinct()
+        known = components(verified(star, lines, least, shingles), "one", "two")
+        # What the first line of a group did not catch: members of different components, the first line aside.
+        rest = shared.where("size > 2 and line_key <> leader").select("band", "line_key")
+        asked = stored(_open(rest, known), "open")
+        keys = asked.select("line_key").distinct()
+        texts = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
+        sets = texts.join(sizes_and_maps(texts.select("line_key", F.explode(shingles("line")).alias("h"))), "line_key")
+        largest = asked.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"))
+        centred = asked.join(sets, "line_key").join(largest.select("band", F.col("top.component").alias("centre")), "band")
+        held = stored(centred, "open")
+        # Each other member asks whether any line of its group's largest component links it: one row each, not one per link.
+        near = stored(_joining(held.where("component <> centre"), held.where("component = centre"), least, shingles), "links")
+        known = stored(components(_as_links(known).unionByName(near), "one", "two"), "known")
+        # Lines of the largest components have now met all others, which are left to meet each other.
+        left = stored(_open(held.where("component <> centre").drop("component", "centre"), known), "open")
+        more = stored(_meeting(left, left, F.col("line_key_one") < F.col("line_key_two"), least, shingles), "links")
+        # Components and the few links between them.
+        return handed_on(components(_as_links(known).unionByName(more), "one", "two"), "linked")
+
+
+def _shared_bands(shingles: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Rows (band, line_key, leader, size) of the bands that several lines share; the leader has the least key."""
+    with lifetime(shingles.sparkSession):
+        prints = stored(signatures(shingles, bands, rows), "bands")
+        members = prints.select("line_key", F.explode(F.array(*[f"band{b}" for b in range(bands)])).alias("band"))
+        groups = members.groupBy("band").agg(F.min("line_key").alias("leader"), F.count(F.lit(1)).alias("size"))
+        return handed_on(members.join(groups.where("size > 1").hint("shuffle_hash"), "band"), "groups")
 
 
 def bitmap(shingles: str) -> list[Column]:
@@ -232,17 +229,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     found = occurrences(docs, id_col, text_col)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "line_no")
     grouped = found.groupBy("line_key").agg(F.first("line").alias("line"), F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
-    lines = bucketed(grouped, "line_key")
-    linked = linked_lines(lines.select("line_key", "line"), least)
-    linked = linked.select(F.col("node").alias("line_key"), "component")
-    named = stored(lines.select("line_key", "place").join(linked.hint("shuffle_hash"), "line_key"), "named")
-    first = named.groupBy("component").agg(F.min("place").alias("first"))
-    moved = named.join(first, "component").select("line_key", "first")
-    homes = lines.select("line_key", "place", "times").join(moved.hint("shuffle_hash"), "line_key", "left")
-    # Lines that occur once and have no links are their own class. The others, being written, are shuffled as the
-    # occurrences are, so that a line of very many documents can be split.
-    homes = homes.where("times > 1 or first is not null").select("line_key", F.coalesce("first", "place").alias("home"))
-    homes = stored(homes, "homes")
+    with lifetime(docs.sparkSession), bucketed(grouped, "line_key") as lines:
+        linked = linked_lines(lines.select("line_key", "line"), least)
+        linked = linked.select(F.col("node").alias("line_key"), "component")
+        named = stored(lines.select("line_key", "place").join(linked.hint("shuffle_hash"), "line_key"), "named")
+        first = named.groupBy("component").agg(F.min("place").alias("first"))
+        moved = named.join(first, "component").select("line_key", "first")
+        homes = lines.select("line_key", "place", "times").join(moved.hint("shuffle_hash"), "line_key", "left")
+        # Lines that occur once and have no links are their own class. The others, being written, are shuffled as the
+        # occurrences are, so that a line of very many documents can be split.
+        homes = homes.where("times > 1 or first is not null").select("line_key", F.coalesce("first", "place").alias("home"))
+        homes = handed_on(homes, "homes")
     alone = F.col("home").isNull()
 
     def home(column: str) -> Column:

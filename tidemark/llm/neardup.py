@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import lines
 from tidemark.llm.components import components
-from tidemark.runtime import stored, unused_names
+from tidemark.runtime import bucketed, handed_on, lifetime, stored, unused_names
 
 BITS = 64
 # The thresholds are fitted on at most this many distinct fingerprints.
@@ -283,11 +283,13 @@ def one_per_similar_group(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     marked = docs.withColumns({own_id: F.coalesce(F.col(id_col).cast("long"), F.lit(least_id)), own_text: F.xxhash64(text)})
     keyed = docs.select(F.xxhash64(text).alias("line_key"), text.alias("line"))
-    texts = lines.bucketed(keyed.groupBy("line_key").agg(F.first("line").alias("line")), "line_key")
-    linked = lines.linked_lines(texts, least, SIMILAR_BANDS, SIMILAR_ROWS, shingles, exploded)
     order = F.struct((F.col(own_id) == least_id).alias("unknown"), F.col(own_id).alias("id"), F.col(own_text).alias("key"))
     classes = marked.groupBy(F.col(own_text).alias("node")).agg(F.min(order).alias("least"))
-    rooted = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = rooted.groupBy("component").agg(F.min("least").alias("first"))
-    chosen = stored(first.select(F.col("first.id").alias(own_id), F.col("first.key").alias(own_text)), "chosen")
+    distinct = keyed.groupBy("line_key").agg(F.first("line").alias("line"))
+    with lifetime(docs.sparkSession):
+        with bucketed(distinct, "line_key") as texts:
+            linked = lines.linked_lines(texts, least, SIMILAR_BANDS, SIMILAR_ROWS, shingles, exploded)
+        rooted = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        first = rooted.groupBy("component").agg(F.min("least").alias("first"))
+        chosen = handed_on(first.select(F.col("first.id").alias(own_id), F.col("first.key").alias(own_text)), "chosen")
     return marked.dropDuplicates(keys).join(chosen, keys, "left_semi").select(*docs.columns)
