@@ -27,6 +27,7 @@ ROWS = 4
 BANDS = 8
 # Longs of a line's bitmap.
 MAP_LONGS = 16
+MAPS = [f"map{k}" for k in range(MAP_LONGS)]
 LOW_HALF = 0xFFFF_FFFF
 # Stands for a null id in joins.
 LEAST = -(1 << 63)
@@ -70,15 +71,42 @@ def line_shingles(lines: DataFrame) -> DataFrame:
 
 
 def signatures(shingles: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Rows (line_key, bands): the hash of each band of minima over a line's shingles."""
-    hashed = shingles.select("line_key", F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b"))
+    """Rows (line_key, n, band0, ..., map0, ...): a line's number of shingles, the hash of each band of minima over them, its bitmap."""
+    hashed = shingles.select("line_key", "h", F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b"))
     minima = [F.min((F.col("a") + F.col("b") * i).bitwiseAND(F.lit(LOW_HALF))).alias(f"m{i}") for i in range(bands * rows)]
-    least = hashed.groupBy("line_key").agg(*minima)
+    least = hashed.groupBy("line_key").agg(F.count(F.lit(1)).alias("n"), *minima, *_map_columns())
     return least.select(
-        "line_key", *[F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]).alias(f"band{b}") for b in range(bands)]
+        "line_key", "n", *[F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]).alias(f"band{b}") for b in range(bands)], *MAPS
     )
 
 
+def _map_columns() -> list[Column]:
+    """Aggregates of rows with a hash ``h`` each: the bitmap of the shingles, as ``bitmap`` gives for a column of sets."""
+    h = F.col("h")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    return [F.bit_or(F.when(F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)) == k, bit).otherwise(0)).alias(f"map{k}") for k in range(MAP_LONGS)]
+
+
+def _missing(side: str, other: str) -> Column:
+    """At least so many shingles of one side are not in the other."""
+    return sum((F.bit_count(F.col(f"{m}_{side}").bitwiseAND(F.bitwise_not(f"{m}_{other}"))) for m in MAPS), F.lit(0))
+
+
+def possible(pairs: DataFrame, marks: DataFrame, least: float) -> DataFrame:
+    """Of (one, two), those that may have similarity ``least``: none that has it is left out.
+
+    Sets A and B of this similarity differ by at most (1 - least) / (1 + least) of |A| + |B| shingles. Their
+    bitmaps show some that differ, and the numbers of shingles, repeats included, are no smaller than the sets.
+    """
+
+    def side(name: str) -> DataFrame:
+        return marks.select(F.col("line_key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", *MAPS)])
+
+    both = pairs.join(side("one"), "one").join(side("two"), "two")
+    most = (1 - least) / (1 + least) * (F.col("n_one") + F.col("n_two")) + 1e-9
+    return both.where(_missing("one", "two") + _missing("two", "one") <= most).select("one", "two")
+
+
 def verified(pairs: DataFrame, lines: DataFrame, least: float, shingles: Callable[[str], Column]) -> DataFrame:
     """Of (one, two), those whose lines have exact Jaccard similarity ``least`` or more.
 
@@ -109,15 +137,15 @@ def linked_lines(
     ``shingles`` gives the distinct hashes of a column of lines, ``exploded`` one row for each of them.
     """
     with lifetime(lines.sparkSession):
-        shared = _shared_bands(exploded(lines), bands, rows)
+        shared, marks = _shared_bands(exploded(lines), bands, rows)
         star = shared.where("line_key <> leader").select(F.col("leader").alias("one"), F.col("line_key").alias("two")).distinct()
-        known = components(verified(star, lines, least, shingles), "one", "two")
+        known = components(verified(possible(star, marks, least), lines, least, shingles), "one", "two")
         # What the first line of a group did not catch: members of different components, the first line aside.
         rest = shared.where("size > 2 and line_key <> leader").select("band", "line_key")
         asked = stored(_open(rest, known), "open")
         keys = asked.select("line_key").distinct()
         texts = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
-        sets = texts.join(sizes_and_maps(texts.select("line_key", F.explode(shingles("line")).alias("h"))), "line_key")
+        sets = texts.withColumn("size", F.size(shingles("line"))).join(marks.drop("n"), "line_key")
         largest = asked.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"))
         centred = asked.join(sets, "line_key").join(largest.select("band", F.col("top.component").alias("centre")), "band")
         held = stored(centred, "open")
@@ -131,13 +159,14 @@ def linked_lines(
         return handed_on(components(_as_links(known).unionByName(more), "one", "two"), "linked")
 
 
-def _shared_bands(shingles: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Rows (band, line_key, leader, size) of the bands that several lines share; the leader has the least key."""
-    with lifetime(shingles.sparkSession):
-        prints = stored(signatures(shingles, bands, rows), "bands")
+def _shared_bands(shingles: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (band, line_key, leader, size) of the bands that several lines share, the leader having the least key; and their lines' bitmaps."""
+    with lifetime(shingles.sparkSession), bucketed(signatures(shingles, bands, rows), "line_key") as prints:
         members = prints.select("line_key", F.explode(F.array(*[f"band{b}" for b in range(bands)])).alias("band"))
         groups = members.groupBy("band").agg(F.min("line_key").alias("leader"), F.count(F.lit(1)).alias("size"))
-        return handed_on(members.join(groups.where("size > 1").hint("shuffle_hash"), "band"), "groups")
+        shared = handed_on(members.join(groups.where("size > 1").hint("shuffle_hash"), "band"), "groups")
+        keys = shared.select("line_key").distinct().hint("shuffle_hash")
+        return shared, handed_on(prints.select("line_key", "n", *MAPS).join(keys, "line_key", "left_semi"), "marks")
 
 
 def bitmap(shingles: str) -> list[Column]:
@@ -153,14 +182,6 @@ def bitmap(shingles: str) -> list[Column]:
     return [long(k) for k in range(MAP_LONGS)]
 
 
-def sizes_and_maps(shingles: DataFrame) -> DataFrame:
-    """Rows (line_key, size, map0, map1, ...) of rows (line_key, h) of distinct shingles, as ``bitmap`` gives for a column of sets."""
-    h = F.col("h")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-    maps = [F.bit_or(F.when(F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)) == k, bit).otherwise(0)).alias(f"map{k}") for k in range(MAP_LONGS)]
-    return shingles.groupBy("line_key").agg(F.count(F.lit(1)).cast("int").alias("size"), *maps)
-
-
 def _as_links(known: DataFrame) -> DataFrame:
     return known.select(F.col("node").alias("one"), F.col("component").alias("two"))
 
@@ -174,9 +195,6 @@ def _open(members: DataFrame, known: DataFrame) -> DataFrame:
     return placed.join(mixed.select("band"), "band")
 
 
-MAPS = [f"map{k}" for k in range(MAP_LONGS)]
-
-
 def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
     # Lines are several times smaller than their sets, which are made where two of them meet.
     kept = ("set",) if "set" in members.columns else ("line", "size")
@@ -192,14 +210,10 @@ def _alike(least: float, shingles: Callable[[str], Column] | None) -> Column:
     size_one, size_two = (F.col("size_one"), F.col("size_two")) if shingles else (F.size("set_one"), F.size("set_two"))
     common = F.size(F.array_intersect(one, two))
 
-    def missing(side: str, other: str) -> Column:
-        """At least so many shingles of one side are not in the other."""
-        return sum((F.bit_count(F.col(f"{m}_{side}").bitwiseAND(F.bitwise_not(f"{m}_{other}"))) for m in MAPS), F.lit(0))
-
     enough = least / (1 + least) * (size_one + size_two) - 1e-9
-    possible = (size_one - missing("one", "two") >= enough) & (size_two - missing("two", "one") >= enough)
+    within = (size_one - _missing("one", "two") >= enough) & (size_two - _missing("two", "one") >= enough)
     # Equal to common >= least * (size_one + size_two - common), with the intersection made once.
-    return possible & (common >= enough)
+    return within & (common >= enough)
 
 
 def _joining(others: DataFrame, centre: DataFrame, least: float, shingles: Callable[[str], Column]) -> DataFrame:
