@@ -143,12 +143,13 @@ def linked_lines(
         # What the first line of a group did not catch: members of different components, the first line aside.
         rest = shared.where("size > 2 and line_key <> leader").select("band", "line_key")
         asked = stored(_open(rest, known), "open")
-        keys = asked.select("line_key").distinct()
-        texts = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
-        sets = texts.withColumn("size", F.size(shingles("line"))).join(marks.drop("n"), "line_key")
         largest = asked.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"))
-        centred = asked.join(sets, "line_key").join(largest.select("band", F.col("top.component").alias("centre")), "band")
-        held = stored(centred, "open")
+        centred = stored(asked.join(largest.select("band", F.col("top.component").alias("centre")), "band"), "centred")
+        # The lines are read where they lie, by key; their small companions come to them.
+        keys = asked.select("line_key").distinct()
+        texts = lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi").withColumn("size", F.size(shingles("line")))
+        sets = texts.join(marks.drop("n").hint("shuffle_hash"), "line_key")
+        held = stored(sets.join(centred, "line_key"), "open", compression="zstd")
         # Each other member asks whether any line of its group's largest component links it: one row each, not one per link.
         near = stored(_joining(held.where("component <> centre"), held.where("component = centre"), least, shingles), "links")
         known = stored(components(_as_links(known).unionByName(near), "one", "two"), "known")
