@@ -10,6 +10,7 @@ within t_i of their own part and each candidate is verified on all 64 bits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -21,8 +22,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines
 from tidemark.llm.components import components
+from tidemark.llm.links import linked
 from tidemark.runtime import bucketed, handed_on, lifetime, stored, unused_names
 
 BITS = 64
@@ -240,9 +241,77 @@ def one_per_group(
     return marked.dropDuplicates(keys).join(chosen, keys, "left_semi").select(*docs.columns)
 
 
-# Minima of five-word shingles: 1 - (1 - 0.8 ** 4) ** 16 = 99.98 % of pairs at similarity 0.8 share a band.
-SIMILAR_BANDS = 16
-SIMILAR_ROWS = 4
+# Bits of the fingerprint that the similarity search uses, and how many of them may differ. At similarity 0.8 two prints
+# differ in 39 bits on average, texts without common shingles in 128.
+WIDE = 256
+WIDE_RADIUS = 72
+PRINTS = [f"print{k}" for k in range(WIDE // 64)]
+# Share of pairs at the least similarity that meet in a table at least.
+RECALL = 0.99
+
+
+def wide_bits(text: str | None, words: int = 5) -> np.ndarray:
+    """The bits of a wide SimHash: each is the majority of that bit over the hashes of the distinct word shingles.
+
+    Words are those of ``word_shingles``; a text without words has the hash of no word as its only one.
+    """
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split() or [b""]
+    digest = xxhash.xxh64_intdigest
+    own = np.array([digest(part, 42) for part in parts], dtype=np.uint64)
+    size = min(words, len(own))
+    hashed = np.full(len(own) - size + 1, size, np.uint64)
+    for place in range(size):
+        hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + own[place : place + len(hashed)]
+    hashed = np.unique(hashed)
+    ones = np.zeros(WIDE, np.int64)
+    for begin in range(0, len(hashed), 255):
+        z = hashed[begin : begin + 255, None] + np.arange(1, len(PRINTS) + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z = np.ascontiguousarray(z ^ (z >> np.uint64(31)))
+        ones += np.unpackbits(z.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return (ones * 2 > len(hashed)).astype(np.uint8)
+
+
+def tables_for(rows: int, least: float) -> list[np.ndarray]:
+    """Places of the bits that each table compares, so many tables that pairs at similarity ``least`` meet in one with RECALL.
+
+    More rows need longer keys, and these more tables; the share of pairs that meet stays. Two prints at this similarity
+    differ in each bit with probability acos(2 * least / (1 + least)) / pi, or less where the sizes differ.
+    """
+    length = min(30, max(8, rows.bit_length() - 4))
+    apart = math.acos(2 * least / (1 + least)) / math.pi
+    differing = np.arange(WIDE_RADIUS + 1)
+    weights = np.array([comb(WIDE, d) * apart**d * (1 - apart) ** (WIDE - d) for d in differing.tolist()])
+    meet = np.prod([(WIDE - differing - i) / (WIDE - i) for i in range(length)], axis=0)
+    tables = 8
+    while (weights * (1 - (1 - meet) ** tables)).sum() < RECALL:
+        tables += 8
+    rng = np.random.default_rng(9)
+    return [rng.choice(WIDE, length, replace=False) for _ in range(tables)]
+
+
+def wide_prints(texts: DataFrame, tables: list[np.ndarray], words: int = 5) -> DataFrame:
+    """Rows (line_key, bands, print0, ...): the key of each table and the print, of rows (line_key, line)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            bits = np.array([wide_bits(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint8).reshape(rows, WIDE)
+            powers = 1 << np.arange(len(tables[0]), dtype=np.int64)
+            keys = np.stack([(number << 32) | (bits[:, places] @ powers) for number, places in enumerate(tables)], axis=1)
+            bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(tables), dtype=np.int32), keys.reshape(-1))
+            longs = np.packbits(bits, axis=1, bitorder="little").view("<i8").reshape(rows, len(PRINTS))
+            columns = [pa.array(np.ascontiguousarray(longs[:, k])) for k in range(len(PRINTS))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), bands, *columns], ["line_key", "bands", *PRINTS])
+
+    shape = ", ".join(["line_key long", "bands array<long>", *[f"{name} long" for name in PRINTS]])
+    return texts.select("line_key", "line").mapInArrow(run, shape)
+
+
+def wide_close(radius: int = WIDE_RADIUS) -> Column:
+    """Whether the prints of both sides differ in at most ``radius`` bits."""
+    return sum((F.bit_count(F.col(f"{name}_one").bitwiseXOR(F.col(f"{name}_two"))) for name in PRINTS), F.lit(0)) <= radius
 
 
 def word_shingles(text: Column | str, words: int = 5) -> Column:
@@ -266,7 +335,9 @@ def one_per_similar_group(
 ) -> DataFrame:
     """``docs`` with its columns, one row for each group of texts linked by similarity ``least`` or more.
 
-    Similarity is the exact Jaccard of the sets of word shingles; MinHash bands only pick what is compared.
+    Similarity is the exact Jaccard of the sets of word shingles. What is compared is picked by SimHash: prints of 256 bits
+    that agree in all bits of a table and differ in at most WIDE_RADIUS. Of pairs at similarity ``least`` a share of RECALL
+    or more is picked, of closer ones more.
     Texts are known by their 64-bit hash. The row kept is chosen as in ``one_per_group``: the smallest id, null
     ids only where a group has no other, equal ids by the hash of the text, one of repeated rows. Texts without
     words, null ones among them, are one group. An empty table gives no rows.
@@ -275,9 +346,6 @@ def one_per_similar_group(
     def shingles(text: Column | str) -> Column:
         return word_shingles(text, words)
 
-    def exploded(texts: DataFrame) -> DataFrame:
-        return texts.select("line_key", F.explode(shingles("line")).alias("h"))
-
     least_id = -(1 << 63)
     own_id, own_text = keys = unused_names(docs, "own_id", "own_text")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -288,8 +356,11 @@ def one_per_similar_group(
     distinct = keyed.groupBy("line_key").agg(F.first("line").alias("line"))
     with lifetime(docs.sparkSession):
         with bucketed(distinct, "line_key") as texts:
-            linked = lines.linked_lines(texts, least, SIMILAR_BANDS, SIMILAR_ROWS, shingles, exploded)
-        rooted = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            tables = tables_for(texts.count(), least)
+            with bucketed(wide_prints(texts, tables, words), "line_key") as prints:
+                bands = [F.col("bands")[number] for number in range(len(tables))]
+                alike = linked(texts, prints, bands, PRINTS, wide_close(), least, shingles, passes=8)
+        rooted = classes.join(alike, "node", "left").withColumn("component", F.coalesce("component", "node"))
         first = rooted.groupBy("component").agg(F.min("least").alias("first"))
         chosen = handed_on(first.select(F.col("first.id").alias(own_id), F.col("first.key").alias(own_text)), "chosen")
     return marked.dropDuplicates(keys).join(chosen, keys, "left_semi").select(*docs.columns)
