@@ -5,10 +5,8 @@ position. MinHash signatures of the shingle sets are banded, lines that
 share a band are verified by exact Jaccard similarity, and union-find over the verified links leaves
 one line per component, its first occurrence.
 
-A band's group is never paired with itself: every member is compared with the group's first line, then
-asks whether it is linked to any line of the group's largest component, and only what is still in
-different components afterwards meets within the group. There, bitmaps of the
-shingles bound what two lines can have in common, and exact similarity is computed where the bound allows a link.
+Bitmaps of the shingles bound what two lines can have in common, and exact similarity is computed where the bound
+allows a link (``links``).
 """
 
 from __future__ import annotations
@@ -18,8 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
-from tidemark.runtime import bucketed, handed_on, lifetime, once, stored, unused_names
+from tidemark.llm.links import linked
+from tidemark.runtime import bucketed, handed_on, lifetime, stored, unused_names
 
 # Characters of a shingle.
 SHINGLE = 5
@@ -92,82 +90,26 @@ def _missing(side: str, other: str) -> Column:
     return sum((F.bit_count(F.col(f"{m}_{side}").bitwiseAND(F.bitwise_not(f"{m}_{other}"))) for m in MAPS), F.lit(0))
 
 
-def possible(pairs: DataFrame, marks: DataFrame, least: float) -> DataFrame:
-    """Of (one, two), those that may have similarity ``least``: none that has it is left out.
+def possible(least: float) -> Column:
+    """Whether lines of both sides may have similarity ``least``: none that has it is left out.
 
     Sets A and B of this similarity differ by at most (1 - least) / (1 + least) of |A| + |B| shingles. Their
     bitmaps show some that differ, and the numbers of shingles, repeats included, are no smaller than the sets.
     """
-
-    def side(name: str) -> DataFrame:
-        return marks.select(F.col("line_key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", *MAPS)])
-
-    both = pairs.join(side("one"), "one").join(side("two"), "two")
     most = (1 - least) / (1 + least) * (F.col("n_one") + F.col("n_two")) + 1e-9
-    return both.where(_missing("one", "two") + _missing("two", "one") <= most).select("one", "two")
 
+    def differ(maps: list[str]) -> Column:
+        return sum((F.bit_count(F.col(f"{m}_one").bitwiseXOR(F.col(f"{m}_two"))) for m in maps), F.lit(0))
 
-def verified(pairs: DataFrame, lines: DataFrame, least: float, shingles: Callable[[str], Column]) -> DataFrame:
-    """Of (one, two), those whose lines have exact Jaccard similarity ``least`` or more.
+    # Most pairs are ruled out by their first longs; the expression stays small enough to be compiled.
+    return (differ(MAPS[:4]) <= most) & (differ(MAPS) <= most)
 
-    The distinct lines are read where they lie: the keys asked for, by far fewer, come to them and are
-    hashed, so that the lines need not be sorted.
-    """
-    with lifetime(lines.sparkSession):
-        pairs = stored(pairs, "pairs")
-        keys = pairs.select(F.explode(F.array("one", "two")).alias("line_key")).distinct()
-        asked = stored(lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi"), "asked")
-        left = asked.select(F.col("line_key").alias("one"), F.col("line").alias("line_one"))
-        right = asked.select(F.col("line_key").alias("two"), F.col("line").alias("line_two"))
-        both = pairs.join(left, "one").join(right, "two")
-        sets = both.select("one", "two", "line_two", once(shingles("line_one")).alias("set_one"))
-        sets = sets.select("one", "two", "set_one", once(shingles("line_two")).alias("set_two"))
-        total = (F.size("set_one") + F.size("set_two")).alias("total")
-        met = sets.select("one", "two", total, once(F.size(F.array_intersect("set_one", "set_two"))).alias("common"))
-        alike = met.where(F.col("common") >= least * (F.col("total") - F.col("common")))
-        return handed_on(alike.select("one", "two"), "links")
-
-
-def linked_lines(
-    lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS,
-    shingles: Callable[[str], Column] = shingle_hashes, exploded: Callable[[DataFrame], DataFrame] = line_shingles,
-) -> DataFrame:
-    """Rows (node, component) of the distinct lines (line_key, line) that are linked to another one.
-
-    ``shingles`` gives the distinct hashes of a column of lines, ``exploded`` one row for each of them.
-    """
-    with lifetime(lines.sparkSession):
-        shared, marks = _shared_bands(exploded(lines), bands, rows)
-        star = shared.where("line_key <> leader").select(F.col("leader").alias("one"), F.col("line_key").alias("two")).distinct()
-        known = components(verified(possible(star, marks, least), lines, least, shingles), "one", "two")
-        # What the first line of a group did not catch: members of different components, the first line aside.
-        rest = shared.where("size > 2 and line_key <> leader").select("band", "line_key")
-        asked = stored(_open(rest, known), "open")
-        largest = asked.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"))
-        centred = stored(asked.join(largest.select("band", F.col("top.component").alias("centre")), "band"), "centred")
-        # The lines are read where they lie, by key; their small companions come to them.
-        keys = asked.select("line_key").distinct()
-        texts = lines.join(keys.hint("shuffle_hash"), "line_key", "left_semi").withColumn("size", F.size(shingles("line")))
-        sets = texts.join(marks.drop("n").hint("shuffle_hash"), "line_key")
-        held = stored(sets.join(centred, "line_key"), "open", compression="zstd")
-        # Each other member asks whether any line of its group's largest component links it: one row each, not one per link.
-        near = stored(_joining(held.where("component <> centre"), held.where("component = centre"), least, shingles), "links")
-        known = stored(components(_as_links(known).unionByName(near), "one", "two"), "known")
-        # Lines of the largest components have now met all others, which are left to meet each other.
-        left = stored(_open(held.where("component <> centre").drop("component", "centre"), known), "open")
-        more = stored(_meeting(left, left, F.col("line_key_one") < F.col("line_key_two"), least, shingles), "links")
-        # Components and the few links between them.
-        return handed_on(components(_as_links(known).unionByName(more), "one", "two"), "linked")
-
-
-def _shared_bands(shingles: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (band, line_key, leader, size) of the bands that several lines share, the leader having the least key; and their lines' bitmaps."""
-    with lifetime(shingles.sparkSession), bucketed(signatures(shingles, bands, rows), "line_key") as prints:
-        members = prints.select("line_key", F.explode(F.array(*[f"band{b}" for b in range(bands)])).alias("band"))
-        groups = members.groupBy("band").agg(F.min("line_key").alias("leader"), F.count(F.lit(1)).alias("size"))
-        shared = handed_on(members.join(groups.where("size > 1").hint("shuffle_hash"), "band"), "groups")
-        keys = shared.select("line_key").distinct().hint("shuffle_hash")
-        return shared, handed_on(prints.select("line_key", "n", *MAPS).join(keys, "line_key", "left_semi"), "marks")
+
+def linked_lines(lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """Rows (node, component) of the distinct lines (line_key, line) that are linked to another one."""
+    with lifetime(lines.sparkSession), bucketed(signatures(line_shingles(lines), bands, rows), "line_key") as prints:
+        own = [F.col(f"band{b}") for b in range(bands)]
+        return handed_on(linked(lines, prints, own, ["n", *MAPS], possible(least), least, shingle_hashes), "linked")
 
 
 def bitmap(shingles: str) -> list[Column]:
@@ -183,19 +125,6 @@ def bitmap(shingles: str) -> list[Column]:
     return [long(k) for k in range(MAP_LONGS)]
 
 
-def _as_links(known: DataFrame) -> DataFrame:
-    return known.select(F.col("node").alias("one"), F.col("component").alias("two"))
-
-
-def _open(members: DataFrame, known: DataFrame) -> DataFrame:
-    """The members, with their components, of the bands that hold more than one component."""
-    placed = members.join(known.withColumnRenamed("node", "line_key"), "line_key", "left").withColumn(
-        "component", F.coalesce("component", "line_key")
-    )
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return placed.join(mixed.select("band"), "band")
-
-
 def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
     # Lines are several times smaller than their sets, which are made where two of them meet.
     kept = ("set",) if "set" in members.columns else ("line", "size")
@@ -217,13 +146,6 @@ def _alike(least: float, shingles: Callable[[str], Column] | None) -> Column:
     return within & (common >= enough)
 
 
-def _joining(others: DataFrame, centre: DataFrame, least: float, shingles: Callable[[str], Column]) -> DataFrame:
-    """Links (one, two) of each line to its group's largest component, if any line of that links it."""
-    one = _side(others, "one", "centre")
-    met = one.join(_side(centre, "two"), (F.col("band_one") == F.col("band_two")) & _alike(least, shingles), "left_semi")
-    return met.select(F.col("line_key_one").alias("one"), F.col("centre").alias("two")).distinct()
-
-
 def _meeting(one: DataFrame, two: DataFrame, pairs: Column, least: float, shingles: Callable[[str], Column] | None = None) -> DataFrame:
     """Links (one, two) between members of one band and different components; compared where they meet, so only links leave the join."""
     apart = pairs & (F.col("component_one") != F.col("component_two"))
@@ -245,9 +167,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "line_no")
     grouped = found.groupBy("line_key").agg(F.first("line").alias("line"), F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
     with lifetime(docs.sparkSession), bucketed(grouped, "line_key") as lines:
-        linked = linked_lines(lines.select("line_key", "line"), least)
-        linked = linked.select(F.col("node").alias("line_key"), "component")
-        named = stored(lines.select("line_key", "place").join(linked.hint("shuffle_hash"), "line_key"), "named")
+        alike = linked_lines(lines.select("line_key", "line"), least)
+        alike = alike.select(F.col("node").alias("line_key"), "component")
+        named = stored(lines.select("line_key", "place").join(alike.hint("shuffle_hash"), "line_key"), "named")
         first = named.groupBy("component").agg(F.min("place").alias("first"))
         moved = named.join(first, "component").select("line_key", "first")
         homes = lines.select("line_key", "place", "times").join(moved.hint("shuffle_hash"), "line_key", "left")
