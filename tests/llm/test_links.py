@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import links, neardup
+from tidemark.llm import lines, links, neardup
 
 
 def test_large_groups_are_compared_whole(spark, monkeypatch):
@@ -62,3 +62,48 @@ def test_the_stage_links_by_simhash(spark, monkeypatch):
     # Without prints that agree nothing is compared.
     monkeypatch.setattr(neardup, "wide_close", lambda: F.lit(False))
     assert sorted(r.doc_id for r in corpus_pipeline.one_of_near_copies(spark, docs, "").collect()) == [1, 2]
+
+
+def test_near_copies_of_one_line_are_not_all_verified(spark, monkeypatch):
+    rng = np.random.default_rng(24)
+    letters = list("abcdefghijklmnopqrstuvwxyz ")
+    base = "".join(rng.choice(letters, 500)) * 2
+    texts = [base]
+    for number in range(90):
+        changed = list(base)
+        for at in rng.choice(len(base), 12 if number % 3 else 24, replace=False):
+            changed[at] = "#"
+        texts.append("".join(changed))
+    sets = [{text[i : i + 5] for i in range(len(text) - 4)} for text in texts]
+    linked = {pair for pair in itertools.combinations(range(91), 2) if len(sets[pair[0]] & sets[pair[1]]) >= 0.8 * len(sets[pair[0]] | sets[pair[1]])}
+    root = list(range(91))
+
+    def find(key):
+        while root[key] != key:
+            key = root[key]
+        return key
+
+    for a, b in linked:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    asked, verified = [], links.verified
+
+    def counting(pairs, *rest):
+        asked.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(links, "verified", counting)
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = {row.doc_id: row.class_doc_id for row in lines.classes(docs).collect()}
+    assert all(find(found[key]) == find(key) for key in found)
+    assert np.mean([found[key] == find(key) for key in found]) > 0.97
+    # Far fewer than the 4,095 pairs of the group.
+    assert sum(asked) < 500, asked
+
+
+def test_more_lines_have_longer_bands():
+    rng = np.random.default_rng(25)
+    for rows in (1_000, 2_000_000, 100_000_000):
+        bands = lines.bands_for(rows, 0.8)
+        equal = rng.random((4_000, 1 + max(map(max, bands)))) < 0.8
+        assert np.mean(np.any([equal[:, band].all(axis=1) for band in bands], axis=0)) > 0.98
+    assert [len(lines.bands_for(rows, 0.8)[0]) for rows in (1_000, 2_000_000, 100_000_000)] == [4, 6, 8]

@@ -5,24 +5,29 @@ position. MinHash signatures of the shingle sets are banded, lines that
 share a band are verified by exact Jaccard similarity, and union-find over the verified links leaves
 one line per component, its first occurrence.
 
-Bitmaps of the shingles bound what two lines can have in common, and exact similarity is computed where the bound
-allows a link (``links``).
+Bitmaps of the distinct shingles, made for lines that share a band, bound how much two lines differ, and exact
+similarity is computed where the bound allows a link (``links``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.links import linked
-from tidemark.runtime import bucketed, handed_on, lifetime, stored, unused_names
+from tidemark.runtime import bucketed, handed_on, lifetime, once, stored, unused_names
 
 # Characters of a shingle.
 SHINGLE = 5
+# Minima of a band, with few lines, and how many minima there are for each place of a band.
 ROWS = 4
-BANDS = 8
+HASHES = 8
+# Share of pairs at the least similarity that meet in a band at least: that of 8 bands of 4 at similarity 0.8.
+RECALL = 0.985
 # Longs of a line's bitmap.
 MAP_LONGS = 16
 MAPS = [f"map{k}" for k in range(MAP_LONGS)]
@@ -68,21 +73,49 @@ def line_shingles(lines: DataFrame) -> DataFrame:
     return shingles.select("line_key", shingle_at("points", F.col("place")).alias("h"))
 
 
-def signatures(shingles: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Rows (line_key, n, band0, ..., map0, ...): a line's number of shingles, the hash of each band of minima over them, its bitmap."""
-    hashed = shingles.select("line_key", "h", F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b"))
-    minima = [F.min((F.col("a") + F.col("b") * i).bitwiseAND(F.lit(LOW_HALF))).alias(f"m{i}") for i in range(bands * rows)]
-    least = hashed.groupBy("line_key").agg(F.count(F.lit(1)).alias("n"), *minima, *_map_columns())
-    return least.select(
-        "line_key", "n", *[F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]).alias(f"band{b}") for b in range(bands)], *MAPS
-    )
-
+def bands_for(rows: int, least: float) -> list[list[int]]:
+    """Which minima each band compares, for so many distinct lines; pairs at similarity ``least`` meet in one with RECALL.
 
-def _map_columns() -> list[Column]:
-    """Aggregates of rows with a hash ``h`` each: the bitmap of the shingles, as ``bitmap`` gives for a column of sets."""
+    Lines of one language have a few shingles in common, and as many pairs of them share a short band as there are lines
+    squared. So more lines have longer bands, and these more of them; the share of pairs that meet stays.
+    """
+    length = max(ROWS, (rows.bit_length() - 3) // 3)
+    hashes = HASHES * length
+    equal = range(hashes + 1)
+    weights = [math.comb(hashes, m) * least**m * (1 - least) ** (hashes - m) for m in equal]
+    meet = [math.comb(m, length) / math.comb(hashes, length) for m in equal]
+    bands = 1
+    while sum(w * (1 - (1 - p) ** bands) for w, p in zip(weights, meet)) < RECALL:
+        bands += 1
+    # Bands in turn take what a shuffled round of all minima has left, so that none is used much more than others.
+    rng, found, row = np.random.default_rng(5), [], []
+    while len(found) < bands:
+        row = [*row, *rng.permutation(hashes).tolist()]
+        while len(row) >= length and len(found) < bands:
+            chosen = list(dict.fromkeys(row))[:length]
+            if len(chosen) < length:
+                break
+            for one in chosen:
+                row.remove(one)
+            found.append(sorted(chosen))
+    return found
+
+
+def signatures(shingles: DataFrame, bands: list[list[int]]) -> DataFrame:
+    """Rows (line_key, band0, ...): the hash of each band of minima over a line's shingles."""
+    hashed = shingles.select("line_key", F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b"))
+    hashes = sorted({i for band in bands for i in band})
+    least = hashed.groupBy("line_key").agg(*[F.min((F.col("a") + F.col("b") * i).bitwiseAND(F.lit(LOW_HALF))).alias(f"m{i}") for i in hashes])
+    return least.select("line_key", *[F.xxhash64(F.lit(b), *[f"m{i}" for i in band]).alias(f"band{b}") for b, band in enumerate(bands)])
+
+
+def parities(lines: DataFrame) -> DataFrame:
+    """Rows (line_key, n, map0, ...): a line's number of distinct shingles, and of each bit of its bitmap whether it stands for an odd number of them."""
+    shingles = lines.select("line_key", once(shingle_hashes("line")).alias("set")).select("line_key", F.explode("set").alias("h"))
     h = F.col("h")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-    return [F.bit_or(F.when(F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)) == k, bit).otherwise(0)).alias(f"map{k}") for k in range(MAP_LONGS)]
+    odd = [F.bit_xor(F.when(F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)) == k, bit).otherwise(0)).alias(f"map{k}") for k in range(MAP_LONGS)]
+    return shingles.groupBy("line_key").agg(F.count(F.lit(1)).alias("n"), *odd)
 
 
 def _missing(side: str, other: str) -> Column:
@@ -93,8 +126,8 @@ def _missing(side: str, other: str) -> Column:
 def possible(least: float) -> Column:
     """Whether lines of both sides may have similarity ``least``: none that has it is left out.
 
-    Sets A and B of this similarity differ by at most (1 - least) / (1 + least) of |A| + |B| shingles. Their
-    bitmaps show some that differ, and the numbers of shingles, repeats included, are no smaller than the sets.
+    Sets A and B of this similarity differ by at most (1 - least) / (1 + least) of |A| + |B| shingles. Each of these
+    changes one bit of ``parities``, so no more bits differ; common shingles change none.
     """
     most = (1 - least) / (1 + least) * (F.col("n_one") + F.col("n_two")) + 1e-9
 
@@ -105,11 +138,12 @@ def possible(least: float) -> Column:
     return (differ(MAPS[:4]) <= most) & (differ(MAPS) <= most)
 
 
-def linked_lines(lines: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def linked_lines(lines: DataFrame, least: float = 0.8) -> DataFrame:
     """Rows (node, component) of the distinct lines (line_key, line) that are linked to another one."""
-    with lifetime(lines.sparkSession), bucketed(signatures(line_shingles(lines), bands, rows), "line_key") as prints:
-        own = [F.col(f"band{b}") for b in range(bands)]
-        return handed_on(linked(lines, prints, own, ["n", *MAPS], possible(least), least, shingle_hashes), "linked")
+    bands = bands_for(lines.count(), least)
+    with lifetime(lines.sparkSession), bucketed(signatures(line_shingles(lines), bands), "line_key") as prints:
+        own = [F.col(f"band{b}") for b in range(len(bands))]
+        return handed_on(linked(lines, prints, own, ["n", *MAPS], possible(least), least, shingle_hashes, summary=parities), "linked")
 
 
 def bitmap(shingles: str) -> list[Column]:

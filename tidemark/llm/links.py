@@ -1,7 +1,7 @@
 """Texts linked by exact Jaccard similarity, among those that share a band.
 
 A band's group is not paired with itself at once. Members of small groups meet each other, those of large
-ones meet the group's first member; pairs that their marks (small summaries of a text's shingles) do not rule out are
+ones meet the group's leader; pairs that their marks (small summaries of a text's shingles) do not rule out are
 verified on the texts. Members of large groups that are still in different components then meet within the group: of
 the pairs between two components one is verified first, the others where the two are still apart.
 
@@ -47,10 +47,18 @@ def verified(pairs: DataFrame, lines: DataFrame, least: float, shingles: Callabl
 
 
 def _shared(prints: DataFrame, bands: list[Column]) -> DataFrame:
-    """Rows (band, line_key, leader, size) of the bands that several lines share, the leader having the least key."""
+    """Rows (band, line_key, leader, size) of the bands that several lines share.
+
+    The leader is the member that shares its bands with most others, of these the one with the least key: of near copies of a
+    text the text itself, to which more of them are similar than to each other.
+    """
     members = prints.select("line_key", F.explode(F.array(*bands)).alias("band")).repartition("band")
-    groups = members.groupBy("band").agg(F.min("line_key").alias("leader"), F.count(F.lit(1)).alias("size"))
-    return members.join(groups.where("size > 1").hint("shuffle_hash"), "band")
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    sized = stored(members.join(sizes.where("size > 1").hint("shuffle_hash"), "band"), "sized")
+    weights = sized.groupBy("line_key").agg(F.sum("size").alias("weight"))
+    ranked = sized.join(weights.hint("shuffle_hash"), "line_key")
+    leaders = ranked.groupBy("band").agg(F.min(F.struct((-F.col("weight")).alias("weight"), "line_key")).alias("first"))
+    return sized.join(leaders.select("band", F.col("first.line_key").alias("leader")).hint("shuffle_hash"), "band")
 
 
 def _sides(held: DataFrame, *same: str) -> tuple[DataFrame, DataFrame]:
@@ -63,9 +71,15 @@ def _first_pairs(shared: DataFrame, prints: DataFrame, marks: list[str], may: Co
     """Pairs (one, two) of small groups, and of the leaders of large ones with the other members, that may be linked."""
     held = prints.select("line_key", *marks).join(shared.hint("shuffle_hash"), "line_key").repartition("band")
     one, two = _sides(held, "band")
-    one = one.where((F.col("size_one") <= SMALL) | (F.col("line_key_one") == F.col("leader_one")))
-    met = one.join(two, (one["band"] == two["band"]) & (F.col("line_key_one") < F.col("line_key_two")) & may)
-    return met.select(F.col("line_key_one").alias("one"), F.col("line_key_two").alias("two")).distinct()
+    leads = F.col("line_key_one") == F.col("leader_one")
+    one = one.where((F.col("size_one") <= SMALL) | leads)
+    # A leader meets all others, members of small groups those of larger keys; what meets the leader is not met again.
+    once_each = (F.col("line_key_one") != F.col("line_key_two")) & (
+        leads | ((F.col("line_key_one") < F.col("line_key_two")) & (F.col("line_key_two") != F.col("leader_two")))
+    )
+    met = one.join(two, (one["band"] == two["band"]) & once_each & may)
+    ends = F.col("line_key_one"), F.col("line_key_two")
+    return met.select(F.least(*ends).alias("one"), F.greatest(*ends).alias("two")).distinct()
 
 
 def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
@@ -107,20 +121,25 @@ def _renamed(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
 def linked(
     texts: DataFrame, prints: DataFrame, bands: list[Column], marks: list[str], may: Column, least: float,
-    shingles: Callable[[str], Column], passes: int = 4,
+    shingles: Callable[[str], Column], passes: int = 4, summary: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows (node, component) of the distinct ``texts`` (line_key, line) that are linked to another one.
 
     ``prints`` has a row for each text: ``line_key``, the columns of ``bands`` and ``marks``; both tables are bucketed by the key.
     ``may`` says of the marks with suffixes _one and _two whether the texts can be linked; pairs it admits are verified by the
-    exact similarity of their ``shingles``.
+    exact similarity of their ``shingles``. With ``summary`` the marks are what it gives for the texts that share a band, and
+    ``prints`` has none.
     """
     every = -(-len(bands) // passes)
     with lifetime(texts.sparkSession):
         shared, pairs = [], []
         for begin in range(0, len(bands), every):
             shared.append(stored(_shared(prints, bands[begin : begin + every]), "shared"))
-            pairs.append(stored(_first_pairs(shared[-1], prints, marks, may), "pairs"))
+        if summary:
+            keys = reduce(DataFrame.unionByName, [groups.select("line_key") for groups in shared]).distinct()
+            prints = stored(summary(texts.join(keys.hint("shuffle_hash"), "line_key", "left_semi")), "marks")
+        for groups in shared:
+            pairs.append(stored(_first_pairs(groups, prints, marks, may), "pairs"))
         known = components(verified(reduce(DataFrame.unionByName, pairs).distinct(), texts, least, shingles), "one", "two")
         asked = [stored(_open(groups, known), "open") for groups in shared]
         # One pair of each two components that may be linked: a group of many links is not written out.
