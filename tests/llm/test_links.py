@@ -107,3 +107,29 @@ def test_more_lines_have_longer_bands():
         equal = rng.random((4_000, 1 + max(map(max, bands)))) < 0.8
         assert np.mean(np.any([equal[:, band].all(axis=1) for band in bands], axis=0)) > 0.98
     assert [len(lines.bands_for(rows, 0.8)[0]) for rows in (1_000, 2_000_000, 100_000_000)] == [4, 6, 8]
+
+
+def test_unrelated_texts_are_mostly_alone_in_tables(spark):
+    rng = np.random.default_rng(26)
+    rows = [(key, " ".join(f"w{x}" for x in rng.integers(0, 100_000, 60))) for key in range(1_500)]
+    tables = neardup.tables_for(len(rows), 0.8)
+    prints = neardup.wide_prints(spark.createDataFrame(rows, "line_key long, line string"), tables)
+    shared = links._shared(prints, [F.col("bands")[number] for number in range(len(tables))])
+    assert shared.count() < 0.5 * len(rows) * len(tables)
+
+
+def test_more_passes_do_not_repeat_the_comparisons(spark, monkeypatch):
+    # A written table is a plan and jobs that the driver keeps account of; only the grouping of bands is done in passes.
+    labels, stored = [], links.stored
+
+    def counting(df, label, **options):
+        labels.append(label)
+        return stored(df, label, **options)
+
+    monkeypatch.setattr(links, "stored", counting)
+    texts = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e f"), (3, "x y z")], "line_key long, line string")
+    prints = texts.select("line_key", *[F.lit(n).cast("long").alias(f"band{n}") for n in range(8)])
+    bands = [F.col(f"band{n}") for n in range(8)]
+    linked = links.linked(texts, prints, bands, [], F.lit(True), 0.8, lambda line: F.split(line, " "), passes=8)
+    assert sorted(tuple(row) for row in linked.collect()) == [(1, 1), (2, 1)]
+    assert labels.count("shared") == 8 and len(labels) <= 20, labels

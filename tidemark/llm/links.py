@@ -5,7 +5,8 @@ ones meet the group's leader; pairs that their marks (small summaries of a text'
 verified on the texts. Members of large groups that are still in different components then meet within the group: of
 the pairs between two components one is verified first, the others where the two are still apart.
 
-The bands go in several passes, so that what is carried for a comparison is never there for all bands at once.
+The members of all bands are grouped in several passes, so that they are never there at once; what shares a band, far less,
+is compared in one step.
 """
 
 from __future__ import annotations
@@ -47,18 +48,22 @@ def verified(pairs: DataFrame, lines: DataFrame, least: float, shingles: Callabl
 
 
 def _shared(prints: DataFrame, bands: list[Column]) -> DataFrame:
-    """Rows (band, line_key, leader, size) of the bands that several lines share.
+    """Rows (band, line_key, size, leader) of the bands that several texts share; the leader is the least key of the group."""
+    members = prints.select("line_key", F.explode(F.array(*bands)).alias("band")).repartition("band")
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("line_key").alias("leader"))
+    return members.join(sizes.where("size > 1").hint("shuffle_hash"), "band")
+
+
+def _led(shared: DataFrame) -> DataFrame:
+    """The rows of large groups, with the leader that shares these groups with most others, of such the one with the least key.
 
-    The leader is the member that shares its bands with most others, of these the one with the least key: of near copies of a
-    text the text itself, to which more of them are similar than to each other.
+    Of near copies of a text it is the text itself, to which more of them are similar than to each other.
     """
-    members = prints.select("line_key", F.explode(F.array(*bands)).alias("band")).repartition("band")
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
-    sized = stored(members.join(sizes.where("size > 1").hint("shuffle_hash"), "band"), "sized")
-    weights = sized.groupBy("line_key").agg(F.sum("size").alias("weight"))
-    ranked = sized.join(weights.hint("shuffle_hash"), "line_key")
+    large = shared.where(F.col("size") > SMALL).select("band", "line_key", "size")
+    weights = large.groupBy("line_key").agg(F.sum("size").alias("weight"))
+    ranked = large.join(weights.hint("shuffle_hash"), "line_key")
     leaders = ranked.groupBy("band").agg(F.min(F.struct((-F.col("weight")).alias("weight"), "line_key")).alias("first"))
-    return sized.join(leaders.select("band", F.col("first.line_key").alias("leader")).hint("shuffle_hash"), "band")
+    return large.join(leaders.select("band", F.col("first.line_key").alias("leader")), "band")
 
 
 def _sides(held: DataFrame, *same: str) -> tuple[DataFrame, DataFrame]:
@@ -82,9 +87,9 @@ def _first_pairs(shared: DataFrame, prints: DataFrame, marks: list[str], may: Co
     return met.select(F.least(*ends).alias("one"), F.greatest(*ends).alias("two")).distinct()
 
 
-def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
+def _open(large: DataFrame, known: DataFrame) -> DataFrame:
     """Rows (band, line_key, size, component) of the large groups that hold more than one component, their leaders aside."""
-    rest = shared.where((F.col("size") > SMALL) & (F.col("line_key") != F.col("leader"))).select("band", "line_key", "size")
+    rest = large.where(F.col("line_key") != F.col("leader")).select("band", "line_key", "size")
     placed = rest.join(known.withColumnRenamed("node", "line_key"), "line_key", "left").withColumn("component", F.coalesce("component", "line_key"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return placed.join(mixed.select("band"), "band")
@@ -132,33 +137,30 @@ def linked(
     """
     every = -(-len(bands) // passes)
     with lifetime(texts.sparkSession):
-        shared, pairs = [], []
-        for begin in range(0, len(bands), every):
-            shared.append(stored(_shared(prints, bands[begin : begin + every]), "shared"))
+        passed = [stored(_shared(prints, bands[begin : begin + every]), "shared") for begin in range(0, len(bands), every)]
+        shared = reduce(DataFrame.unionByName, passed)
         if summary:
-            keys = reduce(DataFrame.unionByName, [groups.select("line_key") for groups in shared]).distinct()
+            keys = shared.select("line_key").distinct()
             prints = stored(summary(texts.join(keys.hint("shuffle_hash"), "line_key", "left_semi")), "marks")
-        for groups in shared:
-            pairs.append(stored(_first_pairs(groups, prints, marks, may), "pairs"))
-        known = components(verified(reduce(DataFrame.unionByName, pairs).distinct(), texts, least, shingles), "one", "two")
-        asked = [stored(_open(groups, known), "open") for groups in shared]
+        large = stored(_led(shared), "large")
+        groups = shared.where(F.col("size") <= SMALL).unionByName(large)
+        known = components(verified(_first_pairs(groups, prints, marks, may), texts, least, shingles), "one", "two")
+        asked = stored(_open(large, known), "open")
         # One pair of each two components that may be linked: a group of many links is not written out.
-        found, pair = [], F.xxhash64("one", "two")
-        for members in asked:
-            apart = _apart(members, prints, marks, may).groupBy("low", "high")
-            found.append(stored(apart.agg(F.min("one").alias("one"), F.min_by("two", "one").alias("two"), (F.min(pair) < F.max(pair)).alias("several")), "apart"))
-        some = reduce(DataFrame.unionByName, found)
+        pair = F.xxhash64("one", "two")
+        apart = _apart(asked, prints, marks, may).groupBy("low", "high")
+        some = apart.agg(F.min("one").alias("one"), F.min_by("two", "one").alias("two"), (F.min(pair) < F.max(pair)).alias("several"))
+        some = stored(some, "apart")
+        if some.isEmpty():
+            return handed_on(known, "linked")
         links = verified(some.select("one", "two").distinct(), texts, least, shingles)
         known = stored(components(as_links(known).unionByName(links), "one", "two"), "known")
         left = stored(_renamed(some.where("several").select("low", "high"), known), "left")
         if left.isEmpty():
             return handed_on(known, "linked")
-        more = []
-        for members in asked:
-            now = _open_now(members, known, left)
-            both = _apart(now, prints, marks, may).join(left, ["low", "high"], "left_semi")
-            more.append(stored(both.select("one", "two").distinct(), "pairs"))
-        links = verified(reduce(DataFrame.unionByName, more).distinct(), texts, least, shingles)
+        now = _open_now(asked, known, left)
+        both = _apart(now, prints, marks, may).join(left, ["low", "high"], "left_semi")
+        links = verified(both.select("one", "two").distinct(), texts, least, shingles)
         return handed_on(components(as_links(known).unionByName(links), "one", "two"), "linked")
 
 

@@ -276,10 +276,12 @@ def wide_bits(text: str | None, words: int = 5) -> np.ndarray:
 def tables_for(rows: int, least: float) -> list[np.ndarray]:
     """Places of the bits that each table compares, so many tables that pairs at similarity ``least`` meet in one with RECALL.
 
-    More rows need longer keys, and these more tables; the share of pairs that meet stays. Two prints at this similarity
-    differ in each bit with probability acos(2 * least / (1 + least)) / pi, or less where the sizes differ.
+    More rows need longer keys, and these more tables; the share of pairs that meet stays. There are at least twice as many
+    keys as rows, so that most rows are alone with theirs and what meets by chance stays below the number of rows in each table.
+    Two prints at this similarity differ in each bit with probability acos(2 * least / (1 + least)) / pi, or less where the
+    sizes differ.
     """
-    length = min(30, max(8, rows.bit_length() - 4))
+    length = min(30, max(8, rows.bit_length() + 1))
     apart = math.acos(2 * least / (1 + least)) / math.pi
     differing = np.arange(WIDE_RADIUS + 1)
     weights = np.array([comb(WIDE, d) * apart**d * (1 - apart) ** (WIDE - d) for d in differing.tolist()])
@@ -359,7 +361,7 @@ def one_per_similar_group(
             tables = tables_for(texts.count(), least)
             with bucketed(wide_prints(texts, tables, words), "line_key") as prints:
                 bands = [F.col("bands")[number] for number in range(len(tables))]
-                alike = linked(texts, prints, bands, PRINTS, wide_close(), least, shingles, passes=8)
+                alike = linked(texts, prints, bands, PRINTS, wide_close(), least, shingles, passes=3)
         rooted = classes.join(alike, "node", "left").withColumn("component", F.coalesce("component", "node"))
         first = rooted.groupBy("component").agg(F.min("least").alias("first"))
         chosen = handed_on(first.select(F.col("first.id").alias(own_id), F.col("first.key").alias(own_text)), "chosen")
