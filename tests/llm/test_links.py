@@ -133,3 +133,38 @@ def test_more_passes_do_not_repeat_the_comparisons(spark, monkeypatch):
     linked = links.linked(texts, prints, bands, [], F.lit(True), 0.8, lambda line: F.split(line, " "), passes=8)
     assert sorted(tuple(row) for row in linked.collect()) == [(1, 1), (2, 1)]
     assert labels.count("shared") == 8 and len(labels) <= 20, labels
+
+
+def test_a_shingle_takes_part_in_one_part_of_the_minima(spark):
+    rng = np.random.default_rng(27)
+    rows, pairs = [], []
+    for size in (9, 18, 70, 250):
+        for _ in range(250):
+            # |one & two| / |one | two| is 0.8 or just above.
+            lost = int(size / 9)
+            whole = rng.integers(-(1 << 63), (1 << 63) - 1, size + lost).tolist()
+            one, two = len(pairs) * 2, len(pairs) * 2 + 1
+            pairs.append(size)
+            rows += [(one, h) for h in whole[:size]] + [(two, h) for h in whole[lost:]]
+    bands = lines.bands_for(2_000_000, 0.8)
+    prints = lines.signatures(spark.createDataFrame(rows, "line_key long, h long"), bands)
+    # A quarter of the bands, and of the minima, for a part.
+    assert len([c for c in prints.columns if c.startswith("band")]) * 4 == len(bands)
+    met = prints.select((F.col("line_key") / 2).cast("long").alias("pair"), "line_key", F.explode(F.array(*prints.columns[2:])).alias("band"))
+    met = met.groupBy("pair", "band").agg(F.countDistinct("line_key").alias("lines")).where("lines = 2").select("pair").distinct()
+    found = {row.pair for row in met.collect()}
+    for size in sorted(set(pairs)):
+        assert np.mean([pair in found for pair, own in enumerate(pairs) if own == size]) > 0.96, size
+
+
+def test_bitmaps_hold_parities(spark):
+    rng = np.random.default_rng(28)
+    texts = ["abc", "aaaaaaaaaa", *["".join(rng.choice(list("abcde "), size)) for size in (5, 40, 900)]]
+    held = spark.createDataFrame([*enumerate(texts)], "line_key long, line string")
+    sets = {row.line_key: row.found for row in held.select("line_key", lines.shingle_hashes("line").alias("found")).collect()}
+    for row in lines.parities(held).collect():
+        bits = [0] * lines.MAP_LONGS
+        for h in sets[row.line_key]:
+            bits[(h >> 6) % lines.MAP_LONGS] ^= 1 << (h & 63)
+        assert row.n == len(sets[row.line_key])
+        assert [row[name] % (1 << 64) for name in lines.MAPS] == bits

@@ -1,7 +1,7 @@
 """Fuzzy line de-duplication by MinHash, in DataFrame functions alone.
 
 Equal lines are grouped first. The shingles of a line are its runs of five characters, one at every
-position. MinHash signatures of the shingle sets are banded, lines that
+position. They are dealt to parts by their hash, MinHash signatures of the parts are banded, lines that
 share a band are verified by exact Jaccard similarity, and union-find over the verified links leaves
 one line per component, its first occurrence.
 
@@ -26,6 +26,8 @@ SHINGLE = 5
 # Minima of a band, with few lines, and how many minima there are for each place of a band.
 ROWS = 4
 HASHES = 8
+# A line's shingles are dealt to so many parts by their hash; each part has its share of the minima and bands of its own.
+PARTS = 4
 # Share of pairs at the least similarity that meet in a band at least: that of 8 bands of 4 at similarity 0.8.
 RECALL = 0.985
 # Longs of a line's bitmap.
@@ -80,12 +82,12 @@ def bands_for(rows: int, least: float) -> list[list[int]]:
     squared. So more lines have longer bands, and these more of them; the share of pairs that meet stays.
     """
     length = max(ROWS, (rows.bit_length() - 3) // 3)
-    hashes = HASHES * length
+    hashes = HASHES * length // PARTS
     equal = range(hashes + 1)
     weights = [math.comb(hashes, m) * least**m * (1 - least) ** (hashes - m) for m in equal]
     meet = [math.comb(m, length) / math.comb(hashes, length) for m in equal]
     bands = 1
-    while sum(w * (1 - (1 - p) ** bands) for w, p in zip(weights, meet)) < RECALL:
+    while 1 - sum(w * (1 - p) ** bands for w, p in zip(weights, meet)) ** PARTS < RECALL:
         bands += 1
     # Bands in turn take what a shuffled round of all minima has left, so that none is used much more than others.
     rng, found, row = np.random.default_rng(5), [], []
@@ -98,15 +100,23 @@ def bands_for(rows: int, least: float) -> list[list[int]]:
             for one in chosen:
                 row.remove(one)
             found.append(sorted(chosen))
-    return found
+    # The minima of the parts count on; all parts have the same bands of theirs.
+    return [[part * hashes + one for one in band] for part in range(PARTS) for band in found]
 
 
 def signatures(shingles: DataFrame, bands: list[list[int]]) -> DataFrame:
-    """Rows (line_key, band0, ...): the hash of each band of minima over a line's shingles."""
-    hashed = shingles.select("line_key", F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b"))
-    hashes = sorted({i for band in bands for i in band})
-    least = hashed.groupBy("line_key").agg(*[F.min((F.col("a") + F.col("b") * i).bitwiseAND(F.lit(LOW_HALF))).alias(f"m{i}") for i in hashes])
-    return least.select("line_key", *[F.xxhash64(F.lit(b), *[f"m{i}" for i in band]).alias(f"band{b}") for b, band in enumerate(bands)])
+    """Rows (line_key, part, band0, ...): the hash of each band of minima over the shingles that a line has in a part.
+
+    A shingle takes part in the minima of its own part only. A part without shingles has no row, so that lines do not meet
+    by what both lack. Lines of which one part differs more agree the better in the others.
+    """
+    own = bands[: len(bands) // PARTS]
+    part = F.pmod(F.col("h"), F.lit(PARTS)).alias("part")
+    hashed = shingles.select("line_key", part, F.col("h").bitwiseAND(F.lit(LOW_HALF)).alias("a"), F.shiftrightunsigned("h", 32).alias("b"))
+    hashes = sorted({i for band in own for i in band})
+    mixed = [F.min((F.col("a") + F.col("b") * i).bitwiseAND(F.lit(LOW_HALF))).alias(f"m{i}") for i in hashes]
+    least = hashed.groupBy("line_key", "part").agg(*mixed)
+    return least.select("line_key", "part", *[F.xxhash64(F.lit(b), "part", *[f"m{i}" for i in band]).alias(f"band{b}") for b, band in enumerate(own)])
 
 
 def parities(lines: DataFrame) -> DataFrame:
@@ -114,8 +124,10 @@ def parities(lines: DataFrame) -> DataFrame:
     shingles = lines.select("line_key", once(shingle_hashes("line")).alias("set")).select("line_key", F.explode("set").alias("h"))
     h = F.col("h")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-    odd = [F.bit_xor(F.when(F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)) == k, bit).otherwise(0)).alias(f"map{k}") for k in range(MAP_LONGS)]
-    return shingles.groupBy("line_key").agg(F.count(F.lit(1)).alias("n"), *odd)
+    # A shingle is counted in its long only; the longs of a line, few, are put side by side afterwards.
+    longs = shingles.groupBy("line_key", F.pmod(F.shiftright(h, 6), F.lit(MAP_LONGS)).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(bit).alias("odd"))
+    maps = [F.bit_xor(F.when(F.col("k") == k, F.col("odd")).otherwise(0)).alias(f"map{k}") for k in range(MAP_LONGS)]
+    return longs.groupBy("line_key").agg(F.sum("n").alias("n"), *maps)
 
 
 def _missing(side: str, other: str) -> Column:
@@ -141,8 +153,9 @@ def possible(least: float) -> Column:
 def linked_lines(lines: DataFrame, least: float = 0.8) -> DataFrame:
     """Rows (node, component) of the distinct lines (line_key, line) that are linked to another one."""
     bands = bands_for(lines.count(), least)
-    with lifetime(lines.sparkSession), bucketed(signatures(line_shingles(lines), bands), "line_key") as prints:
-        own = [F.col(f"band{b}") for b in range(len(bands))]
+    with lifetime(lines.sparkSession):
+        prints = stored(signatures(line_shingles(lines), bands), "prints")
+        own = [F.col(f"band{b}") for b in range(len(bands) // PARTS)]
         return handed_on(linked(lines, prints, own, ["n", *MAPS], possible(least), least, shingle_hashes, summary=parities), "linked")
 
 

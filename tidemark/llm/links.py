@@ -133,7 +133,7 @@ def linked(
     ``prints`` has a row for each text: ``line_key``, the columns of ``bands`` and ``marks``; both tables are bucketed by the key.
     ``may`` says of the marks with suffixes _one and _two whether the texts can be linked; pairs it admits are verified by the
     exact similarity of their ``shingles``. With ``summary`` the marks are what it gives for the texts that share a band, and
-    ``prints`` has none.
+    ``prints`` has none; it may then have several rows for a text.
     """
     every = -(-len(bands) // passes)
     with lifetime(texts.sparkSession):
